@@ -72,3 +72,9 @@ def avg_money(c, scale: int = 2) -> Column:
     """Average of cent amounts, exactly: the sum runs in decimal, so the
     result does not depend on the order rows are added (double sums do)."""
     return F.round(F.avg(_c(c).cast("decimal(38,2)")), scale).cast("double")
+
+
+def wavg_money(value, weight, scale: int = 2, value_scale: int = 2) -> Column:
+    """Weighted average sum(v*w)/sum(w) with the products summed in decimal."""
+    num = F.sum((_c(value) * _c(weight)).cast(f"decimal(38,{value_scale})"))
+    return F.round(num / F.sum(_c(weight)), scale).cast("double")

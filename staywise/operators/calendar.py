@@ -70,4 +70,4 @@ def date_hierarchy_rollup(fact: DataFrame, dates: DataFrame, measure: str = "tot
     j = date_part_join(fact, dates, "booking_date")
     return (j.rollup("Year", "QuarterNo", "MonthNo", "Day")
             .agg(F.count("*").alias("bookings"), F.round(F.sum(measure), 2).alias("revenue_eur"),
-                 F.grouping_id().alias("level")))
+                 F.grouping_id().cast("int").alias("level")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.numbers import avg_money
+from ..functions.numbers import avg_money, wavg_money
 
 # FIXED VALUES: default aggregation of the fact table's columns in the BI
 # model ("sum"; every other column is "none").
@@ -62,8 +62,8 @@ def report_city_table(kpi: DataFrame) -> DataFrame:
         F.sum("total_bookings").alias("total_bookings"),
         F.round(F.sum("avg_booking_value_eur"), 2).alias("sum_avg_booking_value_eur"),
         F.round(F.sum("cancellation_rate"), 1).alias("sum_cancellation_rate"),
-        F.round(F.sum(F.col("avg_booking_value_eur") * w) / F.sum(w), 2).alias("weighted_avg_booking_value_eur"),
-        F.round(F.sum(F.col("cancellation_rate") * w) / F.sum(w), 1).alias("weighted_cancellation_rate"))
+        wavg_money("avg_booking_value_eur", w).alias("weighted_avg_booking_value_eur"),
+        wavg_money("cancellation_rate", w, 1, 1).alias("weighted_cancellation_rate"))
         .orderBy(F.col("sum_cancellation_rate").asc_nulls_first(), F.col("city").asc_nulls_first()))
 
 
@@ -82,7 +82,7 @@ def report_years(dim_date_df: DataFrame) -> DataFrame:
 def default_summarize(df: DataFrame, sum_cols=tuple(FACT_SUMMARIZE_SUM), by=()) -> DataFrame:
     """Apply each column's default aggregation ("sum"; "none" columns are
     group keys or left out), as a BI total row or per ``by`` group."""
-    aggs = [F.round(F.sum(c).cast("double"), 2).alias(f"sum_{c}") for c in sum_cols if c in df.columns]
+    aggs = [F.round(F.sum(c).cast("double"), 4).alias(f"sum_{c}") for c in sum_cols if c in df.columns]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 

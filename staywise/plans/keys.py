@@ -103,3 +103,369 @@ def q_dim_date(spark, sf_dir):
 @register("kpi_revenue", O.with_ctes("SELECT * FROM x_kpi", "x_kpi"))
 def q_kpi_revenue(spark, sf_dir):
     return _gold(spark, sf_dir).kpi
+
+
+@register("kpi_revenue_channel", O.with_ctes("SELECT * FROM x_kpi_channel", "x_kpi_channel"))
+def q_kpi_revenue_channel(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return gold.kpi_revenue_channel(g.fact, g.dim_city)
+
+
+@register("star_join", O.with_ctes("""
+SELECT f.booking_id, f.hotel_id, f.city, f.booking_date, f.total_amount_eur, c.city_key,
+  c.temperature_c AS city_temperature_c, h.hotel_tier, h.hotel_name AS dim_hotel_name,
+  d.year_quarter, d.year_month, d.is_weekend
+FROM x_fact f LEFT JOIN x_dim_city c ON f.city = c.city
+LEFT JOIN x_dim_hotel h ON f.hotel_id = h.hotel_id
+LEFT JOIN x_dim_date d ON f.booking_date = d.date_key""", "x_fact", "x_dim_city", "x_dim_hotel", "x_dim_date"))
+def q_star_join(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return gold.star_join(g.fact, g.dim_city, g.dim_hotel, g.dim_date)
+
+
+@register("top_revenue", O.with_ctes("""
+SELECT * FROM x_kpi ORDER BY total_revenue_eur DESC NULLS LAST, city ASC NULLS FIRST, country ASC NULLS FIRST,
+  booking_year ASC NULLS FIRST, booking_month ASC NULLS FIRST, hotel_type ASC NULLS FIRST LIMIT 10""", "x_kpi"))
+def q_top_revenue(spark, sf_dir):
+    return gold.top_revenue(_gold(spark, sf_dir).kpi, 10)
+
+
+@register("tier_histogram", O.with_ctes(
+    "SELECT hotel_tier, count(*) AS hotels FROM x_dim_hotel GROUP BY hotel_tier", "x_dim_hotel"))
+def q_tier_histogram(spark, sf_dir):
+    return gold.tier_histogram(gold.dim_hotel(_silver(spark, sf_dir)))
+
+
+# ---- report queries ------------------------------------------------------------------------
+
+@register("report_cards", O.with_ctes(f"""
+SELECT {O.avg_money('avg_nightly_rate_eur')} AS avg_nightly_rate_eur, count(booking_id) AS bookings,
+  {O.sround('sum(total_amount_eur)', 2)} AS total_revenue_eur FROM x_fact""", "x_fact"))
+def q_report_cards(spark, sf_dir):
+    return report.report_cards(_fact(spark, sf_dir))
+
+
+@register("report_rates_avg", O.with_ctes("SELECT " + ", ".join(
+    f"{O.sround(f'avg(rate_{c.lower()})', 6)} AS avg_rate_{c.lower()}" for c in K.CURRENCIES)
+    + " FROM x_city_dim", "x_city_dim"))
+def q_report_rates_avg(spark, sf_dir):
+    return report.report_rates_avg(q_city_dim(spark, sf_dir))
+
+
+@register("report_country_revenue", O.with_ctes(f"""
+SELECT country, {O.sround('sum(total_amount)', 2)} AS total_amount FROM x_fact
+WHERE NOT COALESCE(hotel_type IN ({O.qlist(K.REPORT_COUNTRY_EXCLUDE_TYPES)})
+                   OR country IN ({O.qlist(K.REPORT_COUNTRY_EXCLUDE_COUNTRIES)}), FALSE)
+GROUP BY country""", "x_fact"))
+def q_report_country_revenue(spark, sf_dir):
+    return report.report_country_revenue(_fact(spark, sf_dir))
+
+
+@register("report_hotel_type_revenue", O.with_ctes(f"""
+SELECT hotel_type, {O.sround('sum(total_amount_eur)', 2)} AS total_amount_eur FROM x_fact
+WHERE {O.not_in('hotel_type', K.REPORT_TYPE_EXCLUDE)} GROUP BY hotel_type""", "x_fact"))
+def q_report_hotel_type_revenue(spark, sf_dir):
+    return report.report_hotel_type_revenue(_fact(spark, sf_dir))
+
+
+@register("report_city_revenue", O.with_ctes(f"""
+SELECT city, {O.sround('sum(total_revenue_eur)', 2)} AS total_revenue_eur FROM x_kpi
+WHERE {O.not_in('city', K.REPORT_CITY_EXCLUDE)} GROUP BY city""", "x_kpi"))
+def q_report_city_revenue(spark, sf_dir):
+    return report.report_city_revenue(_gold(spark, sf_dir).kpi)
+
+
+@register("report_city_table", O.with_ctes(f"""
+SELECT city, CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
+  {O.sround('sum(avg_booking_value_eur)', 2)} AS sum_avg_booking_value_eur,
+  {O.sround('sum(cancellation_rate)', 1)} AS sum_cancellation_rate,
+  {O.wavg('avg_booking_value_eur', 'total_bookings', 2, 2)} AS weighted_avg_booking_value_eur,
+  {O.wavg('cancellation_rate', 'total_bookings', 1, 1)} AS weighted_cancellation_rate
+FROM x_kpi GROUP BY city""", "x_kpi"))
+def q_report_city_table(spark, sf_dir):
+    return report.report_city_table(_gold(spark, sf_dir).kpi)
+
+
+@register("report_monthly_trend", O.with_ctes("""
+SELECT d.year_month, count(f.booking_id) AS bookings FROM x_fact f JOIN x_dim_date d ON f.booking_date = d.date_key
+GROUP BY d.year_month""", "x_fact", "x_dim_date"))
+def q_report_monthly_trend(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return report.report_monthly_trend(g.fact, g.dim_date)
+
+
+@register("report_years", O.with_ctes("SELECT DISTINCT year FROM x_dim_date", "x_dim_date"))
+def q_report_years(spark, sf_dir):
+    return report.report_years(_gold(spark, sf_dir).dim_date)
+
+
+@register("default_summarize", O.with_ctes("SELECT " + ", ".join(
+    f"{O.sround(f'sum({c})', 4)} AS sum_{c}" for c in report.FACT_SUMMARIZE_SUM) + " FROM x_fact", "x_fact"))
+def q_default_summarize(spark, sf_dir):
+    return report.default_summarize(_fact(spark, sf_dir))
+
+
+# ---- calendar ------------------------------------------------------------------------------
+
+@register("data_calendar", O.with_ctes("SELECT * FROM x_cal", "x_cal"))
+def q_data_calendar(spark, sf_dir):
+    return cal.data_calendar(_fact(spark, sf_dir), "booking_date")
+
+
+@register("date_part_join", O.with_ctes("""
+SELECT f.booking_id, c.Date, c.Year, c.QuarterNo, c.Quarter, c.MonthNo, c.Day
+FROM x_fact f LEFT JOIN x_cal c ON f.booking_date = c.Date""", "x_fact", "x_cal"))
+def q_date_part_join(spark, sf_dir):
+    fact = _fact(spark, sf_dir)
+    j = cal.date_part_join(fact.select("booking_id", "booking_date"), cal.data_calendar(fact, "booking_date"),
+                           "booking_date")
+    return j.select("booking_id", "Date", "Year", "QuarterNo", "Quarter", "MonthNo", "Day")
+
+
+@register("date_hierarchy_rollup", O.with_ctes(f"""
+SELECT Year, QuarterNo, MonthNo, Day, count(*) AS bookings, {O.sround('sum(total_amount_eur)', 2)} AS revenue_eur,
+  CAST(GROUPING(Year, QuarterNo, MonthNo, Day) AS INTEGER) AS level
+FROM x_fact f LEFT JOIN x_cal c ON f.booking_date = c.Date
+GROUP BY ROLLUP (Year, QuarterNo, MonthNo, Day)""", "x_fact", "x_cal"))
+def q_date_hierarchy_rollup(spark, sf_dir):
+    fact = _fact(spark, sf_dir)
+    return cal.date_hierarchy_rollup(fact, cal.data_calendar(fact, "booking_date"))
+
+
+# ---- silver operators ----------------------------------------------------------------------
+
+@register("dedup_latest", O.with_ctes(
+    "SELECT booking_id, hotel_id, source_file, ingestion_ts, booking_status FROM x_dedup", "x_dedup"))
+def q_dedup_latest(spark, sf_dir):
+    return M.deduplicated(_bronze(spark, sf_dir)).select(
+        "booking_id", "hotel_id", "source_file", F.try_to_timestamp("ingestion_time").alias("ingestion_ts"),
+        "booking_status")
+
+
+@register("dedup_by_key", O.with_ctes(f"""
+SELECT dim_id, booking_id, city, country, hotel_type FROM (
+  SELECT {O.digits('hotel_id')} AS dim_id, booking_id, city, country, hotel_type,
+    row_number() OVER (PARTITION BY {O.digits('hotel_id')} ORDER BY booking_id) AS rn FROM x_batch) WHERE rn = 1""",
+    "x_batch"))
+def q_dedup_by_key(spark, sf_dir):
+    from ..functions.text import digits_only
+    from ..operators.dedup import dedup_by_key
+    b = td.bronze_batch(spark, sf_dir).select(digits_only("hotel_id").alias("dim_id"), "booking_id", "city",
+                                               "country", "hotel_type")
+    return dedup_by_key(b, ["dim_id"], ["booking_id"])
+
+
+@register("hotel_lookup_fill", O.with_ctes("""
+SELECT booking_id, hotel_id, hotel_name, city, country, star_rating, hotel_type, latitude, longitude
+FROM x_filled""", "x_filled"))
+def q_hotel_lookup_fill(spark, sf_dir):
+    return M.union_and_fill(_bronze(spark, sf_dir)).select(
+        "booking_id", "hotel_id", "hotel_name", "city", "country", "star_rating", "hotel_type",
+        F.col("latitude").try_cast("double").alias("latitude"), F.col("longitude").try_cast("double").alias("longitude"))
+
+
+_UNION_COLS = ["booking_id", "hotel_id", "customer_id", "currency", "room_type", "booking_status", "source_system",
+               "nights", "adults", "source_file"]
+
+
+@register("union_by_name", O.with_ctes(f"SELECT {', '.join(_UNION_COLS)} FROM x_union", "x_union"))
+def q_union_by_name(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return columns.union_by_name(b.batch, b.stream).select(*_UNION_COLS)
+
+
+_STREAM_STR = ["booking_id", "customer_id", "hotel_id", "room_type", "nights", "adults", "currency",
+               "booking_status", "source_system"]
+
+
+@register("standardize_names", O.with_ctes(f"SELECT {', '.join(_STREAM_STR)} FROM x_stream", "x_stream"))
+def q_standardize_names(spark, sf_dir):
+    s = td.bronze_stream(spark, sf_dir)
+    dirty = s.toDF(*[f" {c.replace('_', ' ').title()} " for c in s.columns])   # CSV-style headers
+    return columns.standardize_names(dirty).select(*_STREAM_STR)
+
+
+@register("reconcile_columns", O.with_ctes(
+    "SELECT booking_id, COALESCE(total_amount, total_price) AS total_amount FROM x_union", "x_union"))
+def q_reconcile_columns(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    u = columns.reconcile_columns(columns.union_by_name(b.batch, b.stream), "total_amount",
+                                  ("total_price", "paid_amount"), "coalesce")
+    return u.select("booking_id", F.col("total_amount").try_cast("double").alias("total_amount"))
+
+
+@register("dedup_column_names", O.with_ctes("SELECT booking_id, hotel_id, currency FROM x_stream", "x_stream"))
+def q_dedup_column_names(spark, sf_dir):
+    s = td.bronze_stream(spark, sf_dir)
+    return columns.dedup_column_names(s.select("booking_id", "hotel_id", "currency", F.col("room_type").alias("currency")))
+
+
+@register("default_columns", O.with_ctes(
+    "SELECT booking_id, 'EUR' AS currency, total_amount FROM x_stream", "x_stream"))
+def q_default_columns(spark, sf_dir):
+    s = columns.default_columns(td.bronze_stream(spark, sf_dir).drop("currency"), columns.SILVER_DEFAULTS)
+    return s.select("booking_id", "currency", F.col("total_amount").try_cast("double").alias("total_amount"))
+
+
+@register("type_cast_filter", O.with_ctes(f"""
+SELECT booking_id, booking_ts AS booking_date, abs(total_amount) AS total_amount, abs(room_price) AS room_price,
+  {O.to_int('nights')} AS nights FROM x_dedup WHERE booking_ts IS NOT NULL""", "x_dedup"))
+def q_type_cast_filter(spark, sf_dir):
+    d = columns.default_columns(M.deduplicated(_bronze(spark, sf_dir)), columns.SILVER_DEFAULTS)
+    return clean.type_cast_filter(d).select("booking_id", "booking_date", "total_amount", "room_price", "nights")
+
+
+@register("city_clean", O.with_ctes(f"SELECT booking_id, city, {O.city_clean('city')} AS city_clean FROM x_batch",
+                                    "x_batch"))
+def q_city_clean(spark, sf_dir):
+    return clean.add_city_clean(td.bronze_batch(spark, sf_dir)).select("booking_id", "city", "city_clean")
+
+
+_STR_COLS = ["city", "country", "hotel_type", "room_type", "currency"]
+
+
+@register("clean_strings", O.with_ctes("SELECT booking_id, " + ", ".join(
+    f"{O.clean_string(c, upper=c == 'currency')} AS {c}" for c in _STR_COLS) + " FROM x_batch", "x_batch"))
+def q_clean_strings(spark, sf_dir):
+    return clean.clean_strings(td.bronze_batch(spark, sf_dir), _STR_COLS, ["currency"]).select("booking_id", *_STR_COLS)
+
+
+@register("clean_phone", O.with_ctes(f"SELECT booking_id, {O.clean_phone('phone')} AS phone FROM x_batch", "x_batch"))
+def q_clean_phone(spark, sf_dir):
+    return clean.clean_phone(td.bronze_batch(spark, sf_dir), ["phone"]).select("booking_id", "phone")
+
+
+@register("number_words", O.with_ctes(
+    f"SELECT booking_id, {O.words('adults')} AS adults, {O.words('star_rating')} AS star_rating FROM x_batch",
+    "x_batch"))
+def q_number_words(spark, sf_dir):
+    return clean.number_words(td.bronze_batch(spark, sf_dir), ["adults", "star_rating"]).select(
+        "booking_id", "adults", "star_rating")
+
+
+@register("clean_numeric", O.with_ctes(f"""
+SELECT booking_id, COALESCE(abs({O.to_int(O.words('star_rating'))}), 0) AS star_rating,
+  COALESCE(abs({O.to_int(O.words('adults'))}), 0) AS adults,
+  COALESCE(abs({O.to_double(O.words('children'))}), 0.0) AS children,
+  COALESCE(abs({O.to_double('nights')}), 0.0) AS nights FROM x_batch""", "x_batch"))
+def q_clean_numeric(spark, sf_dir):
+    return clean.clean_numeric(td.bronze_batch(spark, sf_dir), ["star_rating", "adults", "children", "nights"],
+                               ["star_rating", "adults"]).select("booking_id", "star_rating", "adults", "children",
+                                                                 "nights")
+
+
+@register("clean_coords", O.with_ctes(
+    f"SELECT booking_id, {O.coord('latitude', 90)} AS latitude, {O.coord('longitude', 180)} AS longitude FROM x_batch",
+    "x_batch"))
+def q_clean_coords(spark, sf_dir):
+    return clean.clean_coords(td.bronze_batch(spark, sf_dir), ["latitude", "longitude"]).select(
+        "booking_id", "latitude", "longitude")
+
+
+@register("split_datetime", O.with_ctes(
+    f"SELECT booking_id, {O._dt('booking_date', 'booking_ts')}, {O._dt('checkin_date', 'checkin_ts')} FROM x_batch",
+    "x_batch"))
+def q_split_datetime(spark, sf_dir):
+    return clean.split_datetime(td.bronze_batch(spark, sf_dir), ["booking_date", "checkin_date"]).select(
+        "booking_id", "booking_date", "booking_date_time", "checkin_date", "checkin_date_time")
+
+
+@register("impute_prices", O.with_ctes(
+    "SELECT booking_id, total_amount, room_price, nights FROM x_imputed", "x_imputed"))
+def q_impute_prices(spark, sf_dir):
+    return M.enriched(_bronze(spark, sf_dir)).select("booking_id", "total_amount", "room_price", "nights")
+
+
+_TIME_COLS = ["booking_date_time", "checkin_date_time", "ingestion_time_time", "event_time_time"]
+
+
+@register("drop_constant_time_cols", O.with_ctes(O.time_activity_sql("x_silver_full", _TIME_COLS), "x_silver_full"))
+def q_drop_constant_time_cols(spark, sf_dir):
+    return clean.time_col_activity(_silver(spark, sf_dir, drop_midnight=False), _TIME_COLS)
+
+
+# ---- quality -------------------------------------------------------------------------------
+
+@register("coverage_metrics", O.with_ctes("""
+SELECT count(*) AS total_rows,
+  count(*) FILTER (WHERE city_clean IS NOT NULL AND city_clean <> 'Unknown') AS city_filled,
+  count(temperature_c) AS weather_matched,
+  CAST(floor(count(*) FILTER (WHERE city_clean IS NOT NULL AND city_clean <> 'Unknown') * 100 / count(*)) AS BIGINT)
+    AS city_filled_pct,
+  CAST(floor(count(temperature_c) * 100 / count(*)) AS BIGINT) AS weather_matched_pct
+FROM x_silver""", "x_silver"))
+def q_coverage_metrics(spark, sf_dir):
+    return enrich.coverage_metrics(_silver(spark, sf_dir))
+
+
+@register("null_blank_profile", O.with_ctes("""
+SELECT 'before' AS stage, count(*) FILTER (WHERE hotel_name IS NULL) AS null_rows,
+  count(*) FILTER (WHERE trim(hotel_name) = '') AS blank_rows, count(*) AS total_rows FROM x_union
+UNION ALL
+SELECT 'after', count(*) FILTER (WHERE hotel_name IS NULL), count(*) FILTER (WHERE trim(hotel_name) = ''), count(*)
+FROM x_filled""", "x_union", "x_filled"))
+def q_null_blank_profile(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return enrich.null_blank_profile(columns.union_by_name(b.batch, b.stream), M.union_and_fill(b), "hotel_name")
+
+
+_SILVER_TYPES = {"booking_id": "StringType", "customer_id": "StringType", "total_amount": "DoubleType"}
+
+
+@register("dq_suite", O.with_ctes(O.dq_sql("x_silver", "silver_bookings", quality.SILVER_SUITE, _SILVER_TYPES),
+                                  "x_silver"))
+def q_dq_suite(spark, sf_dir):
+    return quality.dq_suite(_silver(spark, sf_dir))
+
+
+@register("dq_native_summary", O.with_ctes("""
+SELECT test, problems, problems = 0 AS ok FROM (
+  SELECT 'booking_id NULL' AS test, count(*) FILTER (WHERE booking_id IS NULL) AS problems FROM x_silver
+  UNION ALL SELECT 'customer_id NULL', count(*) FILTER (WHERE customer_id IS NULL) FROM x_silver
+  UNION ALL SELECT 'hotel_id NULL', count(*) FILTER (WHERE hotel_id IS NULL) FROM x_silver
+  UNION ALL SELECT 'booking_date NULL', count(*) FILTER (WHERE booking_date IS NULL) FROM x_silver
+  UNION ALL SELECT 'total_amount < 0', count(*) FILTER (WHERE total_amount < 0) FROM x_silver
+  UNION ALL SELECT 'city_clean NULL', count(*) FILTER (WHERE city_clean IS NULL) FROM x_silver
+  UNION ALL SELECT 'duplicate booking', count(*) - count(DISTINCT booking_id)
+    - CAST(COALESCE(max(booking_id IS NULL), FALSE) AS INTEGER) FROM x_silver)""", "x_silver"))
+def q_dq_native_summary(spark, sf_dir):
+    return quality.dq_native_summary(_silver(spark, sf_dir))
+
+
+@register("dq_table_checks", O.with_ctes(f"""
+SELECT 'silver_bookings' AS model, 'min_rows' AS "check", count(*) AS observed, count(*) >= {K.MIN_SILVER_ROWS} AS success
+FROM x_silver
+UNION ALL SELECT 'silver_bookings', 'not_empty', count(*), count(*) > 0 FROM x_silver
+UNION ALL SELECT 'silver_bookings', 'required_columns', 0, TRUE
+UNION ALL SELECT 'bronze_weather', 'not_empty', count(*), count(*) > 0 FROM x_wread
+UNION ALL SELECT 'bronze_weather', 'temperature_in_range', count(*) FILTER (WHERE temperature_c IS NOT NULL AND
+  (temperature_c < {K.TEMPERATURE_RANGE[0]} OR temperature_c > {K.TEMPERATURE_RANGE[1]})),
+  count(*) FILTER (WHERE temperature_c IS NOT NULL AND
+  (temperature_c < {K.TEMPERATURE_RANGE[0]} OR temperature_c > {K.TEMPERATURE_RANGE[1]})) = 0 FROM x_wread
+UNION ALL SELECT 'bronze_exchange_rates', 'not_empty', count(*), count(*) > 0 FROM x_rquote
+UNION ALL SELECT 'bronze_exchange_rates', 'rate_positive', count(*) FILTER (WHERE NOT (rate > 0)),
+  count(*) FILTER (WHERE NOT (rate > 0)) = 0 FROM x_rquote""", "x_silver", "x_wread", "x_rquote"))
+def q_dq_table_checks(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return quality.dq_table_checks(M.silver_bookings(b, drop_midnight=False), b.weather, b.rates)
+
+
+@register("dq_required_values", O.with_ctes(f"""
+SELECT v AS value, v IN (SELECT target_currency FROM x_rquote) AS present
+FROM (VALUES {', '.join(f'({O.q(c)})' for c in K.REQUIRED_RATE_CURRENCIES)}) t(v)""", "x_rquote"))
+def q_dq_required_values(spark, sf_dir):
+    return quality.dq_required_values(td.rate_quotes(spark, sf_dir), "target_currency")
+
+
+_GOLD_TYPES: dict = {}
+_MODEL_SRC = {"fact_bookings": "x_fact", "dim_city": "x_dim_city", "dim_hotel": "x_dim_hotel",
+              "dim_date": "x_dim_date", "kpi_revenue": "x_kpi"}
+
+
+@register("dq_model_tests", O.with_ctes("\nUNION ALL\n".join(
+    O.dq_sql(_MODEL_SRC[m], m, checks, _GOLD_TYPES) for m, checks in quality.MODEL_TESTS.items()),
+    *_MODEL_SRC.values()))
+def q_dq_model_tests(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return quality.dq_model_tests({"fact_bookings": g.fact, "dim_city": g.dim_city, "dim_hotel": g.dim_hotel,
+                                   "dim_date": g.dim_date, "kpi_revenue": g.kpi})

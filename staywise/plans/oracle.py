@@ -358,3 +358,75 @@ def with_ctes(final: str, *names: str) -> str:
         return final
     body = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
     return f"WITH {body}\n{final}"
+
+
+cte("x_kpi_channel", ("x_fact", "x_dim_city"), f"""
+SELECT f.city, f.country, f.booking_year, f.booking_month, f.hotel_type,
+  c.temperature_c AS city_temperature_c, c.weather_code AS city_weather_code,
+  {kpi_measures(('Canceled',), True)}, count(DISTINCT f.booking_channel) AS channel_count
+FROM x_fact f LEFT JOIN x_dim_city c ON f.city = c.city
+GROUP BY f.city, f.country, f.booking_year, f.booking_month, f.hotel_type, c.temperature_c, c.weather_code""")
+
+cte("x_cal_spine", ("x_fact",), year_spine("x_fact", "booking_date", "Date"))
+cte("x_cal", ("x_cal_spine",), """
+SELECT Date, CAST(year(Date) AS INTEGER) AS Year, CAST(month(Date) AS INTEGER) AS MonthNo,
+  monthname(Date) AS Month, CAST(floor((month(Date) + 2) / 3) AS INTEGER) AS QuarterNo,
+  'Qtr ' || CAST(CAST(floor((month(Date) + 2) / 3) AS INTEGER) AS VARCHAR) AS Quarter,
+  CAST(day(Date) AS INTEGER) AS Day
+FROM x_cal_spine""")
+
+
+def not_in(col: str, values) -> str:
+    """BI exclude filter: rows whose value is NULL are kept."""
+    return f"NOT COALESCE({col} IN ({qlist(values)}), FALSE)"
+
+
+def wavg(value: str, weight: str, scale: int, vscale: int) -> str:
+    return sround(f"CAST(sum(CAST({value} * {weight} AS DECIMAL(38,{vscale}))) AS DOUBLE) / sum({weight})", scale)
+
+
+def _label(kind, col, lo=None, hi=None, type_name=""):
+    if kind == "between":
+        return f"between[{lo},{hi}]"
+    if kind == "of_type":
+        return f"of_type[{type_name}]"
+    return kind
+
+
+def dq_sql(src: str, model: str, checks, types: dict) -> str:
+    """One SELECT per check over ``src``; UNION ALL of (model, check, column,
+    tested, failing, success)."""
+    parts = []
+    for ch in checks:
+        lab, c = q(_label(ch.kind, ch.column, ch.min_value, ch.max_value, ch.type_name)), ch.column
+        if ch.kind == "not_null":
+            parts.append(f"SELECT {lab} AS \"check\", {q(c)} AS \"column\", count(*) AS tested, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS failing FROM {src}")
+        elif ch.kind == "between":
+            conds = []
+            if ch.min_value is not None:
+                conds.append(f"{c} < {ch.min_value}")
+            if ch.max_value is not None:
+                conds.append(f"{c} > {ch.max_value}")
+            parts.append(f"SELECT {lab}, {q(c)}, count(*), count(*) FILTER (WHERE {c} IS NOT NULL AND "
+                         f"({' OR '.join(conds) or 'FALSE'})) FROM {src}")
+        elif ch.kind == "in_set":
+            parts.append(f"SELECT {lab}, {q(c)}, count(*), count(*) FILTER (WHERE {c} IS NOT NULL AND "
+                         f"{c} NOT IN ({qlist(ch.values)})) FROM {src}")
+        elif ch.kind == "unique":
+            parts.append(f"SELECT {lab}, {q(c)}, CAST(COALESCE(sum(n), 0) AS BIGINT), "
+                         f"CAST(COALESCE(sum(n) FILTER (WHERE k IS NOT NULL AND n > 1), 0) AS BIGINT) "
+                         f"FROM (SELECT {c} AS k, count(*) AS n FROM {src} GROUP BY {c})")
+        elif ch.kind == "of_type":
+            ok = 0 if types.get(c) == ch.type_name else 1
+            parts.append(f"SELECT {lab}, {q(c)}, 1, {ok}")
+    body = "\nUNION ALL ".join(parts)
+    return (f"SELECT {q(model)} AS model, \"check\", \"column\", CAST(tested AS BIGINT) AS tested, "
+            f"CAST(failing AS BIGINT) AS failing, failing = 0 AS success FROM ({body})")
+
+
+def time_activity_sql(src: str, cols) -> str:
+    parts = [f"SELECT {q(c)} AS \"column\", count(*) FILTER (WHERE {c} <> '00:00:00') AS non_midnight_rows FROM {src}"
+             for c in cols]
+    return ("SELECT \"column\", non_midnight_rows, non_midnight_rows = 0 AS dropped FROM ("
+            + " UNION ALL ".join(parts) + ")")
