@@ -50,5 +50,5 @@ def surrogate_key(df: DataFrame, order_cols, name: str = "key", partitions: int
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)))
     return (ranged.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
-            .withColumn(name, (F.col("_off") + F.col("_local") + 1).cast("int"))
+            .withColumn(name, F.col("_off") + F.col("_local") + 1)
             .drop("_pid", "_mid", "_local", "_off"))

@@ -107,3 +107,27 @@ def null_blank_profile(before: DataFrame, after: DataFrame, col: str) -> DataFra
                       F.count_if(F.trim(F.col(col)) == "").alias("blank_rows"),
                       F.count("*").alias("total_rows"))
     return prof(before, "before").unionByName(prof(after, "after"))
+
+
+def city_sources(silver: DataFrame | None, bronze: DataFrame | None,
+                 defaults=tuple(K.DEFAULT_CITIES), limit: int = K.CITY_SOURCE_LIMIT) -> DataFrame:
+    """Cities to enrich: usable silver cities; if there are none, the first
+    ``limit`` distinct bronze cities (by name); if none, the defaults.
+    Values are stripped and deduplicated.  The fallback choice is a scalar
+    subquery (the lowest source rank present), so the plan stays lazy."""
+    spark = (silver if silver is not None else bronze).sparkSession
+    parts = []
+    if silver is not None:
+        col = "city_clean" if "city_clean" in silver.columns else "city"
+        parts.append(silver.select(F.col(col).alias("city")).where(usable_value("city")).distinct()
+                     .select("city", F.lit(1).alias("src")))
+    if bronze is not None:
+        parts.append(bronze.select("city").where(F.col("city").isNotNull()).distinct()
+                     .orderBy("city").limit(limit).select("city", F.lit(2).alias("src")))
+    parts.append(spark.createDataFrame([(c, 3) for c in defaults], "city string, src int"))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    u = u.withColumn("city", F.trim("city")).where(F.col("city") != "")
+    best = u.agg(F.min("src")).scalar()
+    return u.where(F.col("src") == best).select("city").distinct()

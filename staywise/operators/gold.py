@@ -60,6 +60,7 @@ def dim_city(city_dim: DataFrame, partitions: int | None = None) -> DataFrame:
     rates = [F.coalesce(F.col(r), F.lit(0.0)).alias(r) for r in RATE_COLS if r in city_dim.columns]
     c = c.select("city", "country", "temperature_c", "weather_code", *rates)
     keyed = surrogate_key(c, ["city"], "city_key", partitions)
+    keyed = keyed.withColumn("city_key", F.col("city_key").cast("int"))
     return keyed.select("city_key", "city", "country", "temperature_c", "weather_code", *[r for r in RATE_COLS
                                                                                           if r in keyed.columns])
 

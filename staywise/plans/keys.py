@@ -469,3 +469,204 @@ def q_dq_model_tests(spark, sf_dir):
     g = _gold(spark, sf_dir)
     return quality.dq_model_tests({"fact_bookings": g.fact, "dim_city": g.dim_city, "dim_hotel": g.dim_hotel,
                                    "dim_date": g.dim_date, "kpi_revenue": g.kpi})
+
+
+# ---- lookups and enrichment ----------------------------------------------------------------
+
+@register("distinct_cities", O.with_ctes("SELECT * FROM x_cities", "x_cities"))
+def q_distinct_cities(spark, sf_dir):
+    return enrich.distinct_cities(_silver(spark, sf_dir))
+
+
+@register("city_source_fallback", O.with_ctes("""
+SELECT DISTINCT trim(city_clean) AS city FROM x_silver
+WHERE city_clean IS NOT NULL AND city_clean <> 'Unknown' AND city_clean <> '' AND trim(city_clean) <> ''""",
+                                              "x_silver"))
+def q_city_source_fallback(spark, sf_dir):
+    return enrich.city_sources(_silver(spark, sf_dir), td.bronze_batch(spark, sf_dir))
+
+
+@register("top_cities", O.with_ctes("""
+SELECT city, count(*) AS bookings FROM x_batch WHERE city IS NOT NULL GROUP BY city
+ORDER BY bookings DESC, city ASC LIMIT 10""", "x_batch"))
+def q_top_cities(spark, sf_dir):
+    return report.top_cities(td.bronze_batch(spark, sf_dir), 10, "city")
+
+
+@register("rates_pivot", O.with_ctes("SELECT 1.0 AS rate_eur, " + ", ".join(
+    f"max(CASE WHEN r_currency = {O.q(c)} THEN rate END) AS rate_{c.lower()}" for c in K.TARGET_CURRENCIES)
+    + " FROM x_rlk", "x_rlk"))
+def q_rates_pivot(spark, sf_dir):
+    return enrich.rates_pivot(enrich.latest_rates(td.rate_quotes(spark, sf_dir)))
+
+
+@register("enrich_weather_rates", O.with_ctes("""
+SELECT booking_id, city_clean, currency, temperature_c, weather_code, exchange_rate_to_eur FROM x_enriched""",
+                                              "x_enriched"))
+def q_enrich_weather_rates(spark, sf_dir):
+    return M.enriched(_bronze(spark, sf_dir)).select("booking_id", "city_clean", "currency", "temperature_c",
+                                                     "weather_code", "exchange_rate_to_eur")
+
+
+# ---- sources ------------------------------------------------------------------------------
+
+@register("weather_json_flatten", O.with_ctes(f"""
+SELECT {O.initcap('trim(city)')} AS city, country_api, latitude, longitude, temperature_c, humidity, weather_code,
+  date_trunc('minute', recorded_at) AS recorded_at, 'open-meteo' AS source
+FROM x_wread WHERE n_nationkey <> 24""", "x_wread"))
+def q_weather_json_flatten(spark, sf_dir):
+    from ..sources.files import flatten_weather
+    return flatten_weather(td.weather_payloads(spark, sf_dir)).drop("ingestion_time")
+
+
+@register("rates_map_explode", O.with_ctes("""
+SELECT 'EUR' AS base_currency, target_currency, rate, date_trunc('second', ts) AS timestamp,
+  'exchangerate-api' AS source FROM x_rquote""", "x_rquote"))
+def q_rates_map_explode(spark, sf_dir):
+    from ..sources.files import explode_rates
+    return explode_rates(td.rate_payloads(spark, sf_dir)).drop("ingestion_time")
+
+
+_CSV_COLS = ["booking_id", "hotel_id", "hotel_type", "city", "country", "room_type", "currency", "booking_status"]
+
+
+@register("ingest_csv", O.with_ctes(f"SELECT {', '.join(_CSV_COLS)}, TRUE AS from_csv_file FROM x_batch", "x_batch"))
+def q_ingest_csv(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from ..session import scratch_path
+    from ..sources.files import ingest_csv
+    path = scratch_path(spark, "landing-csv")
+    (td.bronze_batch(spark, sf_dir).select(*_CSV_COLS).write.mode("overwrite").option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _CSV_COLS])
+    df = ingest_csv(spark, path, schema)
+    return df.select(*_CSV_COLS, F.col("source_file").endswith(".csv").alias("from_csv_file"))
+
+
+@register("overwrite_roundtrip", O.with_ctes("SELECT w_city, temperature_c, weather_code FROM x_wlk", "x_wlk"))
+def q_overwrite_roundtrip(spark, sf_dir):
+    """Write the raw readings, then overwrite the same table with the lookup
+    (different schema): the read-back has only the new schema and rows."""
+    from ..session import scratch_path
+    from ..sources.tables import overwrite_table
+    path = scratch_path(spark, "table")
+    readings = td.weather_readings(spark, sf_dir)
+    overwrite_table(readings, path)
+    return overwrite_table(enrich.latest_weather(readings), path)
+
+
+def _empty_table_sql() -> str:
+    from ..sources.schemas import STREAM_TABLE_COLUMNS
+    have = {"booking_id": "CAST(event_id AS VARCHAR)", "customer_id": "CAST(user_id + 1000 AS VARCHAR)",
+            "hotel_id": "CAST(user_id AS VARCHAR)", "booking_date": "CAST(ts AS VARCHAR)",
+            "room_type": "CASE event_type WHEN 'click' THEN 'Single' WHEN 'view' THEN 'Double' WHEN 'signup' "
+                         "THEN 'Suite' WHEN 'purchase' THEN 'Deluxe' ELSE '--' END",
+            "nights": "CAST(1 + k % 14 AS VARCHAR)", "adults": "CAST(1 + event_id % 4 AS VARCHAR)",
+            "booking_status": "CASE event_type WHEN 'purchase' THEN 'Confirmed' WHEN 'error' THEN 'Cancelled' "
+                              "ELSE 'Pending' END",
+            "source_system": O.pick(['MobileApp', 'Web', 'Agency'], 'k % 3'),
+            "event_time": "CAST(ts AS VARCHAR)"}
+    cols = [f"{have.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in STREAM_TABLE_COLUMNS]
+    return O.with_ctes(f"SELECT {', '.join(cols)} FROM x_ev", "x_ev")
+
+
+@register("empty_typed_table", _empty_table_sql())
+def q_empty_typed_table(spark, sf_dir):
+    """The stream landing table: created empty with its 73 declared string
+    columns, then the landed events appended by name."""
+    from ..sources.schemas import STREAM_TABLE_SCHEMA
+    from ..sources.tables import conform, create_empty_table
+    empty = create_empty_table(spark, STREAM_TABLE_SCHEMA)
+    return empty.unionByName(conform(td.bronze_stream(spark, sf_dir), STREAM_TABLE_SCHEMA))
+
+
+_INVENTORY = ["orders", "lineitem", "customer", "events"]
+
+
+@register("table_inventory", "\nUNION ALL ".join(
+    [f"SELECT 'bronze_{t}' AS table_name, count(*) AS row_count, 'ok' AS status FROM {t}" for t in _INVENTORY]
+    + ["SELECT 'gold_fact_bookings_archive', CAST(NULL AS BIGINT), 'not found'"]))
+def q_table_inventory(spark, sf_dir):
+    from ..sources.tables import table_inventory
+    for t in _INVENTORY:
+        td.read(spark, sf_dir, t).createOrReplaceTempView(f"bronze_{t}")
+    return table_inventory(spark, [f"bronze_{t}" for t in _INVENTORY] + ["gold_fact_bookings_archive"])
+
+
+@register("multi_file_scan", O.with_ctes("SELECT city FROM x_batch", "x_batch"))
+def q_multi_file_scan(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources.files import multi_file_scan
+    path = scratch_path(spark, "cities")
+    (td.bronze_batch(spark, sf_dir).select("city", "country").write.mode("overwrite").option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return multi_file_scan(spark, [f"{path}/*.csv"], "city")
+
+
+@register("positional_split", """
+SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= floor(count(*) OVER () * 0.7)
+  THEN 'batch' ELSE 'stream' END AS part FROM orders""")
+def q_positional_split(spark, sf_dir):
+    from ..operators.split import positional_split
+    return positional_split(td.read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], K.BATCH_SHARE)
+
+
+# ---- streaming ------------------------------------------------------------------------------
+
+def _stream_run(spark, sf_dir):
+    """Land the events as JSON files, drain them through the fan-out query,
+    return the two sink paths."""
+    from ..session import scratch_path
+    from ..streaming import events as ev
+    base = scratch_path(spark, "stream")
+    landing = ev.land_events_json(ev.event_records(td.bronze_stream(spark, sf_dir)), f"{base}/landing")
+    ev.run_available(spark, landing, f"{base}/raw", f"{base}/typed", f"{base}/checkpoint", max_files=4)
+    return f"{base}/raw", f"{base}/typed"
+
+
+_EVENT_SQL = O.with_ctes(f"""
+SELECT CAST(event_id AS VARCHAR) AS booking_id, user_id + 1000 AS customer_id, CAST(user_id AS VARCHAR) AS hotel_id,
+  CAST(ts AS VARCHAR) AS booking_date,
+  CASE event_type WHEN 'click' THEN 'Single' WHEN 'view' THEN 'Double' WHEN 'signup' THEN 'Suite'
+       WHEN 'purchase' THEN 'Deluxe' ELSE '--' END AS room_type,
+  value * 10 AS total_amount, {O.pick(K.CURRENCIES, 'event_id % 7')} AS currency,
+  {O.pick(['MobileApp', 'Web', 'Agency'], 'k % 3')} AS source_system, CAST(ts AS VARCHAR) AS ingestion_time
+FROM x_ev""", "x_ev")
+
+
+@register("stream_events_sink", _EVENT_SQL)
+def q_stream_events_sink(spark, sf_dir):
+    raw, _ = _stream_run(spark, sf_dir)
+    return spark.read.parquet(raw).drop("batch_id")
+
+
+@register("stream_json_mapping", O.with_ctes(f"""
+SELECT booking_id, customer_id, TRY_CAST(hotel_id AS BIGINT) AS hotel_id, CAST(booking_date AS TIMESTAMP) AS booking_date,
+  room_type, total_amount, currency, source_system, CAST(ingestion_time AS TIMESTAMP) AS ingestion_time
+FROM ({_EVENT_SQL})"""))
+def q_stream_json_mapping(spark, sf_dir):
+    _, typed = _stream_run(spark, sf_dir)
+    return spark.read.parquet(typed).drop("batch_id")
+
+
+@register("stream_fanout", """
+SELECT 'raw' AS sink, count(*) AS row_count FROM events UNION ALL SELECT 'typed', count(*) FROM events""")
+def q_stream_fanout(spark, sf_dir):
+    raw, typed = _stream_run(spark, sf_dir)
+    return (spark.read.parquet(raw).agg(F.lit("raw").alias("sink"), F.count("*").alias("row_count"))
+            .unionByName(spark.read.parquet(typed).agg(F.lit("typed").alias("sink"), F.count("*").alias("row_count"))))
+
+
+@register("stream_validate_count", "SELECT count(*) AS total_rows FROM events")
+def q_stream_validate_count(spark, sf_dir):
+    return td.bronze_stream(spark, sf_dir).agg(F.count("*").alias("total_rows"))
+
+
+@register("stream_validate_latest", O.with_ctes("""
+SELECT booking_id, event_ts AS event_time, hotel_id, room_type, currency, booking_status
+FROM x_stream ORDER BY event_ts DESC, booking_id LIMIT 100""", "x_stream"))
+def q_stream_validate_latest(spark, sf_dir):
+    s = td.bronze_stream(spark, sf_dir).withColumn("event_time", F.try_to_timestamp("event_time"))
+    return (s.orderBy(F.col("event_time").desc(), F.col("booking_id")).limit(100)
+            .select("booking_id", "event_time", "hotel_id", "room_type", "currency", "booking_status"))

@@ -193,7 +193,8 @@ def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed API JSON per reading: geocode text (no ``results`` when the
     city is unknown: nation 24) and forecast text."""
     w = weather_readings(spark, sf_dir)
-    geo = F.when(F.col("latitude") == F.lit(24 * 3.5 - 42), F.to_json(F.struct(F.lit(0).alias("generationtime_ms"))))\
+    # nation 24's city is unknown to the geocoder: payload without "results"
+    geo = F.when(F.col("city") == F.lit("nation 24"), F.to_json(F.struct(F.lit(0).alias("generationtime_ms"))))\
         .otherwise(F.to_json(F.struct(F.array(F.struct(
             F.col("latitude").alias("latitude"), F.col("longitude").alias("longitude"),
             F.col("country_api").alias("country"))).alias("results"))))
