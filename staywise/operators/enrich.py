@@ -75,15 +75,16 @@ def city_dim(bookings: DataFrame, weather_lookup: DataFrame, rates_lookup: DataF
              currencies=tuple(K.TARGET_CURRENCIES), base: str = K.BASE_CURRENCY) -> DataFrame:
     """silver_city_dim: distinct cities + latest weather + every rate as a column.
 
-    The rates enter as scalar subqueries over the one-row pivot: Spark runs
-    the subquery once and inlines the values, no join of any kind.
+    The rates enter as ONE scalar subquery over the one-row pivot (a struct
+    of all rates): Spark runs it once and inlines the values, no join.
     """
     cities = distinct_cities(bookings)
     w = weather_lookup.select("w_city", "temperature_c", "weather_code")
     joined = cities.join(w, cities.city == w.w_city, "left").drop("w_city")
     piv = rates_pivot(rates_lookup, currencies, base)
-    rate_cols = [F.lit(1.0).alias(f"rate_{base.lower()}")]
-    rate_cols += [piv.select(f"rate_{c.lower()}").scalar().alias(f"rate_{c.lower()}") for c in currencies]
+    names = [f"rate_{c.lower()}" for c in currencies]
+    row = piv.select(F.struct(*names).alias("r")).scalar()   # one subquery, reused for every column
+    rate_cols = [F.lit(1.0).alias(f"rate_{base.lower()}")] + [row.getField(n).alias(n) for n in names]
     return joined.select("city", "country", "temperature_c", "weather_code", *rate_cols)
 
 

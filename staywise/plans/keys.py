@@ -40,8 +40,10 @@ def _silver(spark, sf_dir, drop_midnight=False) -> DataFrame:
 
 
 def _gold(spark, sf_dir) -> M.Gold:
+    """Gold tables over a silver table written once for this query (silver
+    feeds the fact, the city dimension and the hotel dimension)."""
     b = _bronze(spark, sf_dir)
-    s = M.silver_bookings(b, drop_midnight=False)
+    s = M.materialize(M.silver_bookings(b, drop_midnight=False), "silver")
     return M.gold_tables(s, M.city_dim_table(s, b))
 
 
@@ -670,3 +672,21 @@ def q_stream_validate_latest(spark, sf_dir):
     s = td.bronze_stream(spark, sf_dir).withColumn("event_time", F.try_to_timestamp("event_time"))
     return (s.orderBy(F.col("event_time").desc(), F.col("booking_id")).limit(100)
             .select("booking_id", "event_time", "hotel_id", "room_type", "currency", "booking_status"))
+
+
+@register("universal_clean", O.with_ctes(f"""
+SELECT {O.clean_string('booking_id')} AS booking_id, {O.clean_phone('hotel_id')} AS hotel_id,
+  {O.clean_string('customer_id')} AS customer_id,
+  {O.clean_string('CAST(temperature_c AS VARCHAR)')} AS temperature_c,
+  {O.clean_string('CAST(weather_code AS VARCHAR)')} AS weather_code,
+  COALESCE(abs(exchange_rate_to_eur), 0.0) AS exchange_rate_to_eur,
+  {O.clean_string('city_clean')} AS city_clean, {O.clean_string('currency', upper=True)} AS currency,
+  COALESCE(abs({O.to_int(O.words('star_rating'))}), 0) AS star_rating
+FROM x_imputed""", "x_imputed"))
+def q_universal_clean(spark, sf_dir):
+    """Universal clean in parity mode: the original substring rules, with
+    their side effects on ids (phone rule), weather (text rule) and rates
+    (zero fill)."""
+    df = clean.universal_clean(M.enriched(_bronze(spark, sf_dir)), parity=True, drop_midnight=False)
+    return df.select("booking_id", "hotel_id", "customer_id", "temperature_c", "weather_code",
+                     "exchange_rate_to_eur", "city_clean", "currency", "star_rating")

@@ -31,8 +31,17 @@ SOURCES = ["Web", "MobileApp", "Agency"]
 EXTRA_QUOTE_CURRENCY = "CHF"
 
 
+_READS: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table as a DataFrame; the relation (file listing, footers,
+    schema) is resolved once per session and path and then shared."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _case(col: Column, mapping: dict, default) -> Column:
