@@ -76,15 +76,22 @@ def dim_hotel(silver: DataFrame) -> DataFrame:
 
 
 def dim_hotel_first_value(silver: DataFrame) -> DataFrame:
-    """SQL twin of dim_hotel: FIRST_VALUE per attribute over the hotel's
-    bookings by date desc, then DISTINCT (same tie-break, so same rows)."""
-    w = Window.partitionBy("hotel_id").orderBy(F.col("booking_date").desc_nulls_last(),
-                                               F.col("booking_id").asc_nulls_last())
+    """The SQL model's dim_hotel (FIRST_VALUE of every attribute over the
+    hotel's bookings by date desc, then DISTINCT) as one aggregate.
+
+    ``min_by`` over a (negated date, booking_id) key returns the same row as
+    the window with the same tie-break, but Spark combines it map-side: a hotel
+    holding a third of all bookings costs one row per map task, not one task
+    holding all of them.
+    """
     src = {"city": "city_clean"}
-    s = silver.where(F.col("hotel_id").isNotNull())
-    firsts = [F.first(src.get(a, a)).over(w).alias(a) for a in HOTEL_ATTRS]
-    return (s.select("hotel_id", *firsts).distinct()
-            .select("hotel_id", *HOTEL_ATTRS, hotel_tier("star_rating").alias("hotel_tier")))
+    packed = F.struct(*[F.col(src.get(a, a)).alias(a) for a in HOTEL_ATTRS])
+    order = F.struct(F.coalesce(-F.unix_date("booking_date"), F.lit(2 ** 31 - 1)).alias("d"),
+                     F.col("booking_id").alias("b"))
+    firsts = (silver.where(F.col("hotel_id").isNotNull())
+              .groupBy("hotel_id").agg(F.min_by(packed, order).alias("v"))
+              .select("hotel_id", "v.*"))
+    return firsts.select("hotel_id", *HOTEL_ATTRS, hotel_tier("star_rating").alias("hotel_tier"))
 
 
 def _kpi_measures(cancelled, guard_zero: bool):
