@@ -11,7 +11,7 @@ from ..functions.text import digits_only, is_blank_or_unknown
 
 def as_strings(df: DataFrame) -> DataFrame:
     """Cast every column to string (bronze convention: types come in silver)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST(`{c}` AS STRING) AS `{c}`" for c in df.columns])
 
 
 def union_by_name(a: DataFrame, b: DataFrame, as_string: bool = True) -> DataFrame:
