@@ -115,7 +115,7 @@ def city_sources(silver: DataFrame | None, bronze: DataFrame | None,
     """Cities to enrich: usable silver cities; if there are none, the first
     ``limit`` distinct bronze cities (by name); if none, the defaults.
     Values are stripped and deduplicated.  The fallback choice is a scalar
-    subquery (the lowest source rank present), so the plan stays lazy."""
+    subquery (the lowest source rank present) over the written candidates."""
     spark = (silver if silver is not None else bronze).sparkSession
     parts = []
     if silver is not None:
@@ -129,6 +129,9 @@ def city_sources(silver: DataFrame | None, bronze: DataFrame | None,
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    u = u.withColumn("city", F.trim("city")).where(F.col("city") != "")
+    # the candidates are a few distinct names per source: write them once so
+    # the fallback decision does not recompute the sources
+    from ..sources.tables import materialize
+    u = materialize(u.withColumn("city", F.trim("city")).where(F.col("city") != ""), "city_candidates")
     best = u.agg(F.min("src")).scalar()
     return u.where(F.col("src") == best).select("city").distinct()

@@ -44,7 +44,7 @@ def _gold(spark, sf_dir) -> M.Gold:
     feeds the fact, the city dimension and the hotel dimension)."""
     b = _bronze(spark, sf_dir)
     s = M.materialize(M.silver_bookings(b, drop_midnight=False), "silver")
-    return M.gold_tables(s, M.city_dim_table(s, b))
+    return M.gold_tables(s, M.materialize(M.city_dim_table(s, b), "silver_city_dim"))
 
 
 def _fact(spark, sf_dir) -> DataFrame:
@@ -469,8 +469,10 @@ _MODEL_SRC = {"fact_bookings": "x_fact", "dim_city": "x_dim_city", "dim_hotel":
     *_MODEL_SRC.values()))
 def q_dq_model_tests(spark, sf_dir):
     g = _gold(spark, sf_dir)
-    return quality.dq_model_tests({"fact_bookings": g.fact, "dim_city": g.dim_city, "dim_hotel": g.dim_hotel,
-                                   "dim_date": g.dim_date, "kpi_revenue": g.kpi})
+    tables = {"fact_bookings": g.fact, "dim_city": g.dim_city, "dim_hotel": g.dim_hotel,
+              "dim_date": g.dim_date, "kpi_revenue": g.kpi}
+    # the model tests run against the written gold tables, as after a gold job
+    return quality.dq_model_tests({k: M.materialize(v, f"gold_{k}") for k, v in tables.items()})
 
 
 # ---- lookups and enrichment ----------------------------------------------------------------

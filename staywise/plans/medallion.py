@@ -17,7 +17,7 @@ from ..functions import constants as K
 from ..functions.numbers import safe_timestamp
 from ..operators import calendar as cal
 from ..operators import clean, columns, dedup, enrich, gold
-from ..sources.tables import overwrite_table
+from ..sources.tables import materialize, overwrite_table  # noqa: F401
 from . import testdata as td
 
 
@@ -94,14 +94,6 @@ def gold_tables(silver: DataFrame, city_dim: DataFrame, date_range: tuple | None
     return Gold(fact, dc, dh, dd, gold.kpi_revenue(fact, dc))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table below the shared checkpoint folder and
-    read it back: one computation for all later consumers, and a lineage
-    cut (a lost executor recomputes from this table, not from raw files)."""
-    from ..session import scratch_path
-    return overwrite_table(df, scratch_path(df.sparkSession, name))
-
-
 def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = False) -> dict:
     """Write every layer under ``out_dir`` (shared storage); return row counts."""
     b = bronze_from_testdata(spark, sf_dir)

@@ -28,6 +28,15 @@ def overwrite_table(df: DataFrame, path: str, name: str | None = None, fmt: str
     return spark.read.format(fmt).load(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table in a fresh folder below the shared
+    checkpoint folder and read it back: later consumers share one
+    computation, and the lineage is cut (a lost executor recomputes from
+    this table, not from the raw inputs)."""
+    from ..session import scratch_path
+    return overwrite_table(df, scratch_path(df.sparkSession, name))
+
+
 def overwrite_if_nonempty(df: DataFrame, path: str, name: str | None = None, fmt: str = "parquet") -> bool:
     """Write only when rows exist; otherwise keep the old table and warn."""
     if df.isEmpty():
