@@ -31,19 +31,37 @@ def register(name: str, sql: str | None):
 
 # ---- shared plan fragments -------------------------------------------------------------------
 
+_PLANS: dict = {}
+
+
+def _plan(spark, key, build):
+    """Lazy plan objects shared by the queries of one session (the plan,
+    not its data: every query still runs from the raw tables)."""
+    k = (id(spark._jsparkSession),) + key
+    if k not in _PLANS:
+        _PLANS[k] = build()
+    return _PLANS[k]
+
+
 def _bronze(spark, sf_dir) -> M.Bronze:
-    return M.bronze_from_testdata(spark, sf_dir)
+    return _plan(spark, ("bronze", sf_dir), lambda: M.bronze_from_testdata(spark, sf_dir))
+
+
+def _enriched(spark, sf_dir) -> DataFrame:
+    return _plan(spark, ("enriched", sf_dir), lambda: M.enriched(_bronze(spark, sf_dir)))
 
 
-def _silver(spark, sf_dir, drop_midnight=False) -> DataFrame:
-    return M.silver_bookings(_bronze(spark, sf_dir), drop_midnight=drop_midnight)
+def _silver(spark, sf_dir) -> DataFrame:
+    """Silver without the midnight-column probe (gold keys select their columns)."""
+    return _plan(spark, ("silver", sf_dir),
+                 lambda: clean.universal_clean(_enriched(spark, sf_dir), drop_midnight=False))
 
 
 def _gold(spark, sf_dir) -> M.Gold:
     """Gold tables over a silver table written once for this query (silver
     feeds the fact, the city dimension and the hotel dimension)."""
     b = _bronze(spark, sf_dir)
-    s = M.materialize(M.silver_bookings(b, drop_midnight=False), "silver")
+    s = M.materialize(_silver(spark, sf_dir), "silver")
     return M.gold_tables(s, M.materialize(M.city_dim_table(s, b), "silver_city_dim"))
 
 
@@ -55,13 +73,14 @@ def _fact(spark, sf_dir) -> DataFrame:
 
 @register("silver_bookings", O.with_ctes("SELECT * FROM x_silver", "x_silver"))
 def q_silver_bookings(spark, sf_dir):
-    return _silver(spark, sf_dir, drop_midnight=True)
+    # the midnight probe runs per call: it must look at the current data
+    return clean.universal_clean(_enriched(spark, sf_dir), drop_midnight=True)
 
 
 @register("city_dim", O.with_ctes("SELECT * FROM x_city_dim", "x_city_dim"))
 def q_city_dim(spark, sf_dir):
     b = _bronze(spark, sf_dir)
-    return M.city_dim_table(M.silver_bookings(b, drop_midnight=False), b)
+    return M.city_dim_table(_silver(spark, sf_dir), b)
 
 
 @register("gold_star", O.with_ctes("""
@@ -375,7 +394,7 @@ def q_split_datetime(spark, sf_dir):
 @register("impute_prices", O.with_ctes(
     "SELECT booking_id, total_amount, room_price, nights FROM x_imputed", "x_imputed"))
 def q_impute_prices(spark, sf_dir):
-    return M.enriched(_bronze(spark, sf_dir)).select("booking_id", "total_amount", "room_price", "nights")
+    return _enriched(spark, sf_dir).select("booking_id", "total_amount", "room_price", "nights")
 
 
 _TIME_COLS = ["booking_date_time", "checkin_date_time", "ingestion_time_time", "event_time_time"]
@@ -383,7 +402,7 @@ _TIME_COLS = ["booking_date_time", "checkin_date_time", "ingestion_time_time", "
 
 @register("drop_constant_time_cols", O.with_ctes(O.time_activity_sql("x_silver_full", _TIME_COLS), "x_silver_full"))
 def q_drop_constant_time_cols(spark, sf_dir):
-    return clean.time_col_activity(_silver(spark, sf_dir, drop_midnight=False), _TIME_COLS)
+    return clean.time_col_activity(_silver(spark, sf_dir), _TIME_COLS)
 
 
 # ---- quality -------------------------------------------------------------------------------
@@ -449,7 +468,7 @@ UNION ALL SELECT 'bronze_exchange_rates', 'rate_positive', count(*) FILTER (WHER
   count(*) FILTER (WHERE NOT (rate > 0)) = 0 FROM x_rquote""", "x_silver", "x_wread", "x_rquote"))
 def q_dq_table_checks(spark, sf_dir):
     b = _bronze(spark, sf_dir)
-    return quality.dq_table_checks(M.silver_bookings(b, drop_midnight=False), b.weather, b.rates)
+    return quality.dq_table_checks(_silver(spark, sf_dir), b.weather, b.rates)
 
 
 @register("dq_required_values", O.with_ctes(f"""
@@ -508,7 +527,7 @@ def q_rates_pivot(spark, sf_dir):
 SELECT booking_id, city_clean, currency, temperature_c, weather_code, exchange_rate_to_eur FROM x_enriched""",
                                               "x_enriched"))
 def q_enrich_weather_rates(spark, sf_dir):
-    return M.enriched(_bronze(spark, sf_dir)).select("booking_id", "city_clean", "currency", "temperature_c",
+    return _enriched(spark, sf_dir).select("booking_id", "city_clean", "currency", "temperature_c",
                                                      "weather_code", "exchange_rate_to_eur")
 
 
@@ -689,6 +708,6 @@ def q_universal_clean(spark, sf_dir):
     """Universal clean in parity mode: the original substring rules, with
     their side effects on ids (phone rule), weather (text rule) and rates
     (zero fill)."""
-    df = clean.universal_clean(M.enriched(_bronze(spark, sf_dir)), parity=True, drop_midnight=False)
+    df = clean.universal_clean(_enriched(spark, sf_dir), parity=True, drop_midnight=False)
     return df.select("booking_id", "hotel_id", "customer_id", "temperature_c", "weather_code",
                      "exchange_rate_to_eur", "city_clean", "currency", "star_rating")
