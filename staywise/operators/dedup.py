@@ -39,6 +39,8 @@ def surrogate_key(df: DataFrame, order_cols, name: str = "key", partitions: int
     Range-partition and sort by the order columns, number rows within each
     partition, and add the row count of all earlier partitions (a table with
     one row per partition, so its size is bounded by the partition count).
+    The order columns must identify a row: the keys are then the same on
+    every (re)computation, e.g. after a lost executor.
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols) \
