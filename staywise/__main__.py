@@ -29,8 +29,8 @@ def main(argv=None) -> int:
     from .session import get_session
     spark = get_session(a.master)
     if a.cmd == "layers":
-        from .plans.medallion import run_pipeline
-        print(json.dumps(run_pipeline(spark, a.sf_dir, a.out, parity=a.parity)))
+        from .plans.medallion import run_layers
+        print(json.dumps(run_layers(spark, a.sf_dir, a.out, parity=a.parity)))
     else:
         from .plans.keys import REGISTRY
         df = REGISTRY[a.name][0](spark, a.sf_dir)

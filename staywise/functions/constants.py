@@ -69,5 +69,9 @@ REQUIRED_RATE_CURRENCIES = ["USD", "GBP", "TRY"]
 STREAM_TRIGGER = "10 seconds"
 STREAM_MAX_FILES = 500
 
+# Source labels of the landed weather and rate rows.
+WEATHER_SOURCE = "open-meteo"
+RATES_SOURCE = "exchangerate-api"
+
 # Batch / stream split share by position.
 BATCH_SHARE = 0.7

@@ -536,16 +536,16 @@ def q_enrich_weather_rates(spark, sf_dir):
 
 @register("weather_json_flatten", O.with_ctes(f"""
 SELECT {O.initcap('trim(city)')} AS city, country_api, latitude, longitude, temperature_c, humidity, weather_code,
-  date_trunc('minute', recorded_at) AS recorded_at, 'open-meteo' AS source
+  date_trunc('minute', recorded_at) AS recorded_at, {O.q(K.WEATHER_SOURCE)} AS source
 FROM x_wread WHERE n_nationkey <> 24""", "x_wread"))
 def q_weather_json_flatten(spark, sf_dir):
     from ..sources.files import flatten_weather
     return flatten_weather(td.weather_payloads(spark, sf_dir)).drop("ingestion_time")
 
 
-@register("rates_map_explode", O.with_ctes("""
+@register("rates_map_explode", O.with_ctes(f"""
 SELECT 'EUR' AS base_currency, target_currency, rate, date_trunc('second', ts) AS timestamp,
-  'exchangerate-api' AS source FROM x_rquote""", "x_rquote"))
+  {O.q(K.RATES_SOURCE)} AS source FROM x_rquote""", "x_rquote"))
 def q_rates_map_explode(spark, sf_dir):
     from ..sources.files import explode_rates
     return explode_rates(td.rate_payloads(spark, sf_dir)).drop("ingestion_time")

@@ -1,7 +1,7 @@
 """The medallion jobs as compositions of operators.
 
 ``silver_bookings`` / ``city_dim_table`` / ``gold_tables`` are lazy plans;
-:func:`run_pipeline` writes each layer to shared storage and reads it back,
+:func:`run_layers` writes each layer to shared storage and reads it back,
 which cuts the lineage between layers (a lost executor then recomputes from
 the last written layer, not from the raw files).
 """
@@ -94,7 +94,7 @@ def gold_tables(silver: DataFrame, city_dim: DataFrame, date_range: tuple | None
     return Gold(fact, dc, dh, dd, gold.kpi_revenue(fact, dc))
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = False) -> dict:
+def run_layers(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = False) -> dict:
     """Write every layer under ``out_dir`` (shared storage); return row counts."""
     b = bronze_from_testdata(spark, sf_dir)
     silver = overwrite_table(silver_bookings(b, parity), f"{out_dir}/silver_bookings")
@@ -124,4 +124,4 @@ def gold_row_counts(g: Gold) -> DataFrame:
 
 
 __all__ = ["Bronze", "Gold", "bronze_from_testdata", "silver_bookings", "city_dim_table", "gold_tables",
-           "run_pipeline", "gold_row_counts", "K"]
+           "run_layers", "gold_row_counts", "K"]

@@ -178,7 +178,7 @@ def weather_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 100).alias("humidity"),
         event_k().cast("bigint").alias("weather_code"),
         F.col("ts").cast("timestamp").alias("recorded_at"),
-        F.lit("open-meteo").alias("source"),
+        F.lit(K.WEATHER_SOURCE).alias("source"),
         F.col("ts").cast("timestamp").alias("ingestion_time"),
         F.col("event_id"),
     )
@@ -192,7 +192,7 @@ def rate_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(K.TARGET_CURRENCIES, F.col("event_id") % 6).alias("target_currency"),
         (1 + F.col("value") / 100).alias("rate"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-        F.lit("exchangerate-api").alias("source"),
+        F.lit(K.RATES_SOURCE).alias("source"),
         F.col("ts").cast("timestamp").alias("ingestion_time"),
         F.col("event_id"),
     )

@@ -29,7 +29,7 @@ def multi_file_scan(spark: SparkSession, paths, column: str = "city") -> DataFra
 
 
 def flatten_weather(payloads: DataFrame, city_col: str = "city", geocode_col: str = "geocode_json",
-                    weather_col: str = "weather_json", source: str = "open-meteo") -> DataFrame:
+                    weather_col: str = "weather_json", source: str = K.WEATHER_SOURCE) -> DataFrame:
     """Landed geocode + forecast JSON -> bronze_weather rows.
 
     Cities without a geocode hit, or with a missing current reading, are
@@ -68,7 +68,7 @@ def parse_update_time(c) -> F.Column:
 
 
 def explode_rates(payloads: DataFrame, targets=tuple(K.TARGET_CURRENCIES), payload_col: str = "payload",
-                  source: str = "exchangerate-api") -> DataFrame:
+                  source: str = K.RATES_SOURCE) -> DataFrame:
     """Landed rates JSON -> bronze_exchange_rates rows for the target
     currencies (base defaults to EUR)."""
     p = F.from_json(F.col(payload_col), S.RATES_SCHEMA)

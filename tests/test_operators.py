@@ -145,8 +145,8 @@ def test_stream_fanout_idempotent(spark, tmp_path):
 
 
 def test_layers_written_and_consistent(spark, tmp_path):
-    from staywise.plans.medallion import run_pipeline
-    counts = run_pipeline(spark, "/root/testdata/sf0.001", str(tmp_path / "lake"))
+    from staywise.plans.medallion import run_layers
+    counts = run_layers(spark, "/root/testdata/sf0.001", str(tmp_path / "lake"))
     assert counts["silver_bookings"] > 0 and counts["gold_fact_bookings"] > 0
     kpi = spark.read.parquet(str(tmp_path / "lake" / "gold_kpi_revenue"))
     fact = spark.read.parquet(str(tmp_path / "lake" / "gold_fact_bookings"))
