@@ -200,3 +200,22 @@ def test_kpi_groups_sum_to_fact(spark):
     # dedup leaves unique keys; the left joins keep the fact row count
     assert fact.select("booking_id").distinct().count() == fact.count()
     assert q["star_join"](spark, "/root/testdata/sf0.001").count() == fact.count()
+
+
+def test_multi_file_scan_skips_corrupt_files(spark, tmp_path):
+    from staywise.sources.files import multi_file_scan
+    d = tmp_path / "cities"
+    d.mkdir()
+    (d / "a.csv").write_text("city,country\nBerlin,DE\nParis,FR\n")
+    (d / "b.csv").write_text("city,country\nRome,IT\n")
+    (d / "c.csv.gz").write_bytes(b"not gzip at all")          # unreadable file
+    got = sorted(r.city for r in multi_file_scan(spark, [str(d / "*.csv*")]).collect())
+    assert got == ["Berlin", "Paris", "Rome"]
+
+
+def test_weather_skip_counts(spark):
+    from staywise.sources.files import weather_skip_counts
+    p = spark.createDataFrame([('{"results":[{"latitude":1.0,"longitude":2.0,"country":"X"}]}',), ('{}',),
+                               ('{"results":[]}',)], "geocode_json string")
+    r = weather_skip_counts(p).first()
+    assert (r.cities, r.not_found) == (3, 2)
