@@ -65,10 +65,14 @@ def dim_city(city_dim: DataFrame, partitions: int | None = None) -> DataFrame:
                                                                                           if r in keyed.columns])
 
 
-def dim_hotel(silver: DataFrame) -> DataFrame:
+def dim_hotel(silver: DataFrame, exclude_unknown: bool = False) -> DataFrame:
     """gold_dim_hotel: latest attributes per hotel (booking_date desc,
-    booking_id as tie-break) plus the tier."""
-    s = silver.where(F.col("hotel_id").isNotNull()).select(
+    booking_id as tie-break) plus the tier.  ``exclude_unknown`` also drops
+    the 'Unknown' id that short ids merge into under the parity rules."""
+    keep = F.col("hotel_id").isNotNull()
+    if exclude_unknown:
+        keep = keep & (F.col("hotel_id") != K.UNKNOWN)
+    s = silver.where(keep).select(
         "hotel_id", "booking_id", "booking_date", "hotel_name", F.col("city_clean").alias("city"),
         "country", "hotel_type", "star_rating", "latitude", "longitude")
     latest = dedup_latest(s, ["hotel_id"], ["booking_date"], ["booking_id"])

@@ -119,7 +119,8 @@ def dq_report(results: DataFrame) -> DataFrame:
 
 
 def dq_native_summary(df: DataFrame) -> DataFrame:
-    """Seven named problem counts in one pass (duplicates = total - distinct)."""
+    """Seven named problem counts plus two filled-in counts, in one pass
+    (duplicates = total - distinct)."""
     counts = df.agg(
         F.count_if(F.col("booking_id").isNull()).alias("booking_id NULL"),
         F.count_if(F.col("customer_id").isNull()).alias("customer_id NULL"),
@@ -129,6 +130,9 @@ def dq_native_summary(df: DataFrame) -> DataFrame:
         F.count_if(F.col("city_clean").isNull()).alias("city_clean NULL"),
         (F.count("*") - F.count_distinct("booking_id")
          - F.max(F.col("booking_id").isNull()).cast("int")).alias("duplicate booking"),
+        # rows the cleaning filled in rather than found: sentinel dates, zero amounts
+        F.count_if(F.col("booking_date") == F.to_date(F.lit(K.DATE_SENTINEL))).alias("booking_date sentinel"),
+        F.count_if(F.col("total_amount") == 0).alias("total_amount zero-filled"),
     )
     names = counts.columns
     stack = "stack({}, {}) as (test, problems)".format(

@@ -449,7 +449,10 @@ SELECT test, problems, problems = 0 AS ok FROM (
   UNION ALL SELECT 'total_amount < 0', count(*) FILTER (WHERE total_amount < 0) FROM x_silver
   UNION ALL SELECT 'city_clean NULL', count(*) FILTER (WHERE city_clean IS NULL) FROM x_silver
   UNION ALL SELECT 'duplicate booking', count(*) - count(DISTINCT booking_id)
-    - CAST(COALESCE(max(booking_id IS NULL), FALSE) AS INTEGER) FROM x_silver)""", "x_silver"))
+    - CAST(COALESCE(max(booking_id IS NULL), FALSE) AS INTEGER) FROM x_silver
+  UNION ALL SELECT 'booking_date sentinel', count(*) FILTER (WHERE booking_date = DATE '1900-01-01') FROM x_silver
+  UNION ALL SELECT 'total_amount zero-filled', count(*) FILTER (WHERE total_amount = 0) FROM x_silver)""",
+                                           "x_silver"))
 def q_dq_native_summary(spark, sf_dir):
     return quality.dq_native_summary(_silver(spark, sf_dir))
 

@@ -72,3 +72,13 @@ def table_inventory(spark: SparkSession, names) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def read_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A lookup table, or an empty table of its schema when it does not exist
+    yet (first run of a cyclic enrichment: silver before the API landing)."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except Exception:  # noqa: BLE001 - missing path is the expected case
+        log.warning("lookup %s missing; using an empty table", path)
+        return spark.createDataFrame([], schema)

@@ -219,3 +219,17 @@ def test_weather_skip_counts(spark):
                                ('{"results":[]}',)], "geocode_json string")
     r = weather_skip_counts(p).first()
     assert (r.cities, r.not_found) == (3, 2)
+
+
+def test_empty_lookup_first_run(spark, tmp_path):
+    """First run: lookups absent -> empty typed tables, enrichment leaves NULLs."""
+    from staywise.sources.schemas import RATES_TABLE_SCHEMA, WEATHER_TABLE_SCHEMA
+    from staywise.sources.tables import read_or_empty
+    w = read_or_empty(spark, str(tmp_path / "none_w"), WEATHER_TABLE_SCHEMA)
+    r = read_or_empty(spark, str(tmp_path / "none_r"), RATES_TABLE_SCHEMA)
+    df = spark.createDataFrame([("b1", "Berlin", "USD"), ("b2", "Rome", "EUR")],
+                               "booking_id string, city_clean string, currency string")
+    out = {x.booking_id: x for x in enrich.enrich_weather_rates(df, enrich.latest_weather(w),
+                                                                 enrich.latest_rates(r)).collect()}
+    assert out["b1"].temperature_c is None and out["b1"].exchange_rate_to_eur is None
+    assert out["b2"].exchange_rate_to_eur == 1.0
