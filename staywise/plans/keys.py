@@ -37,7 +37,8 @@ _PLANS: dict = {}
 def _plan(spark, key, build):
     """Lazy plan objects shared by the queries of one session (the plan,
     not its data: every query still runs from the raw tables)."""
-    k = (id(spark._jsparkSession),) + key
+    from ..session import session_key
+    k = session_key(spark) + key
     if k not in _PLANS:
         _PLANS[k] = build()
     return _PLANS[k]

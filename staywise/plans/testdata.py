@@ -38,7 +38,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table as a DataFrame; the relation (file listing, footers,
     schema) is resolved once per session and path and then shared."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    from ..session import session_key
+    key = session_key(spark) + (path,)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]

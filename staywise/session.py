@@ -69,3 +69,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session for per-session caches of lazy plans: the
+    application id and the JVM session id, so a stopped and re-created
+    session never sees the previous one's DataFrames."""
+    return (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID())
