@@ -100,17 +100,20 @@ def hotel_dimension(batch: DataFrame, id_col: str = "hotel_id", meta_cols=None,
 
 
 def fill_from_lookup(df: DataFrame, dim: DataFrame, id_col: str, cols, dim_key: str = "dim_id",
-                     prefix: str = "dim_") -> DataFrame:
+                     prefix: str = "dim_", salt_cols=None) -> DataFrame:
     """Left join a dimension on the digits of ``id_col`` and replace NULL,
     blank or 'Unknown' values of ``cols`` with the dimension's value
     (columns missing in ``df`` are added from the dimension).
 
     Rows without a usable key get a salted key that never matches, so they
-    do not pile up in one join partition.
+    do not pile up in one join partition.  The salt is a deterministic hash
+    of ``salt_cols`` (default: the booking id, else every column), so a
+    recomputed map task sends each row to the same partition.
     """
+    salt_cols = salt_cols or (["booking_id"] if "booking_id" in df.columns else df.columns)
     key = digits_only(id_col)
     salted = F.when(key.isNotNull() & (key != ""), key).otherwise(
-        F.concat(F.lit("\u0000"), (F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % 1024).cast("string")))
+        F.concat(F.lit("\u0000"), (F.abs(F.xxhash64(*[F.col(c) for c in salt_cols])) % 1024).cast("string")))
     left = df.withColumn("_lk", salted)
     joined = left.join(dim, left["_lk"] == dim[dim_key], "left")
     out = []
