@@ -233,3 +233,21 @@ def test_empty_lookup_first_run(spark, tmp_path):
                                                                  enrich.latest_rates(r)).collect()}
     assert out["b1"].temperature_c is None and out["b1"].exchange_rate_to_eur is None
     assert out["b2"].exchange_rate_to_eur == 1.0
+
+
+def test_stream_processing_time_trigger(spark, tmp_path):
+    """The production form: processing-time trigger with a byte cap per batch."""
+    from staywise.streaming import events as ev
+    recs = spark.createDataFrame([(f"b{i}", i, str(i), "2024-01-01 10:00:00", "Single", 1.0 * i, "EUR", "Web",
+                                   "2024-01-01 10:00:00") for i in range(20)], ev.S.EVENT_SCHEMA)
+    landing = str(tmp_path / "landing")
+    ev.land_events_json(recs.repartition(4), landing)
+    raw, typed = str(tmp_path / "raw"), str(tmp_path / "typed")
+    sdf = ev.stream_events(spark, landing, max_bytes=1024)
+    q = ev.stream_fanout(sdf, raw, typed, str(tmp_path / "ck"), trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(raw).count() == 20
+    assert spark.read.parquet(typed).where("hotel_id IS NOT NULL").count() == 20
