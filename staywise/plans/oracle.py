@@ -30,12 +30,21 @@ def initcap(e: str) -> str:
 
 def sround(e: str, d: int) -> str:
     """Spark's round of a double rounds its decimal form HALF_UP."""
-    return f"CAST(round(CAST(CAST(CAST({e} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,16)), {d}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(CAST({e} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,20)), {d}) AS DOUBLE)"
+
+
+def _decimal_quotient(num_units: str, vscale: int, den: str, scale: int) -> str:
+    """num / den as Spark's decimal division does it: exact quotient rounded
+    HALF_UP to 6 decimals, then HALF_UP to ``scale`` decimals.  ``num_units``
+    is the numerator in units of 10^-vscale (non-negative integers)."""
+    r6 = f"((2 * ({num_units}) * {10 ** (6 - vscale)} + ({den})) // (2 * ({den})))"
+    step = 10 ** (6 - scale)
+    return f"(CAST((2 * {r6} + {step}) // {2 * step} AS DOUBLE) / {10 ** scale})"
 
 
 def avg_money(e: str) -> str:
-    """Exact average of cent amounts (decimal sum), rounded to cents."""
-    return sround(f"CAST(sum(CAST({e} AS DECIMAL(38,2))) AS DOUBLE) / count({e})", 2)
+    """Average of cent amounts as Spark's decimal average computes it."""
+    return _decimal_quotient(f"sum(CAST(round({e} * 100) AS HUGEINT))", 2, f"count({e})", 2)
 
 
 def to_double(e: str) -> str:
@@ -382,7 +391,9 @@ def not_in(col: str, values) -> str:
 
 
 def wavg(value: str, weight: str, scale: int, vscale: int) -> str:
-    return sround(f"CAST(sum(CAST({value} * {weight} AS DECIMAL(38,{vscale}))) AS DOUBLE) / sum({weight})", scale)
+    """sum(value * weight) / sum(weight) with the products summed in decimal."""
+    num = f"sum(CAST(round({value} * {weight} * {10 ** vscale}) AS HUGEINT))"
+    return _decimal_quotient(num, vscale, f"sum({weight})", scale)
 
 
 def _label(kind, col, lo=None, hi=None, type_name=""):
