@@ -81,8 +81,11 @@ def report_years(dim_date_df: DataFrame) -> DataFrame:
 
 def default_summarize(df: DataFrame, sum_cols=tuple(FACT_SUMMARIZE_SUM), by=()) -> DataFrame:
     """Apply each column's default aggregation ("sum"; "none" columns are
-    group keys or left out), as a BI total row or per ``by`` group."""
-    aggs = [F.round(F.sum(c).cast("double"), 4).alias(f"sum_{c}") for c in sum_cols if c in df.columns]
+    group keys or left out), as a BI total row or per ``by`` group.  Values
+    are summed as decimal(38,4): exact, so the total does not depend on the
+    order partitions are combined in (a double sum of 10^5+ amounts does)."""
+    aggs = [F.sum(F.col(c).cast("decimal(38,4)")).cast("double").alias(f"sum_{c}")
+            for c in sum_cols if c in df.columns]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 

@@ -223,7 +223,8 @@ def q_report_years(spark, sf_dir):
 
 
 @register("default_summarize", O.with_ctes("SELECT " + ", ".join(
-    f"{O.sround(f'sum({c})', 4)} AS sum_{c}" for c in report.FACT_SUMMARIZE_SUM) + " FROM x_fact", "x_fact"))
+    f"CAST(sum(CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,4))) AS DOUBLE) AS sum_{c}"
+    for c in report.FACT_SUMMARIZE_SUM) + " FROM x_fact", "x_fact"))
 def q_default_summarize(spark, sf_dir):
     return report.default_summarize(_fact(spark, sf_dir))
 
