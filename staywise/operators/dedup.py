@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialize
 
 def _order(cols, desc: bool) -> list[Column]:
     out = []
@@ -39,18 +40,23 @@ def surrogate_key(df: DataFrame, order_cols, name: str = "key", partitions: int
     Range-partition and sort by the order columns, number rows within each
     partition, and add the row count of all earlier partitions (a table with
     one row per partition, so its size is bounded by the partition count).
-    The order columns must identify a row: the keys are then the same on
-    every (re)computation, e.g. after a lost executor.
+
+    The numbered rows are written once, with partition number and local
+    number, and both the counts and the result read that table: two
+    evaluations of a range partitioning may sample different bounds, and
+    then the counts would not belong to the numbers.  Rows equal in all order
+    columns get distinct keys in an unspecified order among themselves.
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols) \
-        .withColumn("_pid", F.spark_partition_id()) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    ranged = materialize(
+        df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)),
+        "numbered")
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
     offs = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)))
     return (ranged.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
             .withColumn(name, F.col("_off") + F.col("_local") + 1)
-            .drop("_pid", "_mid", "_local", "_off"))
+            .drop("_pid", "_local", "_off"))

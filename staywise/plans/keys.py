@@ -635,11 +635,11 @@ def q_multi_file_scan(spark, sf_dir):
 
 
 @register("positional_split", """
-SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= floor(count(*) OVER () * 0.7)
+SELECT *, CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= floor(count(*) OVER () * 0.7)
   THEN 'batch' ELSE 'stream' END AS part FROM orders""")
 def q_positional_split(spark, sf_dir):
     from ..operators.split import positional_split
-    return positional_split(td.read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], K.BATCH_SHARE)
+    return positional_split(td.read(spark, sf_dir, "orders"), ["o_orderkey"], K.BATCH_SHARE)
 
 
 # ---- streaming ------------------------------------------------------------------------------

@@ -59,6 +59,14 @@ def test_surrogate_key_dense_and_ordered(spark):
     assert [k for _, k in got] == list(range(1, 1001))
 
 
+def test_surrogate_key_many_wide_rows(spark):
+    df = spark.range(100_000).selectExpr("concat('city ', id % 100000) AS city", "id AS a", "repeat('x', 50) AS b")
+    keyed = dedup.surrogate_key(df, ["city"], "city_key", partitions=7)
+    got = keyed.selectExpr("count(*) n", "count(DISTINCT city_key) d", "min(city_key) lo", "max(city_key) hi").first()
+    assert tuple(got) == (100_000, 100_000, 1, 100_000)
+    assert keyed.selectExpr("city_key - row_number() OVER (ORDER BY city) AS off").filter("off <> 0").isEmpty()
+
+
 def test_positional_split(spark):
     df = spark.range(0, 100).withColumnRenamed("id", "k")
     out = positional_split(df, ["k"], 0.7, partitions=4)
