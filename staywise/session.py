@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,17 +56,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage; only when it is
-    unset (local tests) a scratch folder is created and registered.
+    On a cluster the launcher names shared storage there; without it the job
+    stops, as a folder of one machine would be unseen by the others.  Only
+    a local session gets a scratch folder of its own.  The folder is handed to
+    the context once per application.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="staywise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if _checkpoints.get(sc.applicationId) != d:
+        sc.setCheckpointDir(d)
+        _checkpoints[sc.applicationId] = d
     return d
 
 
+_checkpoints: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -76,3 +88,22 @@ def session_key(spark: SparkSession) -> tuple:
     application id and the JVM session id, so a stopped and re-created
     session never sees the previous one's DataFrames."""
     return (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application, so that
+    functions run in tasks can import it wherever the executors are.  The
+    archive lies on the driver, whose file server hands it out."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="staywise-code-")) / "staywise.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
