@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..sources.tables import materialize
 
 # Runs of ASCII white space, and what stands between them.
@@ -52,3 +53,11 @@ def lookup(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, spr
                                              .otherwise(F.array(F.lit(0)))))
               .drop("_hot"))
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def python_workers(spark: SparkSession, rows: int = 500) -> None:
+    """What every operator with Python tasks needs: the package on the
+    workers, and small Arrow batches (with documents of very different
+    lengths, one of the default 10,000 rows could outgrow a worker)."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
