@@ -61,3 +61,23 @@ def python_workers(spark: SparkSession, rows: int = 500) -> None:
     lengths, one of the default 10,000 rows could outgrow a worker)."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def content_key(text: Column) -> Column:
+    """128-bit hash of a text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, hash of the text) is in ``kept``.
+
+    Repeated rows (same id and text) first collapse to the smallest of them
+    by their sortable columns, before the shuffle where they meet there.
+    """
+    sortable = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("doc_id"), content_key(F.col(text_col)).alias("hash"))
+    one = rows.groupBy("doc_id", "hash").agg(
+        F.min_by("row", F.struct(*[F.col("row")[c].alias(f"c{i}") for i, c in enumerate(sortable)])).alias("row"))
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash"))
+    return (one.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")),
+                     "left_semi").select("row.*"))

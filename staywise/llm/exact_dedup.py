@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, lookup, table, whole_row, written
+from .common import SPACE, content_key, keep_rows, lookup, table, written
 
 
 def normalised(text: Column) -> Column:
@@ -38,14 +38,15 @@ def _collisions(docs: DataFrame, text_col: str) -> DataFrame:
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id (id of the row that stays),
-    group_size, kept, text_sha256, hash.
+    group_size, kept, text_sha256, hash (of the text as it is).
 
     Groups are keyed by the 128-bit hash and, to tell apart texts that
     collide in it, the SHA-256; ``_collisions`` proves by their bytes that a
     group holds one text only and stops the job otherwise.
     """
     t = normalised(F.col(text_col))
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), content_hash(t).alias("hash"),
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), content_key(F.col(text_col)).alias("own_hash"),
+                               content_hash(t).alias("hash"),
                                F.sha2(t, 256).alias("sha"), F.monotonically_increasing_id().alias("rid")),
                    "digests")
     if not _collisions(docs, text_col).isEmpty():
@@ -54,24 +55,13 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     groups = written(rows.groupBy("hash", "sha").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
     return (lookup(rows, groups, ["hash", "sha"], "group_size", F.xxhash64("rid"))
             .select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
-                    (F.col("rid") == F.col("first.rid")).alias("kept"), F.col("sha").alias("text_sha256"), "hash"))
+                    (F.col("rid") == F.col("first.rid")).alias("kept"), F.col("sha").alias("text_sha256"),
+                    F.col("own_hash").alias("hash")))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they were.
-
-    Repeated rows (same id and text) first collapse to the smallest of them
-    by their sortable columns, before the shuffle where they meet there.
-    """
-    sortable = [f.name for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    rows = docs.select(whole_row(docs), F.col(id_col).alias("doc_id"),
-                       content_hash(normalised(F.col(text_col))).alias("hash"))
-    one = rows.groupBy("doc_id", "hash").agg(
-        F.min_by("row", F.struct(*[F.col("row")[c].alias(f"c{i}") for i, c in enumerate(sortable)])).alias("row"))
-    kept = (assign(docs, id_col, text_col).filter("kept")
-            .select(F.col("doc_id").alias("kept_id"), F.col("hash").alias("kept_hash")))
-    return (one.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")),
-                     "left_semi").select("row.*"))
+    """The rows of ``docs`` that stay, all columns as they were."""
+    return keep_rows(docs, assign(docs, id_col, text_col).filter("kept"), id_col, text_col)
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:

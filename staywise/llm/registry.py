@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, jaccard_join, mixing, packing, quality
 
 QUERIES = {
+    "op1_packing": (packing.op1_packing, None),
+    "op3_jaccard_join": (jaccard_join.op3_jaccard_join, None),
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
     "op5_source_mixing": (mixing.op5_source_mixing, mixing.SQL),
+    "op9_quality_classifier": (quality.op9_quality_classifier, None),
 }
