@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, mixing, packing, quality, topk
+from . import exact_dedup, jaccard_join, mixing, packing, quality, secrets, topk
 
 QUERIES = {
     "op1_packing": (packing.op1_packing, None),
     "op3_jaccard_join": (jaccard_join.op3_jaccard_join, None),
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
     "op5_source_mixing": (mixing.op5_source_mixing, mixing.SQL),
+    "op6_secret_scan": (secrets.op6_secret_scan, None),
     "op9_quality_classifier": (quality.op9_quality_classifier, None),
     "op10_topk_search": (topk.op10_topk_search, topk.SQL),
 }
