@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, mixing, packing, quality, secrets, topk
+from . import exact_dedup, jaccard_join, language, mixing, packing, quality, secrets, topk
 
 QUERIES = {
     "op1_packing": (packing.op1_packing, None),
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
     "op5_source_mixing": (mixing.op5_source_mixing, mixing.SQL),
     "op6_secret_scan": (secrets.op6_secret_scan, None),
+    "op8_language_id": (language.op8_language_id, None),
     "op9_quality_classifier": (quality.op9_quality_classifier, None),
     "op10_topk_search": (topk.op10_topk_search, topk.SQL),
 }
