@@ -44,11 +44,14 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "offset long, sequence_length long, cut string")
 
 
-def best_cuts(pos: list[int], pen: list[int], window: int, tail: int | None = None) -> list[int]:
+def best_cuts(pos: list[int], pen: list[int], window: int, tail: int | None = None,
+              goes_on: bool = False) -> list[int]:
     """Indices of the cheapest chain of cuts from the first to the last
-    position.  ``pos`` ascends by steps of at most ``window``; ``pen[j]`` is
-    the penalty of cutting at ``pos[j]``.  From position ``tail`` on, windows
-    of a power of two are also taken, free of padding.
+    position or, if the stream ``goes_on``, to the cheapest one less than a
+    window before it (the later among equals).  ``pos`` ascends by steps of at
+    most ``window``; ``pen[j]`` is the penalty of cutting at ``pos[j]``.  From
+    position ``tail`` on, windows of a power of two are also taken, free of
+    padding.
 
     With g = cost so far + position, a window from i to j costs
     g[j] = g[i] + window + pen[j], so the queue only needs g.
@@ -75,7 +78,11 @@ def best_cuts(pos: list[int], pen: list[int], window: int, tail: int | None = No
         while g[queue[-1]] >= v and len(queue) > head:  # below head lie states that have left
             queue.pop()
         queue.append(j)
-    out, j = [n - 1], n - 1
+    j = n - 1
+    if goes_on:
+        late = [i for i in range(n) if pos[i] > pos[-1] - window and i]
+        j = min(late, key=lambda i: (g[i] - pos[i], -i))
+    out = [j]
     while j:
         j = prev[j]
         out.append(j)
@@ -128,9 +135,7 @@ class Packer:
         pen[run_ends[whole]] = 0
         pen[0], pen[n] = 0, min(pen[n], HARD)
         at = np.flatnonzero(pen < none)
-        chosen = at[best_cuts(at.tolist(), pen[at].tolist(), self.window, tail)]
-        if not last:
-            chosen = chosen[:-1]  # the last window may still grow
+        chosen = at[best_cuts(at.tolist(), pen[at].tolist(), self.window, tail, goes_on=not last)]
         yield from self.emit(chosen.tolist(), pen)
         done, left = int(chosen[-1]), []
         for (doc, start, part, total), end in zip(self.runs, run_ends.tolist(), strict=True):
