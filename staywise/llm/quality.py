@@ -164,7 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         marks = marks.filter(F.col("h") < sample / n)
     stats = F.pandas_udf(lambda s: pd.Series(list(matrix(s))), "array<double>")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = written(texts.join(marks, "id").select("y", "h", stats("text").alias("stats")), "labelled")
+    # the sample's ids: about ``sample`` rows at most, whatever the tables hold
+    rows = written(texts.join(F.broadcast(marks), "id").select("y", "h", stats("text").alias("stats")), "labelled")
     moments = summed(rows, lambda x, y: np.array([x.sum(0), (x * x).sum(0), np.resize([len(x), y.sum()], x.shape[1])]))
     if not moments or not 0 < moments[2][1] < moments[2][0]:
         return Model(np.zeros(len(NAMES)), np.ones(len(NAMES)))
