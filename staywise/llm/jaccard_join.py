@@ -183,20 +183,23 @@ def join(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = REC
         .withColumn("cid", F.col("first.rid")), "sets")
     met = written(compared(leaves(sets, runs), runs), "met")
 
-    # Tokens again, only of the sets that share a leaf.
+    # Tokens again, only of the sets that share a leaf.  Repeated rows collapse
+    # before the shuffle, and the join finds the texts already in place.
+    def row_key(doc_id, text_hash):
+        return F.unhex(F.md5(F.concat(text_hash, F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"))))
+
     want = (met.select("cid").distinct().join(sets, "cid")
-            .select("cid", "n", F.col("hash").alias("want_hash"), F.col("first.doc_id").alias("want_id")))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), content_key(F.col(text_col)).alias("hash"),
-                        F.col(text_col).alias("text"))
-    found = texts.join(want, (F.col("hash") == F.col("want_hash")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
+            .select("cid", "n", row_key(F.col("first.doc_id"), F.col("hash")).alias("key")))
+    texts = (docs.select(row_key(F.col(id_col).cast("long"), content_key(F.col(text_col))).alias("key"),
+                         F.col(text_col).alias("text"))
+             .groupBy("key").agg(F.any_value("text").alias("text")))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = pa.array([shingles(t.as_py()).tobytes() for t in b.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), raw], ["cid", "n", "tokens"])
 
-    contents = written(found.select("cid", "n", "text").mapInArrow(tokens, "cid long, n long, tokens binary")
-                       .dropDuplicates(["cid"]), "tokens")
+    contents = texts.join(want, "key").select("cid", "n", "text").mapInArrow(tokens, "cid long, n long, tokens binary")
     dealt = block_pairs(met.join(contents, "cid"), "leaf", "size", "cid", LEAF)
     near = written(by_task(dealt, ["leaf", "bi", "bj"], lambda t: compare(t, similarity),
                            "cid long, root long, links long", tasks_of(docs)), "near")
