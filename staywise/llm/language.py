@@ -206,7 +206,7 @@ def learn(pieces: pd.DataFrame, epochs: int = 4, batch: int = 48, rate: float =
                 member.setdefault(int(found[j]), np.zeros(k, np.float32))[i] = 1
     names = np.array(sorted(member), np.uint64)
     model = Model(labels, np.zeros((BUCKETS + k, k), np.float32), np.zeros((k, k)), names,
-                  np.array([member[int(x)] for x in names], np.float32).reshape(-1, k))
+                  np.array([member[int(x)] for x in names], np.float32).reshape(len(names), k))
     if k < 2:
         return model
 

@@ -76,7 +76,7 @@ def attribute(docs: DataFrame, tokenizer: str, *, rule: str = "first", sections:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if sections is not None:
         spans = sections.groupBy("doc_id").agg(
-            F.sort_array(F.collect_list(F.struct(*[F.col(c).cast("long") for c in ("start", "end", "section")])))
+            F.sort_array(F.collect_list(F.struct(*[F.col(c).cast("long").alias(c) for c in ("start", "end", "section")])))
             .alias("spans"))
         rows = rows.join(spans, "doc_id")
     given = sections is not None
