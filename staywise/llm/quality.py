@@ -4,8 +4,9 @@ ridge regression by partition-summed normal equations, isotonic calibration.
 Statistics of a text (lengths, character classes, repeated words and lines)
 are computed over the whole text.  Cosines of random projections of the
 standardised statistics approximate a Gaussian kernel; the ridge weights solve
-(X'X + l I) w = X'y, where every partition adds its own X'X and X'y.  Scores
-become probabilities by isotonic regression on labelled rows kept apart.
+(X'X + l I) w = X'y, where every partition adds its own X'X and X'y, fold by
+fold.  Scores become probabilities by isotonic regression of the labels on
+scores by the weights of the other folds.
 
 Defined cases: null and empty texts have all-zero statistics and get the score
 of such a text; labels that are null are no labels; several labels of one id
@@ -32,7 +33,8 @@ THRESHOLD = 0.3
 # Labelled rows used for fitting, about: the expected size of a sample by hash.
 SAMPLE = 60_000
 FEATURES = 256   # random Fourier features
-RIDGE = 1e-2     # times the number of rows
+RIDGE = 1.0
+PARTS = 5        # folds of the calibration
 BINS = 1000      # score bins of the calibration
 SEED = 9
 
@@ -100,14 +102,13 @@ class Model:
 
 
 def summed(rows: DataFrame, arrays) -> dict[int, np.ndarray]:
-    """Sums over all rows of ``arrays(stats, y)``, a list of equally long
-    vectors: every partition adds up its own, Spark adds those by position.
+    """Sums over all rows of ``arrays(stats, y, fold)``, equally long vectors: every partition adds up its own, Spark adds those by position.
     The result's size is fixed by the number of features."""
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for b in batches:
             if len(b):
-                x = arrays(np.vstack(b["stats"].to_numpy()), b["y"].to_numpy(float))
+                x = arrays(np.vstack(b["stats"].to_numpy()), b["y"].to_numpy(float), b["fold"].to_numpy())
                 total = x if total is None else total + x
         if total is not None:
             yield pd.DataFrame({"i": range(len(total)), "v": list(total)})
@@ -131,11 +132,15 @@ def pool_adjacent(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
 
 
-def calibrate(model: Model, rows: DataFrame) -> None:
-    """Isotonic fit over BINS bins of the raw score; a bin's value is drawn
-    towards the overall share by two rows, so that thin ends stay moderate."""
-    def binned(stats, y):
-        k = np.clip(((model.raw(stats) + 0.5) / 2 * BINS).astype(int), 0, BINS - 1)
+def calibrate(model: Model, rows: DataFrame, others: list[np.ndarray]) -> None:
+    """Isotonic fit over BINS bins of the raw score, each row scored by the
+    weights learnt without its fold; a level's value is drawn towards the
+    overall share by two rows, so that thin ends stay moderate."""
+    weights = np.array(others)
+
+    def binned(stats, y, fold):
+        raw = (model.features(stats) * weights[fold]).sum(1)
+        k = np.clip(((raw + 0.5) / 2 * BINS).astype(int), 0, BINS - 1)
         return np.array([np.bincount(k, minlength=BINS), np.bincount(k, weights=y, minlength=BINS)])
 
     sums = summed(rows, binned)
@@ -153,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         label_col: str = "quality", sample: int = SAMPLE) -> Model:
     """Learn from the labelled rows outside the held-out fold.  Above
     ``sample`` of them, a hash of the id chooses about that many; the fit,
-    not the scoring, is bounded by it.  A fifth of the rows only calibrates."""
+    not the scoring, is bounded by it."""
     python_workers(docs.sparkSession)
     marks = (labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
              .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT_MOD != 0)
@@ -165,24 +170,34 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     stats = F.pandas_udf(lambda s: pd.Series(list(matrix(s))), "array<double>")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # the sample's ids: about ``sample`` rows at most, whatever the tables hold
-    rows = written(texts.join(F.broadcast(marks), "id").select("y", "h", stats("text").alias("stats")), "labelled")
-    moments = summed(rows, lambda x, y: np.array([x.sum(0), (x * x).sum(0), np.resize([len(x), y.sum()], x.shape[1])]))
+    rows = written(texts.join(F.broadcast(marks), "id")
+                   .select("y", F.pmod(F.hash("h"), F.lit(PARTS)).alias("fold"), stats("text").alias("stats")),
+                   "labelled")
+    moments = summed(rows, lambda x, y, fold: np.array(
+        [x.sum(0), (x * x).sum(0), np.resize([len(x), y.sum()], x.shape[1])]))
     if not moments or not 0 < moments[2][1] < moments[2][0]:
         return Model(np.zeros(len(NAMES)), np.ones(len(NAMES)))
     count = moments[2][0]
     mean = moments[0] / count
     scale = np.sqrt(np.maximum(moments[1] / count - mean ** 2, 0))
     model = Model(mean, np.where(scale > 1e-9, scale, 1.0))
-    apart = F.pmod(F.hash("h"), F.lit(5)) == 0
-    equations = summed(rows.filter(~apart), lambda x, y: (lambda f: np.vstack([f.T @ f, f.T @ y]))(model.features(x)))
-    if not equations:
-        return Model(model.mean, model.scale)
-    size = len(equations) - 1
-    gram = np.vstack([equations[i] for i in range(size)])
-    ridge = RIDGE * gram[0, 0] / size * np.eye(size)
-    ridge[0, 0] = 0
-    model.weights = np.linalg.solve(gram + ridge, equations[size])
-    calibrate(model, rows if rows.filter(apart).isEmpty() else rows.filter(apart))
+
+    def equations(x, y, fold):
+        f = model.features(x)
+        parts = [(f[fold == k], y[fold == k]) for k in range(PARTS)]
+        return np.vstack([m for a, b in parts for m in (a.T @ a, a.T @ b)])
+
+    sums = summed(rows, equations)
+    size = len(sums) // PARTS - 1
+    folds = [np.vstack([sums[k * (size + 1) + i] for i in range(size + 1)]) for k in range(PARTS)]
+    ridge = RIDGE * np.eye(size)
+    ridge[0, 0] = 1e-9
+
+    def solve(total: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(total[:size] + ridge, total[size])
+
+    model.weights = solve(sum(folds))
+    calibrate(model, rows, [solve(sum(folds) - f) for f in folds])
     return model
 
 

@@ -149,8 +149,8 @@ def test_pool_adjacent():
 def test_normal_equations_match_direct_solution(spark):
     rng = np.random.default_rng(3)
     x, y = rng.normal(size=(200, len(quality.NAMES))), rng.integers(0, 2, 200).astype(float)
-    df = spark.createDataFrame(pd.DataFrame({"stats": x.tolist(), "y": y})).repartition(5)
-    got = quality.summed(df, lambda a, b: np.vstack([a.T @ a, a.T @ b]))
+    df = spark.createDataFrame(pd.DataFrame({"stats": x.tolist(), "y": y, "fold": 0})).repartition(5)
+    got = quality.summed(df, lambda a, b, fold: np.vstack([a.T @ a, a.T @ b]))
     want = np.vstack([x.T @ x, x.T @ y])
     assert all(np.allclose(got[i], want[i]) for i in range(len(want)))
 
