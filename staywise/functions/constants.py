@@ -48,7 +48,6 @@ CANCELLED_LABELS = ["Canceled", "Cancelled"]
 
 # Fallback cities when neither silver nor bronze provide any.
 DEFAULT_CITIES = ["Amsterdam", "Berlin", "Paris", "London", "Istanbul"]
-CITY_SOURCE_LIMIT = 500
 
 # Report exclude lists.
 REPORT_COUNTRY_EXCLUDE_TYPES = ["Budget Hotel", "--", "___", "???", "Unknown", "City Hotel...",

@@ -29,6 +29,20 @@ def to_double(c) -> Column:
     return _c(c).try_cast("double")
 
 
+def finite(c) -> Column:
+    """The number, or NULL for NaN and infinities, which would otherwise
+    swallow every sum they enter."""
+    v = to_double(c)
+    return F.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(None)).otherwise(v)
+
+
+def exact_sum(c, scale: int = 2) -> Column:
+    """Sum as decimal with ``scale`` decimals, as double: the same whatever
+    the order of the rows or the number of partitions.  Values that are no
+    numbers of that range (NaN, infinities) do not count."""
+    return F.sum(_c(c).try_cast(f"decimal(38,{scale})")).cast("double")
+
+
 def to_int(c) -> Column:
     """Permissive int parse through double so '4.0' -> 4 (truncates)."""
     return _c(c).try_cast("double").try_cast("int")
@@ -64,10 +78,6 @@ def hotel_tier(c) -> Column:
             .otherwise(F.lit("Budget")))
 
 
-def in_labels(c, labels) -> Column:
-    return _c(c).isin(list(labels))
-
-
 def avg_money(c, scale: int = 2) -> Column:
     """Average of cent amounts, exactly: the sum runs in decimal, so the
     result does not depend on the order rows are added (double sums do)."""

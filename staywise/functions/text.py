@@ -38,8 +38,7 @@ def norm_currency(c) -> Column:
 
 def garbage_to_unknown(v: Column) -> Column:
     """Garbage token or empty -> Unknown; NULL stays NULL."""
-    tokens = F.array(*[F.lit(t) for t in K.GARBAGE_TOKENS + [""]])
-    return F.when(F.array_contains(tokens, v), F.lit(K.UNKNOWN)).otherwise(v)
+    return F.when(v.isin([*K.GARBAGE_TOKENS, ""]), F.lit(K.UNKNOWN)).otherwise(v)
 
 
 def clean_string(c, upper: bool = False) -> Column:

@@ -60,14 +60,25 @@ def data_calendar(df: DataFrame, ts_col: str) -> DataFrame:
 
 def date_part_join(df: DataFrame, calendar: DataFrame, ts_col: str) -> DataFrame:
     """Attach calendar attributes to a timestamp column by its date part.
-    The calendar has one row per day of the covered years (bounded by the
-    date range, ~366 rows per year), so it is broadcast."""
-    return df.join(F.broadcast(calendar), F.to_date(F.col(ts_col)) == calendar["Date"], "left")
+    Pass a written calendar: Spark then knows its size and broadcasts it only
+    below its threshold (a stray far-future date widens the range)."""
+    return df.join(calendar, F.to_date(F.col(ts_col)) == calendar["Date"], "left")
 
 
 def date_hierarchy_rollup(fact: DataFrame, dates: DataFrame, measure: str = "total_amount_eur") -> DataFrame:
-    """Drill Year > Quarter > Month > Day as ROLLUP subtotals."""
-    j = date_part_join(fact, dates, "booking_date")
+    """Drill Year > Quarter > Month > Day as ROLLUP subtotals, over one row
+    per day: the rollup's five-fold expansion sees days, not bookings."""
+    return rollup_days(days_of(fact, measure), dates)
+
+
+def days_of(fact: DataFrame, measure: str = "total_amount_eur") -> DataFrame:
+    """Bookings and revenue (an exact decimal) by day."""
+    return fact.groupBy("booking_date").agg(F.count("*").alias("n"),
+                                            F.sum(F.col(measure).try_cast("decimal(28,2)")).alias("amount"))
+
+
+def rollup_days(days: DataFrame, dates: DataFrame) -> DataFrame:
+    j = date_part_join(days, dates, "booking_date")
     return (j.rollup("Year", "QuarterNo", "MonthNo", "Day")
-            .agg(F.count("*").alias("bookings"), F.round(F.sum(measure), 2).alias("revenue_eur"),
+            .agg(F.sum("n").alias("bookings"), F.sum("amount").cast("double").alias("revenue_eur"),
                  F.grouping_id().cast("int").alias("level")))

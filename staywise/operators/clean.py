@@ -90,21 +90,18 @@ def time_col_activity(df: DataFrame, time_cols) -> DataFrame:
             .withColumn("dropped", F.col("non_midnight_rows") == 0))
 
 
-def hotel_text(df: DataFrame, cols=tuple(K.CLEAN_EXEMPT)) -> DataFrame:
-    """hotel_name / hotel_type: NULL or blank -> Unknown, else trimmed."""
-    return _replace(df, {c: T.blank_to_unknown_trim(c) for c in cols if c in df.columns})
-
-
 def add_city_clean(df: DataFrame, src: str = "city", name: str = "city_clean") -> DataFrame:
     return _replace(df, {name: T.city_clean(src)})
 
 
-def type_cast_filter(df: DataFrame, date_col: str = "booking_date") -> DataFrame:
-    """Typed core columns; rows whose booking date does not parse are dropped."""
+def type_cast_filter(df: DataFrame, date_col: str = "booking_date", parity: bool = False) -> DataFrame:
+    """Typed core columns; rows whose booking date does not parse are dropped.
+    Text ``NaN`` is a missing amount, except with ``parity``."""
+    number = N.to_double if parity else N.finite
     exprs = {
         date_col: N.safe_timestamp(date_col),
-        "total_amount": F.abs(N.to_double("total_amount")),
-        "room_price": F.abs(N.to_double("room_price")),
+        "total_amount": F.abs(number("total_amount")),
+        "room_price": F.abs(number("room_price")),
         "nights": N.to_int("nights"),
     }
     exprs = {k: v for k, v in exprs.items() if k in df.columns}
@@ -194,7 +191,7 @@ def classify_columns(df: DataFrame, parity: bool = False, overrides: dict | None
     return cls
 
 
-def universal_clean_exprs(df: DataFrame, cls: ColumnClasses) -> dict:
+def universal_clean_exprs(df: DataFrame, cls: ColumnClasses, parity: bool = False) -> dict:
     """Column -> expression map for the universal clean (one projection)."""
     dt = dict(df.dtypes)
     ex = {}
@@ -205,13 +202,17 @@ def universal_clean_exprs(df: DataFrame, cls: ColumnClasses) -> dict:
     for c in cls.numeric:
         src = ex.get(c, F.col(c))
         v = N.words_to_digits(src) if dt[c] == "string" else src
+        if not parity and dt[c] in ("string", "double", "float"):
+            v = N.finite(v)
         if c in cls.coords:
             ex[c] = N.clean_coord(v, 90 if "latitude" in c.lower() else 180, as_int=c in cls.ints)
         else:
             ex[c] = N.clean_amount(v, as_int=c in cls.ints, zero_fill=c not in cls.no_zero_fill)
     for c in cls.dates:
         # a column that is both numeric and date gets the date treatment last
-        safe = N.with_sentinel(N.safe_timestamp(ex.get(c, F.col(c))))
+        src = ex.get(c, F.col(c))
+        typed = dt[c] in ("timestamp", "date") and c not in ex
+        safe = N.with_sentinel(src.cast("timestamp") if typed else N.safe_timestamp(src))
         ex[c] = F.to_date(safe)
         ex[f"{c}_time"] = F.date_format(safe, "HH:mm:ss")
     for c in cls.exempt:
@@ -224,7 +225,7 @@ def universal_clean(df: DataFrame, parity: bool = False, drop_midnight: bool = T
     """C1-C9 driven by column classes, as one generated projection, then
     the midnight-only ``_time`` columns dropped after one probe job."""
     cls = classify_columns(df, parity, overrides)
-    out = _replace(df, universal_clean_exprs(df, cls))
+    out = _replace(df, universal_clean_exprs(df, cls, parity))
     if drop_midnight:
         out = drop_constant_time_cols(out, [f"{c}_time" for c in cls.dates])
     return out

@@ -35,17 +35,20 @@ def enrich_weather_rates(df: DataFrame, weather_lookup: DataFrame, rates_lookup:
     """Left-join weather by city and the rate by currency; the base currency
     gets rate 1.0.
 
-    The rate lookup has at most one row per currency code (an ISO list of a
-    few hundred), a proven bound, so it is broadcast.  The weather lookup
-    has one row per city; its join strategy is left to AQE, which switches
-    to a broadcast once the deduplicated side is measured small.
+    Pass written lookups (one row per city, one per currency): their sizes
+    are then known before the join, and each is broadcast only below Spark's
+    threshold.  Beyond it the join shuffles: rows without a city get a salted
+    key that matches nothing, so they do not meet in one task, and cities that
+    hold a large share of the rows are split by AQE's skew join.
     """
     w = weather_lookup.select("w_city", "temperature_c", "weather_code")
     r = rates_lookup.select("r_currency", F.col("rate").alias("exchange_rate_to_eur"))
     cur = norm_currency(currency_col)
-    out = (df.join(w, F.col(city_col) == w.w_city, "left")
-           .join(F.broadcast(r), cur == r.r_currency, "left")
-           .drop("w_city", "r_currency"))
+    spread = F.xxhash64(*[F.col(c) for c in (["booking_id"] if "booking_id" in df.columns else df.columns)])
+    key = F.coalesce(F.col(city_col), F.concat(F.lit("\u0000"), F.pmod(spread, F.lit(1024)).cast("string")))
+    out = (df.withColumn("_wk", key).join(w, F.col("_wk") == w.w_city, "left")
+           .join(r, cur == r.r_currency, "left")
+           .drop("_wk", "w_city", "r_currency"))
     return out.withColumn("exchange_rate_to_eur",
                           F.when(cur == base, F.lit(1.0)).otherwise(F.col("exchange_rate_to_eur")))
 
@@ -111,27 +114,22 @@ def null_blank_profile(before: DataFrame, after: DataFrame, col: str) -> DataFra
 
 
 def city_sources(silver: DataFrame | None, bronze: DataFrame | None,
-                 defaults=tuple(K.DEFAULT_CITIES), limit: int = K.CITY_SOURCE_LIMIT) -> DataFrame:
-    """Cities to enrich: usable silver cities; if there are none, the first
-    ``limit`` distinct bronze cities (by name); if none, the defaults.
-    Values are stripped and deduplicated.  The fallback choice is a scalar
-    subquery (the lowest source rank present) over the written candidates."""
+                 defaults=tuple(K.DEFAULT_CITIES)) -> DataFrame:
+    """Cities to enrich: usable silver cities; if there are none, all distinct
+    bronze cities; if none, the defaults.  Values are stripped and
+    deduplicated.  Each source is computed, and its few distinct names
+    written, only when the ones before it gave none."""
+    from ..sources.tables import materialize
     spark = (silver if silver is not None else bronze).sparkSession
-    parts = []
+    found = []
     if silver is not None:
         col = "city_clean" if "city_clean" in silver.columns else "city"
-        parts.append(silver.select(F.col(col).alias("city")).where(usable_value("city")).distinct()
-                     .select("city", F.lit(1).alias("src")))
+        found.append(lambda: silver.select(F.col(col).alias("city")).where(usable_value("city")))
     if bronze is not None:
-        parts.append(bronze.select("city").where(F.col("city").isNotNull()).distinct()
-                     .orderBy("city").limit(limit).select("city", F.lit(2).alias("src")))
-    parts.append(spark.createDataFrame([(c, 3) for c in defaults], "city string, src int"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    # the candidates are a few distinct names per source: write them once so
-    # the fallback decision does not recompute the sources
-    from ..sources.tables import materialize
-    u = materialize(u.withColumn("city", F.trim("city")).where(F.col("city") != ""), "city_candidates")
-    best = u.agg(F.min("src")).scalar()
-    return u.where(F.col("src") == best).select("city").distinct()
+        found.append(lambda: bronze.select("city").where(F.col("city").isNotNull()))
+    for source in found:
+        cities = materialize(source().select(F.trim("city").alias("city")).where(F.col("city") != "").distinct(),
+                             "city_candidates")
+        if not cities.isEmpty():
+            return cities
+    return spark.createDataFrame([(c,) for c in defaults], "city string").distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.numbers import avg_money, hotel_tier
+from ..functions.numbers import avg_money, exact_sum, hotel_tier
 from ..functions.text import usable_value
 from .dedup import dedup_by_key, dedup_latest, surrogate_key
 
@@ -21,11 +21,11 @@ def fact_bookings(silver: DataFrame, min_date: str = K.FACT_MIN_DATE,
 
     rate_direction="multiply" reproduces EUR = amount x rate (the original
     formula, its test fixes 100 x 34.5 = 3450); "divide" treats the rate as
-    units of currency per EUR.
+    units of currency per EUR (NULL for a rate of zero).
     """
     rate = F.coalesce(F.col("exchange_rate_to_eur"), F.lit(1.0))
     amt = F.col("total_amount")
-    eur = amt * rate if rate_direction == "multiply" else amt / rate
+    eur = amt * rate if rate_direction == "multiply" else F.try_divide(amt, rate)
     nights = F.col("nights")
     cols = [
         F.col("booking_id"), F.col("hotel_id"), F.col("customer_id"),
@@ -52,11 +52,15 @@ def fact_bookings(silver: DataFrame, min_date: str = K.FACT_MIN_DATE,
             .select(*cols))
 
 
+def city_rows(city_dim: DataFrame) -> DataFrame:
+    """Usable cities, one row each."""
+    return dedup_by_key(city_dim.where(usable_value("city") & F.col("city").isNotNull()), ["city"], ["country"])
+
+
 def dim_city(city_dim: DataFrame, partitions: int | None = None) -> DataFrame:
     """gold_dim_city: usable cities, one row each, surrogate key in city
     order, missing rates as 0."""
-    c = city_dim.where(usable_value("city") & F.col("city").isNotNull())
-    c = dedup_by_key(c, ["city"], ["country"])
+    c = city_rows(city_dim)
     rates = [F.coalesce(F.col(r), F.lit(0.0)).alias(r) for r in RATE_COLS if r in city_dim.columns]
     c = c.select("city", "country", "temperature_c", "weather_code", *rates)
     keyed = surrogate_key(c, ["city"], "city_key", partitions)
@@ -104,7 +108,7 @@ def _kpi_measures(cancelled, guard_zero: bool):
     rate = cancel / (F.nullif(n, F.lit(0)) if guard_zero else n)
     return [
         n.alias("total_bookings"),
-        F.round(F.sum("total_amount_eur"), 2).alias("total_revenue_eur"),
+        exact_sum("total_amount_eur").alias("total_revenue_eur"),
         avg_money("total_amount_eur").alias("avg_booking_value_eur"),
         avg_money("avg_nightly_rate_eur").alias("avg_nightly_rate_eur"),
         F.round(F.avg("nights"), 1).alias("avg_nights"),
@@ -116,26 +120,35 @@ def _kpi_measures(cancelled, guard_zero: bool):
 KPI_KEYS = ["city", "country", "booking_year", "booking_month", "hotel_type"]
 
 
+def kpi_groups(fact: DataFrame, cancelled=tuple(K.CANCELLED_LABELS)) -> DataFrame:
+    """The KPI measures of every group (partial aggregation map-side)."""
+    return fact.groupBy(*KPI_KEYS).agg(*_kpi_measures(cancelled, guard_zero=False))
+
+
+def kpi_channel_groups(fact: DataFrame, cancelled=("Canceled",)) -> DataFrame:
+    """The SQL model's measures: NULLIF guard and distinct channel count."""
+    return fact.groupBy(*KPI_KEYS).agg(*_kpi_measures(cancelled, guard_zero=True),
+                                       F.countDistinct("booking_channel").alias("channel_count"))
+
+
+def with_city_weather(groups: DataFrame, cities: DataFrame) -> DataFrame:
+    """Attach the city's weather to KPI groups.  The city side is
+    deduplicated, so the join cannot multiply them."""
+    city = dedup_by_key(cities.select("city", F.col("temperature_c").alias("city_temperature_c"),
+                                      F.col("weather_code").alias("city_weather_code")), ["city"])
+    return groups.join(city, on="city", how="left")
+
+
 def kpi_revenue(fact: DataFrame, dim_city_df: DataFrame, cancelled=tuple(K.CANCELLED_LABELS)) -> DataFrame:
-    """gold_kpi_revenue: aggregate first (partial aggregation map-side), then
-    attach the city's weather.  The city side is deduplicated, so the join
-    cannot multiply KPI rows."""
-    kpi = fact.groupBy(*KPI_KEYS).agg(*_kpi_measures(cancelled, guard_zero=False))
-    city = dedup_by_key(dim_city_df.select("city", F.col("temperature_c").alias("city_temperature_c"),
-                                           F.col("weather_code").alias("city_weather_code")), ["city"])
-    return kpi.join(city, on="city", how="left")
+    """gold_kpi_revenue: aggregate first, then join the few groups."""
+    return with_city_weather(kpi_groups(fact, cancelled), dim_city_df)
 
 
 def kpi_revenue_channel(fact: DataFrame, dim_city_df: DataFrame,
                         cancelled=("Canceled",)) -> DataFrame:
-    """The SQL model's KPI: join before aggregating, weather in the group
-    key, NULLIF guard and distinct channel count."""
-    city = dim_city_df.select("city", F.col("temperature_c").alias("city_temperature_c"),
-                              F.col("weather_code").alias("city_weather_code"))
-    j = fact.join(city, on="city", how="left")
-    return j.groupBy(*KPI_KEYS, "city_temperature_c", "city_weather_code").agg(
-        *_kpi_measures(cancelled, guard_zero=True),
-        F.countDistinct("booking_channel").alias("channel_count"))
+    """The SQL model's KPI.  A city has one weather row, so grouping before
+    the join gives the groups of the model, which joins first."""
+    return with_city_weather(kpi_channel_groups(fact, cancelled), dim_city_df)
 
 
 def top_revenue(kpi: DataFrame, n: int = 10) -> DataFrame:

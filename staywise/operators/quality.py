@@ -129,7 +129,7 @@ def dq_native_summary(df: DataFrame) -> DataFrame:
         F.count_if(F.col("total_amount") < 0).alias("total_amount < 0"),
         F.count_if(F.col("city_clean").isNull()).alias("city_clean NULL"),
         (F.count("*") - F.count_distinct("booking_id")
-         - F.max(F.col("booking_id").isNull()).cast("int")).alias("duplicate booking"),
+         - F.coalesce(F.max(F.col("booking_id").isNull()).cast("int"), F.lit(0))).alias("duplicate booking"),
         # rows the cleaning filled in rather than found: sentinel dates, zero amounts
         F.count_if(F.col("booking_date") == F.to_date(F.lit(K.DATE_SENTINEL))).alias("booking_date sentinel"),
         F.count_if(F.col("total_amount") == 0).alias("total_amount zero-filled"),

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.numbers import avg_money, wavg_money
+from ..functions.numbers import avg_money, exact_sum, wavg_money
+
+# Decimals kept by sums over amounts that are not rounded to cents.
+WIDE = 12
 
 # FIXED VALUES: default aggregation of the fact table's columns in the BI
 # model ("sum"; every other column is "none").
@@ -25,7 +28,7 @@ def report_cards(fact: DataFrame) -> DataFrame:
     """KPI cards: average nightly EUR rate, booking count, EUR revenue."""
     return fact.agg(avg_money("avg_nightly_rate_eur").alias("avg_nightly_rate_eur"),
                     F.count("booking_id").alias("bookings"),
-                    F.round(F.sum("total_amount_eur"), 2).alias("total_revenue_eur"))
+                    exact_sum("total_amount_eur").alias("total_revenue_eur"))
 
 
 def report_rates_avg(city_dim: DataFrame) -> DataFrame:
@@ -34,7 +37,8 @@ def report_rates_avg(city_dim: DataFrame) -> DataFrame:
 
 
 def _ranked_sum(df: DataFrame, key: str, measure: str, name: str) -> DataFrame:
-    return (df.groupBy(key).agg(F.round(F.sum(measure), 2).alias(name))
+    return (df.groupBy(key).agg(F.round(F.sum(F.col(measure).try_cast(f"decimal(38,{WIDE})")), 2)
+                                .cast("double").alias(name))
             .orderBy(F.col(name).desc_nulls_last(), F.col(key).asc_nulls_first()))
 
 
@@ -60,19 +64,23 @@ def report_city_table(kpi: DataFrame) -> DataFrame:
     w = F.col("total_bookings")
     return (kpi.groupBy("city").agg(
         F.sum("total_bookings").alias("total_bookings"),
-        F.round(F.sum("avg_booking_value_eur"), 2).alias("sum_avg_booking_value_eur"),
-        F.round(F.sum("cancellation_rate"), 1).alias("sum_cancellation_rate"),
+        exact_sum("avg_booking_value_eur").alias("sum_avg_booking_value_eur"),
+        exact_sum("cancellation_rate", 1).alias("sum_cancellation_rate"),
         wavg_money("avg_booking_value_eur", w).alias("weighted_avg_booking_value_eur"),
         wavg_money("cancellation_rate", w, 1, 1).alias("weighted_cancellation_rate"))
         .orderBy(F.col("sum_cancellation_rate").asc_nulls_first(), F.col("city").asc_nulls_first()))
 
 
 def report_monthly_trend(fact: DataFrame, dim_date_df: DataFrame) -> DataFrame:
-    """Bookings per calendar year_month through the date dimension.  The
-    dimension is one row per day of a bounded range, so it is broadcast."""
+    """Bookings per calendar year_month through the date dimension, counted
+    by day before the join."""
+    return monthly_from_days(fact.groupBy("booking_date").agg(F.count("booking_id").alias("bookings")), dim_date_df)
+
+
+def monthly_from_days(days: DataFrame, dim_date_df: DataFrame) -> DataFrame:
     d = dim_date_df.select("date_key", "year_month")
-    j = fact.join(F.broadcast(d), fact.booking_date == d.date_key, "inner")
-    return j.groupBy("year_month").agg(F.count("booking_id").alias("bookings")).orderBy("year_month")
+    j = days.join(d, days.booking_date == d.date_key, "inner")
+    return j.groupBy("year_month").agg(F.sum("bookings").alias("bookings")).orderBy("year_month")
 
 
 def report_years(dim_date_df: DataFrame) -> DataFrame:
@@ -82,9 +90,9 @@ def report_years(dim_date_df: DataFrame) -> DataFrame:
 def default_summarize(df: DataFrame, sum_cols=tuple(FACT_SUMMARIZE_SUM), by=()) -> DataFrame:
     """Apply each column's default aggregation ("sum"; "none" columns are
     group keys or left out), as a BI total row or per ``by`` group.  Values
-    are summed as decimal(38,4): exact, so the total does not depend on the
-    order partitions are combined in (a double sum of 10^5+ amounts does)."""
-    aggs = [F.sum(F.col(c).cast("decimal(38,4)")).cast("double").alias(f"sum_{c}")
+    are summed as decimal(38,12): nothing of an amount is cut, and the total
+    does not depend on the order partitions are combined in."""
+    aggs = [exact_sum(c, WIDE).alias(f"sum_{c}")
             for c in sum_cols if c in df.columns]
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 

@@ -6,6 +6,7 @@ the whole given tables.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,45 +32,74 @@ def register(name: str, sql: str | None):
 
 # ---- shared plan fragments -------------------------------------------------------------------
 
-_PLANS: dict = {}
+_PLANS: OrderedDict = OrderedDict()
+_KEPT_PLANS = 24
 
 
-def _plan(spark, key, build):
-    """Lazy plan objects shared by the queries of one session (the plan,
-    not its data: every query still runs from the raw tables)."""
+def _plan(spark, kind, sf_dir, build):
+    """Lazy plan objects shared by the queries of one session (the plan, not
+    its data: every query still runs from the raw tables).  A plan is kept as
+    long as the files of the tables are the same ones; few are kept."""
     from ..session import session_key
-    k = session_key(spark) + key
+    k = session_key(spark) + (kind, sf_dir, td.version(spark, sf_dir))
     if k not in _PLANS:
         _PLANS[k] = build()
+        while len(_PLANS) > _KEPT_PLANS:
+            _PLANS.popitem(last=False)
     return _PLANS[k]
 
 
 def _bronze(spark, sf_dir) -> M.Bronze:
-    return _plan(spark, ("bronze", sf_dir), lambda: M.bronze_from_testdata(spark, sf_dir))
+    return _plan(spark, "bronze", sf_dir, lambda: M.bronze_from_testdata(spark, sf_dir))
+
+
+def _lookups(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return _plan(spark, "lookups", sf_dir, lambda: M.lookups(_bronze(spark, sf_dir)))
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
-    return _plan(spark, ("enriched", sf_dir), lambda: M.enriched(_bronze(spark, sf_dir)))
+    return _plan(spark, "enriched", sf_dir,
+                 lambda: M.enriched(_bronze(spark, sf_dir), found=_lookups(spark, sf_dir)))
 
 
 def _silver(spark, sf_dir) -> DataFrame:
     """Silver without the midnight-column probe (gold keys select their columns)."""
-    return _plan(spark, ("silver", sf_dir),
+    return _plan(spark, "silver", sf_dir,
                  lambda: clean.universal_clean(_enriched(spark, sf_dir), drop_midnight=False))
 
 
+def _cities(spark, sf_dir, places: DataFrame) -> DataFrame:
+    """The city dimension's rows (without key) for ``places``, any frame with
+    ``city_clean`` and ``country``."""
+    return gold.city_rows(M.city_dim_table(places, _bronze(spark, sf_dir), _lookups(spark, sf_dir)))
+
+
+_GOLD_COLS = ["booking_id", "hotel_id", "customer_id", "booking_date", "city_clean", "country", "hotel_name",
+              "hotel_type", "star_rating", "latitude", "longitude", "room_type", "nights", "adults", "children",
+              "booking_status", "source_system", "booking_channel", "currency", "total_amount", "room_price",
+              "exchange_rate_to_eur", "temperature_c", "weather_code"]
+
+
 def _gold(spark, sf_dir) -> M.Gold:
-    """Gold tables over a silver table written once for this query (silver
-    feeds the fact, the city dimension and the hotel dimension)."""
-    b = _bronze(spark, sf_dir)
-    s = M.materialize(_silver(spark, sf_dir), "silver")
-    return M.gold_tables(s, M.materialize(M.city_dim_table(s, b), "silver_city_dim"))
+    """All gold tables, for the queries that read all of them: silver feeds
+    the fact and two dimensions, so its gold columns are written once."""
+    s = M.materialize(_silver(spark, sf_dir).select(*_GOLD_COLS), "silver_gold_columns")
+    cities = M.materialize(M.city_dim_table(s, _bronze(spark, sf_dir), _lookups(spark, sf_dir)), "silver_city_dim")
+    return M.gold_tables(s, cities)
 
 
 def _fact(spark, sf_dir) -> DataFrame:
     return gold.fact_bookings(_silver(spark, sf_dir))
 
 
+def _with_weather(spark, sf_dir, groups: DataFrame) -> DataFrame:
+    """KPI groups and their cities' weather.  The groups are few and written:
+    they also tell which cities are needed."""
+    groups = M.materialize(groups, "kpi_groups")
+    places = groups.select(F.col("city").alias("city_clean"), "country")
+    return gold.with_city_weather(groups, _cities(spark, sf_dir, places))
+
+
 # ---- X: whole jobs -----------------------------------------------------------------------------
 
 @register("silver_bookings", O.with_ctes("SELECT * FROM x_silver", "x_silver"))
@@ -82,7 +112,7 @@ def q_silver_bookings(spark, sf_dir):
 @register("city_dim", O.with_ctes("SELECT * FROM x_city_dim", "x_city_dim"))
 def q_city_dim(spark, sf_dir):
     b = _bronze(spark, sf_dir)
-    return M.city_dim_table(_silver(spark, sf_dir), b)
+    return M.city_dim_table(_silver(spark, sf_dir), b, _lookups(spark, sf_dir))
 
 
 @register("gold_star", O.with_ctes("""
@@ -105,7 +135,7 @@ def q_fact_bookings(spark, sf_dir):
 
 @register("dim_city", O.with_ctes("SELECT * FROM x_dim_city", "x_dim_city"))
 def q_dim_city(spark, sf_dir):
-    return _gold(spark, sf_dir).dim_city
+    return gold.dim_city(q_city_dim(spark, sf_dir))
 
 
 @register("dim_hotel", O.with_ctes("SELECT * FROM x_dim_hotel", "x_dim_hotel"))
@@ -125,13 +155,12 @@ def q_dim_date(spark, sf_dir):
 
 @register("kpi_revenue", O.with_ctes("SELECT * FROM x_kpi", "x_kpi"))
 def q_kpi_revenue(spark, sf_dir):
-    return _gold(spark, sf_dir).kpi
+    return _with_weather(spark, sf_dir, gold.kpi_groups(_fact(spark, sf_dir)))
 
 
 @register("kpi_revenue_channel", O.with_ctes("SELECT * FROM x_kpi_channel", "x_kpi_channel"))
 def q_kpi_revenue_channel(spark, sf_dir):
-    g = _gold(spark, sf_dir)
-    return gold.kpi_revenue_channel(g.fact, g.dim_city)
+    return _with_weather(spark, sf_dir, gold.kpi_channel_groups(_fact(spark, sf_dir)))
 
 
 @register("star_join", O.with_ctes("""
@@ -143,14 +172,17 @@ LEFT JOIN x_dim_hotel h ON f.hotel_id = h.hotel_id
 LEFT JOIN x_dim_date d ON f.booking_date = d.date_key""", "x_fact", "x_dim_city", "x_dim_hotel", "x_dim_date"))
 def q_star_join(spark, sf_dir):
     g = _gold(spark, sf_dir)
-    return gold.star_join(g.fact, g.dim_city, g.dim_hotel, g.dim_date)
+    days = M.materialize(g.dim_date, "dim_date")
+    return gold.star_join(g.fact, M.materialize(g.dim_city, "dim_city"), M.materialize(g.dim_hotel, "dim_hotel"), days)
 
 
 @register("top_revenue", O.with_ctes("""
 SELECT * FROM x_kpi ORDER BY total_revenue_eur DESC NULLS LAST, city ASC NULLS FIRST, country ASC NULLS FIRST,
   booking_year ASC NULLS FIRST, booking_month ASC NULLS FIRST, hotel_type ASC NULLS FIRST LIMIT 10""", "x_kpi"))
 def q_top_revenue(spark, sf_dir):
-    return gold.top_revenue(_gold(spark, sf_dir).kpi, 10)
+    # the ten groups first, then their weather
+    top = gold.top_revenue(gold.kpi_groups(_fact(spark, sf_dir)), 10)
+    return _with_weather(spark, sf_dir, top)
 
 
 @register("tier_histogram", O.with_ctes(
@@ -163,7 +195,7 @@ def q_tier_histogram(spark, sf_dir):
 
 @register("report_cards", O.with_ctes(f"""
 SELECT {O.avg_money('avg_nightly_rate_eur')} AS avg_nightly_rate_eur, count(booking_id) AS bookings,
-  {O.sround('sum(total_amount_eur)', 2)} AS total_revenue_eur FROM x_fact""", "x_fact"))
+  {O.dsum('total_amount_eur', 2)} AS total_revenue_eur FROM x_fact""", "x_fact"))
 def q_report_cards(spark, sf_dir):
     return report.report_cards(_fact(spark, sf_dir))
 
@@ -176,7 +208,7 @@ def q_report_rates_avg(spark, sf_dir):
 
 
 @register("report_country_revenue", O.with_ctes(f"""
-SELECT country, {O.sround('sum(total_amount)', 2)} AS total_amount FROM x_fact
+SELECT country, {O.dsum('total_amount', 12, 2)} AS total_amount FROM x_fact
 WHERE NOT COALESCE(hotel_type IN ({O.qlist(K.REPORT_COUNTRY_EXCLUDE_TYPES)})
                    OR country IN ({O.qlist(K.REPORT_COUNTRY_EXCLUDE_COUNTRIES)}), FALSE)
 GROUP BY country""", "x_fact"))
@@ -185,45 +217,47 @@ def q_report_country_revenue(spark, sf_dir):
 
 
 @register("report_hotel_type_revenue", O.with_ctes(f"""
-SELECT hotel_type, {O.sround('sum(total_amount_eur)', 2)} AS total_amount_eur FROM x_fact
+SELECT hotel_type, {O.dsum('total_amount_eur', 2)} AS total_amount_eur FROM x_fact
 WHERE {O.not_in('hotel_type', K.REPORT_TYPE_EXCLUDE)} GROUP BY hotel_type""", "x_fact"))
 def q_report_hotel_type_revenue(spark, sf_dir):
     return report.report_hotel_type_revenue(_fact(spark, sf_dir))
 
 
 @register("report_city_revenue", O.with_ctes(f"""
-SELECT city, {O.sround('sum(total_revenue_eur)', 2)} AS total_revenue_eur FROM x_kpi
+SELECT city, {O.dsum('total_revenue_eur', 2)} AS total_revenue_eur FROM x_kpi
 WHERE {O.not_in('city', K.REPORT_CITY_EXCLUDE)} GROUP BY city""", "x_kpi"))
 def q_report_city_revenue(spark, sf_dir):
-    return report.report_city_revenue(_gold(spark, sf_dir).kpi)
+    return report.report_city_revenue(gold.kpi_groups(_fact(spark, sf_dir)))
 
 
 @register("report_city_table", O.with_ctes(f"""
 SELECT city, CAST(sum(total_bookings) AS BIGINT) AS total_bookings,
-  {O.sround('sum(avg_booking_value_eur)', 2)} AS sum_avg_booking_value_eur,
-  {O.sround('sum(cancellation_rate)', 1)} AS sum_cancellation_rate,
+  {O.dsum('avg_booking_value_eur', 2)} AS sum_avg_booking_value_eur,
+  {O.dsum('cancellation_rate', 1)} AS sum_cancellation_rate,
   {O.wavg('avg_booking_value_eur', 'total_bookings', 2, 2)} AS weighted_avg_booking_value_eur,
   {O.wavg('cancellation_rate', 'total_bookings', 1, 1)} AS weighted_cancellation_rate
 FROM x_kpi GROUP BY city""", "x_kpi"))
 def q_report_city_table(spark, sf_dir):
-    return report.report_city_table(_gold(spark, sf_dir).kpi)
+    return report.report_city_table(gold.kpi_groups(_fact(spark, sf_dir)))
 
 
 @register("report_monthly_trend", O.with_ctes("""
 SELECT d.year_month, count(f.booking_id) AS bookings FROM x_fact f JOIN x_dim_date d ON f.booking_date = d.date_key
 GROUP BY d.year_month""", "x_fact", "x_dim_date"))
 def q_report_monthly_trend(spark, sf_dir):
-    g = _gold(spark, sf_dir)
-    return report.report_monthly_trend(g.fact, g.dim_date)
+    # days, a few thousand rows, are written: they bound the calendar too
+    days = M.materialize(_fact(spark, sf_dir).groupBy("booking_date").agg(F.count("booking_id").alias("bookings")),
+                         "days")
+    return report.monthly_from_days(days, cal.dim_date_for(days, "booking_date"))
 
 
 @register("report_years", O.with_ctes("SELECT DISTINCT year FROM x_dim_date", "x_dim_date"))
 def q_report_years(spark, sf_dir):
-    return report.report_years(_gold(spark, sf_dir).dim_date)
+    return report.report_years(cal.dim_date_for(_fact(spark, sf_dir), "booking_date"))
 
 
 @register("default_summarize", O.with_ctes("SELECT " + ", ".join(
-    f"CAST(sum(CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,4))) AS DOUBLE) AS sum_{c}"
+    f"CAST(sum(CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS sum_{c}"
     for c in report.FACT_SUMMARIZE_SUM) + " FROM x_fact", "x_fact"))
 def q_default_summarize(spark, sf_dir):
     return report.default_summarize(_fact(spark, sf_dir))
@@ -240,20 +274,20 @@ def q_data_calendar(spark, sf_dir):
 SELECT f.booking_id, c.Date, c.Year, c.QuarterNo, c.Quarter, c.MonthNo, c.Day
 FROM x_fact f LEFT JOIN x_cal c ON f.booking_date = c.Date""", "x_fact", "x_cal"))
 def q_date_part_join(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
-    j = cal.date_part_join(fact.select("booking_id", "booking_date"), cal.data_calendar(fact, "booking_date"),
-                           "booking_date")
+    fact = M.materialize(_fact(spark, sf_dir).select("booking_id", "booking_date"), "fact_dates")
+    calendar = M.materialize(cal.data_calendar(fact, "booking_date"), "calendar")
+    j = cal.date_part_join(fact, calendar, "booking_date")
     return j.select("booking_id", "Date", "Year", "QuarterNo", "Quarter", "MonthNo", "Day")
 
 
 @register("date_hierarchy_rollup", O.with_ctes(f"""
-SELECT Year, QuarterNo, MonthNo, Day, count(*) AS bookings, {O.sround('sum(total_amount_eur)', 2)} AS revenue_eur,
+SELECT Year, QuarterNo, MonthNo, Day, count(*) AS bookings, {O.dsum('total_amount_eur', 2)} AS revenue_eur,
   CAST(GROUPING(Year, QuarterNo, MonthNo, Day) AS INTEGER) AS level
 FROM x_fact f LEFT JOIN x_cal c ON f.booking_date = c.Date
 GROUP BY ROLLUP (Year, QuarterNo, MonthNo, Day)""", "x_fact", "x_cal"))
 def q_date_hierarchy_rollup(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
-    return cal.date_hierarchy_rollup(fact, cal.data_calendar(fact, "booking_date"))
+    days = M.materialize(cal.days_of(_fact(spark, sf_dir)), "days")
+    return cal.rollup_days(days, cal.data_calendar(days, "booking_date"))
 
 
 # ---- silver operators ----------------------------------------------------------------------

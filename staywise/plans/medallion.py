@@ -53,19 +53,25 @@ def deduplicated(b: Bronze, reconcile: str = "coalesce") -> DataFrame:
     return dedup.dedup_latest(df, ["booking_id"], ["_ingest_ts"], ["source_file"]).drop("_ingest_ts")
 
 
-def enriched(b: Bronze, reconcile: str = "coalesce") -> DataFrame:
-    """P4, C11, P6, C10, J2, J3, C12."""
+def lookups(b: Bronze) -> tuple[DataFrame, DataFrame]:
+    """The weather row of each city and the rate of each currency, written:
+    their consumers then know how small they are, or are not."""
+    return (materialize(enrich.latest_weather(b.weather), "weather_lookup"),
+            materialize(enrich.latest_rates(b.rates), "rates_lookup"))
+
+
+def enriched(b: Bronze, reconcile: str = "coalesce", found: tuple | None = None, parity: bool = False) -> DataFrame:
+    """P4, C11, P6, C10, J2, J3, C12.  ``found``: the written lookups."""
     df = columns.default_columns(deduplicated(b, reconcile), columns.SILVER_DEFAULTS)
-    df = clean.type_cast_filter(df)
+    df = clean.type_cast_filter(df, parity=parity)
     df = clean.add_city_clean(df)
-    df = enrich.enrich_weather_rates(df, enrich.latest_weather(b.weather), enrich.latest_rates(b.rates))
-    return clean.impute_prices(df)
+    return clean.impute_prices(enrich.enrich_weather_rates(df, *(found or lookups(b))))
 
 
 def silver_bookings(b: Bronze, parity: bool = False, drop_midnight: bool = True) -> DataFrame:
     """X1: the whole silver job.  parity=True reproduces the original's
     quirks (amount columns dropped on union, substring column classes)."""
-    df = enriched(b, "drop" if parity else "coalesce")
+    df = enriched(b, "drop" if parity else "coalesce", parity=parity)
     return clean.universal_clean(df, parity=parity, drop_midnight=drop_midnight)
 
 
@@ -84,9 +90,17 @@ def silver_table(b: Bronze, parity: bool = False) -> DataFrame:
     return clean.drop_constant_time_cols(full, time_columns(full))
 
 
-def city_dim_table(silver: DataFrame, b: Bronze) -> DataFrame:
-    """X2: silver_city_dim."""
-    return enrich.city_dim(silver, enrich.latest_weather(b.weather), enrich.latest_rates(b.rates))
+def write_silver(b: Bronze, path: str, parity: bool = False) -> DataFrame:
+    """X1 written ONCE to its place: the clock columns that are midnight on
+    every row are found in the written table and left out on reading it."""
+    full = overwrite_table(silver_bookings(b, parity, drop_midnight=False), path)
+    return clean.drop_constant_time_cols(full, time_columns(full))
+
+
+def city_dim_table(silver: DataFrame, b: Bronze, found: tuple | None = None) -> DataFrame:
+    """X2: silver_city_dim, for the cities of ``silver`` (or of any frame with
+    ``city_clean`` and ``country``)."""
+    return enrich.city_dim(silver, *(found or lookups(b)))
 
 
 @dataclass
@@ -112,7 +126,7 @@ def gold_tables(silver: DataFrame, city_dim: DataFrame, date_range: tuple | None
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = False) -> dict:
     """Write every layer under ``out_dir`` (shared storage); return row counts."""
     b = bronze_from_testdata(spark, sf_dir)
-    silver = overwrite_table(silver_table(b, parity), f"{out_dir}/silver_bookings")
+    silver = write_silver(b, f"{out_dir}/silver_bookings", parity)
     cdim = overwrite_table(city_dim_table(silver, b), f"{out_dir}/silver_city_dim")
     g = gold_tables(silver, cdim)
     out = {"silver_bookings": silver, "silver_city_dim": cdim}

@@ -33,6 +33,12 @@ def sround(e: str, d: int) -> str:
     return f"CAST(round(CAST(CAST(CAST({e} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,20)), {d}) AS DOUBLE)"
 
 
+def dsum(e: str, scale: int, rounded: int | None = None) -> str:
+    """Exact sum of the decimal forms of doubles, as a double."""
+    total = f"sum(CAST(CAST(CAST({e} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,{scale})))"
+    return f"CAST({total if rounded is None else f'round({total}, {rounded})'} AS DOUBLE)"
+
+
 def _decimal_quotient(num_units: str, vscale: int, den: str, scale: int) -> str:
     """num / den as Spark's decimal division does it: exact quotient rounded
     HALF_UP to 6 decimals, then HALF_UP to ``scale`` decimals.  ``num_units``
@@ -313,7 +319,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY booking_date D
 def kpi_measures(cancelled, guard: bool) -> str:
     den = "NULLIF(count(*), 0)" if guard else "count(*)"
     return f"""count(*) AS total_bookings,
-  {sround('sum(total_amount_eur)', 2)} AS total_revenue_eur,
+  {dsum('total_amount_eur', 2)} AS total_revenue_eur,
   {avg_money('total_amount_eur')} AS avg_booking_value_eur,
   {avg_money('avg_nightly_rate_eur')} AS avg_nightly_rate_eur,
   {sround('avg(nights)', 1)} AS avg_nights,

@@ -11,6 +11,8 @@ grows with them.  The same mapping is stated independently as SQL in
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +33,38 @@ SOURCES = ["Web", "MobileApp", "Agency"]
 EXTRA_QUOTE_CURRENCY = "CHF"
 
 
-_READS: dict = {}
+_READS: OrderedDict = OrderedDict()
+_KEPT_READS = 32
+
+
+def version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table or of a folder of
+    tables: changes when a file lands or goes."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    out = []
+    todo = [p]
+    while todo:
+        for f in fs.listStatus(todo.pop()):
+            if f.isDirectory():
+                todo.append(f.getPath())
+            elif not f.getPath().getName().startswith("_"):
+                out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table as a DataFrame; the relation (file listing, footers,
-    schema) is resolved once per session and path and then shared."""
+    schema) is shared by the queries of a session as long as the table's
+    files stay the same."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     from ..session import session_key
-    key = session_key(spark) + (path,)
+    key = session_key(spark) + (path, version(spark, path))
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
+        while len(_READS) > _KEPT_READS:
+            _READS.popitem(last=False)
     return _READS[key]
 
 
