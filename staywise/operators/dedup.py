@@ -26,6 +26,13 @@ def dedup_latest(df: DataFrame, keys, order_desc, tie=()) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def collapsed_nulls(df: DataFrame, key: str) -> DataFrame:
+    """Rows that share the NULL key and of which keeping one per key leaves
+    one: null_rows, lost."""
+    return df.agg(F.count_if(F.col(key).isNull()).alias("null_rows")).select(
+        "null_rows", F.greatest(F.col("null_rows") - 1, F.lit(0)).alias("lost"))
+
+
 def dedup_by_key(df: DataFrame, keys, order=()) -> DataFrame:
     """One row per key; the first by ``order`` ascending (all non-key columns
     are used as the final tie-break so the choice is deterministic)."""

@@ -147,27 +147,25 @@ def dq_table_checks(silver: DataFrame, weather: DataFrame, rates: DataFrame,
     spark = silver.sparkSession
     req = required_cols or ["booking_id", "hotel_id", "booking_date", "total_amount", "currency", "city_clean"]
     lo, hi = K.TEMPERATURE_RANGE
-    s = silver.agg(F.count("*").alias("n"))
-    w = weather.agg(F.count("*").alias("n"),
-                    F.count_if(F.col("temperature_c").isNotNull() &
-                               ((F.col("temperature_c") < lo) | (F.col("temperature_c") > hi))).alias("bad"))
-    r = rates.agg(F.count("*").alias("n"), F.count_if(~(F.col("rate") > 0)).alias("bad"))
     missing = [c for c in req if c not in silver.columns]
-    parts = [
-        s.select(F.lit("silver_bookings").alias("model"), F.lit("min_rows").alias("check"),
-                 F.col("n").alias("observed"), (F.col("n") >= min_rows).alias("success")),
-        s.select(F.lit("silver_bookings"), F.lit("not_empty"), F.col("n"), F.col("n") > 0),
-        spark.createDataFrame([("silver_bookings", "required_columns", len(missing), not missing)],
-                              "model string, check string, observed bigint, success boolean"),
-        w.select(F.lit("bronze_weather"), F.lit("not_empty"), F.col("n"), F.col("n") > 0),
-        w.select(F.lit("bronze_weather"), F.lit("temperature_in_range"), F.col("bad"), F.col("bad") == 0),
-        r.select(F.lit("bronze_exchange_rates"), F.lit("not_empty"), F.col("n"), F.col("n") > 0),
-        r.select(F.lit("bronze_exchange_rates"), F.lit("rate_positive"), F.col("bad"), F.col("bad") == 0),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    n = F.count("*")
+    nameless = F.count_if(F.col("city").isNull())
+    off = F.count_if(F.col("temperature_c").isNotNull() & ((F.col("temperature_c") < lo) | (F.col("temperature_c") > hi)))
+    poor = F.count_if(~(F.col("rate") > 0))
+
+    def checks(df, model, *rows):
+        """One aggregate over the table, one result row per (check, observed, success)."""
+        structs = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("check"), o.cast("bigint").alias("observed"),
+                            ok.alias("success")) for c, o, ok in rows]
+        return df.agg(F.array(*structs).alias("a")).select(F.inline("a"))
+
+    return (checks(silver, "silver_bookings", ("min_rows", n, n >= min_rows), ("not_empty", n, n > 0))
+            .union(spark.createDataFrame([("silver_bookings", "required_columns", len(missing), not missing)],
+                                         "model string, check string, observed bigint, success boolean"))
+            .union(checks(weather, "bronze_weather", ("not_empty", n, n > 0),
+                          ("city_not_null", nameless, nameless == 0), ("temperature_in_range", off, off == 0)))
+            .union(checks(rates, "bronze_exchange_rates", ("not_empty", n, n > 0),
+                          ("rate_positive", poor, poor == 0))))
 
 
 def dq_required_values(df: DataFrame, column: str, required=tuple(K.REQUIRED_RATE_CURRENCIES)) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..operators import calendar as cal
 from ..operators import clean, columns, enrich, gold, quality, report
+from ..streaming.events import SLICE
 from . import medallion as M
 from . import oracle as O
 from . import testdata as td
@@ -265,6 +266,15 @@ def q_default_summarize(spark, sf_dir):
 
 # ---- calendar ------------------------------------------------------------------------------
 
+@register("dim_date_fixed", "SELECT " + O.date_attrs("d") + """ FROM (
+SELECT CAST(unnest(generate_series(DATE '2020-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS d)
+WHERE EXISTS (SELECT 1 FROM orders)""")
+def q_dim_date_fixed(spark, sf_dir):
+    """The fixed day spine, given only if there are bookings."""
+    some = td.read(spark, sf_dir, "orders").limit(1).select(F.lit(1).alias("one"))
+    return cal.dim_date(spark).join(some, F.lit(True), "left_semi")
+
+
 @register("data_calendar", O.with_ctes("SELECT * FROM x_cal", "x_cal"))
 def q_data_calendar(spark, sf_dir):
     return cal.data_calendar(_fact(spark, sf_dir), "booking_date")
@@ -476,6 +486,26 @@ def q_dq_suite(spark, sf_dir):
     return quality.dq_suite(_silver(spark, sf_dir))
 
 
+@register("dq_report", O.with_ctes(f"""
+SELECT count(*) AS total, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
+  COALESCE(array_to_string(list_sort(list("check" || ':' || "column") FILTER (WHERE NOT success)), ','), '')
+    AS failed_checks
+FROM ({O.dq_sql('x_silver', 'silver_bookings', quality.SILVER_SUITE, _SILVER_TYPES)})""", "x_silver"))
+def q_dq_report(spark, sf_dir):
+    return quality.dq_report(quality.dq_suite(_silver(spark, sf_dir))).withColumn(
+        "failed_checks", F.array_join("failed_checks", ","))
+
+
+@register("collapsed_nulls", """
+SELECT count(*) FILTER (WHERE o_orderkey % 7 = 0) AS null_rows,
+  greatest(count(*) FILTER (WHERE o_orderkey % 7 = 0) - 1, 0) AS lost FROM orders""")
+def q_collapsed_nulls(spark, sf_dir):
+    from ..operators.dedup import collapsed_nulls
+    rows = td.bronze_batch(spark, sf_dir).select(
+        F.when(F.col("booking_id").cast("long") % 7 != 0, F.col("booking_id")).alias("booking_id"))
+    return collapsed_nulls(rows, "booking_id")
+
+
 @register("dq_native_summary", O.with_ctes("""
 SELECT test, problems, problems = 0 AS ok FROM (
   SELECT 'booking_id NULL' AS test, count(*) FILTER (WHERE booking_id IS NULL) AS problems FROM x_silver
@@ -499,6 +529,8 @@ FROM x_silver
 UNION ALL SELECT 'silver_bookings', 'not_empty', count(*), count(*) > 0 FROM x_silver
 UNION ALL SELECT 'silver_bookings', 'required_columns', 0, TRUE
 UNION ALL SELECT 'bronze_weather', 'not_empty', count(*), count(*) > 0 FROM x_wread
+UNION ALL SELECT 'bronze_weather', 'city_not_null', count(*) FILTER (WHERE city IS NULL),
+  count(*) FILTER (WHERE city IS NULL) = 0 FROM x_wread
 UNION ALL SELECT 'bronze_weather', 'temperature_in_range', count(*) FILTER (WHERE temperature_c IS NOT NULL AND
   (temperature_c < {K.TEMPERATURE_RANGE[0]} OR temperature_c > {K.TEMPERATURE_RANGE[1]})),
   count(*) FILTER (WHERE temperature_c IS NOT NULL AND
@@ -550,6 +582,23 @@ def q_city_source_fallback(spark, sf_dir):
     return enrich.city_sources(_silver(spark, sf_dir), td.bronze_batch(spark, sf_dir))
 
 
+@register("city_source_bronze", O.with_ctes("""
+SELECT DISTINCT trim(city) AS city FROM x_batch WHERE city IS NOT NULL AND trim(city) <> ''""", "x_batch"))
+def q_city_source_bronze(spark, sf_dir):
+    """No usable silver city: all distinct bronze cities."""
+    silver = _silver(spark, sf_dir).where("city_clean = 'Unknown'")
+    return enrich.city_sources(silver, td.bronze_batch(spark, sf_dir))
+
+
+@register("city_source_default", """
+SELECT city FROM (VALUES ('Amsterdam'), ('Berlin'), ('Paris'), ('London'), ('Istanbul')) t(city)
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey < 0)""")
+def q_city_source_default(spark, sf_dir):
+    """Neither silver nor bronze has a city: the default ones."""
+    none = td.bronze_batch(spark, sf_dir).where("CAST(booking_id AS BIGINT) < 0")
+    return enrich.city_sources(none, none)
+
+
 @register("top_cities", O.with_ctes("""
 SELECT city, count(*) AS bookings FROM x_batch WHERE city IS NOT NULL GROUP BY city
 ORDER BY bookings DESC, city ASC LIMIT 10""", "x_batch"))
@@ -620,6 +669,23 @@ def q_overwrite_roundtrip(spark, sf_dir):
     return overwrite_table(enrich.latest_weather(readings), path)
 
 
+@register("overwrite_guarded", O.with_ctes("SELECT w_city, temperature_c, weather_code FROM x_wlk", "x_wlk"))
+def q_overwrite_guarded(spark, sf_dir):
+    """A named table is replaced by the lookup; an empty result then leaves
+    it as it is."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.tables import overwrite_if_nonempty, overwrite_table, read_table
+    path, name = scratch_path(spark, "named"), f"weather_lookup_{uuid.uuid4().hex[:8]}"
+    readings = td.weather_readings(spark, sf_dir)
+    overwrite_table(readings, path, name)
+    lookup = enrich.latest_weather(readings)
+    overwrite_if_nonempty(lookup, path, name)
+    overwrite_if_nonempty(lookup.where("w_city IS NULL AND temperature_c > 1e9"), path, name)
+    return read_table(spark, name)
+
+
 def _empty_table_sql() -> str:
     from ..sources.schemas import STREAM_TABLE_COLUMNS
     have = {"booking_id": "CAST(event_id AS VARCHAR)", "customer_id": "CAST(user_id + 1000 AS VARCHAR)",
@@ -702,7 +768,7 @@ FROM x_ev""", "x_ev")
 @register("stream_events_sink", _EVENT_SQL)
 def q_stream_events_sink(spark, sf_dir):
     raw, _ = _stream_run(spark, sf_dir)
-    return spark.read.parquet(raw).drop("batch_id")
+    return spark.read.parquet(raw).drop(*SLICE)
 
 
 @register("stream_json_mapping", O.with_ctes(f"""
@@ -711,7 +777,7 @@ SELECT booking_id, customer_id, TRY_CAST(hotel_id AS BIGINT) AS hotel_id, CAST(b
 FROM ({_EVENT_SQL})"""))
 def q_stream_json_mapping(spark, sf_dir):
     _, typed = _stream_run(spark, sf_dir)
-    return spark.read.parquet(typed).drop("batch_id")
+    return spark.read.parquet(typed).drop(*SLICE)
 
 
 @register("stream_fanout", """
@@ -722,16 +788,28 @@ def q_stream_fanout(spark, sf_dir):
             .unionByName(spark.read.parquet(typed).agg(F.lit("typed").alias("sink"), F.count("*").alias("row_count"))))
 
 
+def _landed_stream(spark, sf_dir) -> DataFrame:
+    """The stream table as it lands: JSON files drained slice by slice."""
+    from ..session import scratch_path
+    from ..streaming import events as ev
+    base = scratch_path(spark, "stream-table")
+    source = td.bronze_stream(spark, sf_dir)
+    ev.land_events_json(source, f"{base}/landing")
+    ev.land_stream(ev.stream_events(spark, f"{base}/landing", source.schema, max_files=4), f"{base}/table",
+                   f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/table").drop(*SLICE)
+
+
 @register("stream_validate_count", "SELECT count(*) AS total_rows FROM events")
 def q_stream_validate_count(spark, sf_dir):
-    return td.bronze_stream(spark, sf_dir).agg(F.count("*").alias("total_rows"))
+    return _landed_stream(spark, sf_dir).agg(F.count("*").alias("total_rows"))
 
 
 @register("stream_validate_latest", O.with_ctes("""
 SELECT booking_id, event_ts AS event_time, hotel_id, room_type, currency, booking_status
 FROM x_stream ORDER BY event_ts DESC, booking_id LIMIT 100""", "x_stream"))
 def q_stream_validate_latest(spark, sf_dir):
-    s = td.bronze_stream(spark, sf_dir).withColumn("event_time", F.try_to_timestamp("event_time"))
+    s = _landed_stream(spark, sf_dir).withColumn("event_time", F.try_to_timestamp("event_time"))
     return (s.orderBy(F.col("event_time").desc(), F.col("booking_id")).limit(100)
             .select("booking_id", "event_time", "hotel_id", "room_type", "currency", "booking_status"))
 

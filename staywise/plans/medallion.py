@@ -8,16 +8,20 @@ the last written layer, not from the raw files).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions.numbers import safe_timestamp
 from ..operators import calendar as cal
 from ..operators import clean, columns, dedup, enrich, gold
-from ..sources.tables import materialize, overwrite_table  # noqa: F401
+from ..sources import files
+from ..sources import schemas as S
+from ..sources.tables import materialize, overwrite_if_nonempty, overwrite_table, read_or_empty
 from . import testdata as td
 
 
@@ -140,6 +144,56 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = Fa
     return {k: v.count() for k, v in out.items()}
 
 
+def bronze_from_landing(spark: SparkSession, out: Callable[[str], dict], batch_csv: str, stream_json: str,
+                        weather: tuple[str, str] | None = None, rates: str | None = None,
+                        csv_schema=None) -> Bronze:
+    """Land the sources as bronze tables: a CSV folder (types inferred without
+    a schema), a folder of booking events as JSON, and, once the API job has
+    landed them, weather (geocode and forecast folders) and rates.  Lookups
+    not landed yet are read as they are, or as empty tables."""
+    b = overwrite_table(columns.as_strings(files.ingest_csv(spark, batch_csv, csv_schema)), **out("bronze_batch"))
+    schema = T.StructType([*S.STREAM_TABLE_SCHEMA.fields,
+                           *[T.StructField(f.name, T.StringType()) for f in S.EVENT_SCHEMA.fields
+                             if f.name not in S.STREAM_TABLE_COLUMNS]])
+    s = overwrite_table(spark.read.schema(schema).json(stream_json), **out("bronze_stream"))
+    if weather:
+        overwrite_if_nonempty(files.flatten_weather(files.read_weather_landing(spark, *weather)),
+                              **out("bronze_weather"))
+    if rates:
+        overwrite_if_nonempty(files.explode_rates(files.read_rates_landing(spark, rates)),
+                              **out("bronze_exchange_rates"))
+    where = lambda n: out(n).get("name") or out(n)["path"]
+    return Bronze(b, s, read_or_empty(spark, where("bronze_weather"), S.WEATHER_TABLE_SCHEMA),
+                  read_or_empty(spark, where("bronze_exchange_rates"), S.RATES_TABLE_SCHEMA))
+
+
+def run_job(spark: SparkSession, out_dir: str, batch_csv: str, stream_json: str,
+            weather: tuple[str, str] | None = None, rates: str | None = None, database: str | None = None,
+            csv_schema=None, parity: bool = False) -> dict:
+    """The whole job from landed files to gold, under ``out_dir`` and, with
+    ``database``, as named tables.  Run it once without the API landings: it
+    leaves ``city_requests``, the cities to fetch.  Run it again with them:
+    silver and gold then carry weather and rates."""
+    def out(n: str) -> dict:
+        return {"path": f"{out_dir.rstrip('/')}/{n}", "name": f"{database}.{n}" if database else None}
+
+    b = bronze_from_landing(spark, out, batch_csv, stream_json, weather, rates, csv_schema)
+    found = lookups(b)
+    full = materialize(clean.universal_clean(enriched(b, "drop" if parity else "coalesce", found, parity),
+                                             parity=parity, drop_midnight=False), "silver_full")
+    silver = overwrite_table(clean.drop_constant_time_cols(full, time_columns(full)), **out("silver_bookings"))
+    tables = {"silver_bookings": silver,
+              "city_requests": overwrite_table(enrich.city_sources(silver, b.batch), **out("city_requests")),
+              "silver_city_dim": overwrite_table(city_dim_table(silver, b, found), **out("silver_city_dim"))}
+    g = gold_tables(silver, tables["silver_city_dim"])
+    for n, df in (("gold_fact_bookings", g.fact), ("gold_dim_city", g.dim_city), ("gold_dim_hotel", g.dim_hotel),
+                  ("gold_dim_date", g.dim_date)):
+        tables[n] = overwrite_table(df, **out(n))
+    tables["gold_kpi_revenue"] = overwrite_table(
+        gold.kpi_revenue(tables["gold_fact_bookings"], tables["gold_dim_city"]), **out("gold_kpi_revenue"))
+    return tables
+
+
 def gold_row_counts(g: Gold) -> DataFrame:
     """One frame with the row count of each gold table (X3 summary)."""
     parts = [(n, df) for n, df in [("gold_fact_bookings", g.fact), ("gold_dim_city", g.dim_city),
@@ -153,4 +207,4 @@ def gold_row_counts(g: Gold) -> DataFrame:
 
 
 __all__ = ["Bronze", "Gold", "bronze_from_testdata", "silver_bookings", "city_dim_table", "gold_tables",
-           "run_layers", "gold_row_counts", "K"]
+           "run_job", "run_layers", "gold_row_counts", "K"]

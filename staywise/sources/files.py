@@ -22,8 +22,40 @@ def ingest_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
                      F.col("_metadata.file_path").alias("source_file"))
 
 
+def landed_text(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Landed files as whole texts: column ``name`` and ``key``, the file's
+    name without folder and ending."""
+    key = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[A-Za-z0-9]+)*$", 1)
+    return spark.read.text(path, wholetext=True).select(F.url_decode(key).alias("key"), F.col("value").alias(name))
+
+
+def read_weather_landing(spark: SparkSession, geocode: str, forecast: str) -> DataFrame:
+    """Payloads of :func:`flatten_weather` from two folders of landed JSON
+    files, one file per city, named after it."""
+    g = landed_text(spark, geocode, "geocode_json").withColumnRenamed("key", "city")
+    f = landed_text(spark, forecast, "weather_json").withColumnRenamed("key", "city")
+    return g.join(f, "city", "left")
+
+
+def read_rates_landing(spark: SparkSession, path: str) -> DataFrame:
+    """Payloads of :func:`explode_rates` from a folder of landed JSON files."""
+    return landed_text(spark, path, "payload").select("payload")
+
+
+def unread_files(spark: SparkSession, paths, column: str = "city") -> DataFrame:
+    """The files that :func:`multi_file_scan` got nothing from (unreadable, or
+    without a row): file, n_bytes."""
+    listed = spark.read.format("binaryFile").load(paths).select(
+        F.regexp_replace("path", "^file:/+", "/").alias("file"), F.col("length").alias("n_bytes"))
+    seen = (spark.read.option("header", "true").option("ignoreCorruptFiles", "true").csv(paths)
+            .select(F.regexp_replace(F.url_decode(F.col("_metadata.file_path")), "^file:/+", "/").alias("file"))
+            .distinct())
+    return listed.join(seen, "file", "left_anti")
+
+
 def multi_file_scan(spark: SparkSession, paths, column: str = "city") -> DataFrame:
-    """One column from many same-shaped CSV files; unreadable files skipped."""
+    """One column from many same-shaped CSV files; unreadable files skipped
+    (:func:`unread_files` lists them)."""
     return (spark.read.option("header", "true").option("ignoreCorruptFiles", "true")
             .option("mode", "PERMISSIVE").csv(paths).select(column))
 
@@ -54,10 +86,20 @@ def flatten_weather(payloads: DataFrame, city_col: str = "city", geocode_col: st
         F.col("_now").alias("ingestion_time"))
 
 
-def weather_skip_counts(payloads: DataFrame, geocode_col: str = "geocode_json") -> DataFrame:
+def weather_skip_counts(payloads: DataFrame, geocode_col: str = "geocode_json",
+                        weather_col: str = "weather_json") -> DataFrame:
+    """Cities, those without a geocode hit, and those found whose current
+    reading lacks a temperature, humidity or code."""
     g = F.from_json(F.col(geocode_col), S.GEOCODE_SCHEMA)
-    return payloads.agg(F.count("*").alias("cities"),
-                        F.count_if(F.get(g["results"], 0).isNull()).alias("not_found"))
+    w = F.from_json(F.col(weather_col), S.FORECAST_SCHEMA) if weather_col in payloads.columns else None
+    found = F.get(g["results"], 0).isNotNull()
+    out = [F.count("*").alias("cities"), F.count_if(~found).alias("not_found")]
+    if w is not None:
+        cur = w["current"]
+        lacking = (cur["temperature_2m"].isNull() | cur["relative_humidity_2m"].isNull()
+                   | cur["weather_code"].isNull())
+        out.append(F.count_if(found & lacking).alias("missing_reading"))
+    return payloads.agg(*out)
 
 
 def parse_update_time(c) -> F.Column:

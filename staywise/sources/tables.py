@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,19 +15,32 @@ log = logging.getLogger(__name__)
 
 def overwrite_table(df: DataFrame, path: str, name: str | None = None, fmt: str = "parquet",
                     partition_by=()) -> DataFrame:
-    """Replace a table's data AND schema at ``path`` (shared storage); when
-    ``name`` is given, register it as an external catalog table.  Returns the
-    table read back, which also cuts the lineage for later steps."""
+    """Replace a table's data AND schema at ``path`` (shared storage).  Returns
+    the table read back, which also cuts the lineage for later steps.
+
+    With ``name`` the table is an external catalog table: the new data goes to
+    a fresh folder below ``path`` first, and only when that is written does
+    the name point to it.  A failed write leaves the old table as it was;
+    earlier folders stay until they are cleaned up.
+    """
     spark = df.sparkSession
+    target = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}" if name else path
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if name:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        w.option("path", path).saveAsTable(name)
-        return spark.read.table(name)
-    w.save(path)
-    return spark.read.format(fmt).load(path)
+    w.save(target)
+    if not name:
+        return spark.read.format(fmt).load(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: only the name goes
+    spark.catalog.createTable(name, path=target, source=fmt)
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+    return spark.read.table(name)
+
+
+def read_table(spark: SparkSession, where: str) -> DataFrame:
+    """A table by catalog name, or a parquet folder by path."""
+    return spark.read.parquet(where) if "/" in where else spark.read.table(where)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -38,11 +53,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def overwrite_if_nonempty(df: DataFrame, path: str, name: str | None = None, fmt: str = "parquet") -> bool:
-    """Write only when rows exist; otherwise keep the old table and warn."""
-    if df.isEmpty():
+    """Write only when rows exist; otherwise keep the old table and warn.  The
+    plan runs once, into a scratch table; what is there decides."""
+    new = materialize(df, "candidate")
+    if new.isEmpty():
         log.warning("no rows for %s; previous table kept", name or path)
         return False
-    overwrite_table(df, path, name, fmt)
+    overwrite_table(new, path, name, fmt)
     return True
 
 
@@ -76,9 +93,14 @@ def table_inventory(spark: SparkSession, names) -> DataFrame:
 
 def read_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
     """A lookup table, or an empty table of its schema when it does not exist
-    yet (first run of a cyclic enrichment: silver before the API landing)."""
+    yet (first run of a cyclic enrichment: silver before the API landing).
+    Any other fault, such as a corrupt file or a lack of rights, is raised."""
     try:
-        return spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - missing path is the expected case
+        if "/" in path:
+            return spark.read.format(fmt).load(path)
+        return spark.read.table(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
         log.warning("lookup %s missing; using an empty table", path)
         return spark.createDataFrame([], schema)

@@ -2,13 +2,18 @@
 
 One Structured Streaming query reads the landed JSON with the declared
 9-field schema and fans every micro-batch out to two sinks inside
-``foreachBatch``.  Each sink is partitioned by ``batch_id`` and written with
-dynamic partition overwrite, so a micro-batch replayed after a failure
-replaces its own slice instead of appending duplicates.
+``foreachBatch``.  Each sink is partitioned by ``run_id``, the identity of the
+query's checkpoint, and ``batch_id``, and written with dynamic partition
+overwrite: a micro-batch replayed after a failure replaces its own slice
+instead of appending duplicates, and a query with a new checkpoint, whose
+batches count from 0 again, adds slices of its own.  ``compact`` gathers many
+small slices of a run into one.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,33 +54,71 @@ def realtime_mapping(df: DataFrame) -> DataFrame:
         for f in S.REALTIME_SCHEMA.fields])
 
 
-def _write_slice(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+SLICE = ("run_id", "batch_id")
+
+
+def _write_slice(df: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+    (df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id)})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*SLICE).parquet(path))
+
 
+def run_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The query id that Spark keeps in a checkpoint: the same for every
+    restart from it, another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
+
+
+def fanout_writer(raw_path: str, typed_path: str, checkpoint: str):
+    """foreachBatch body: one micro-batch -> both sinks, idempotent per
+    checkpoint and batch id."""
+    run: list[str] = []
 
-def fanout_writer(raw_path: str, typed_path: str):
-    """foreachBatch body: one micro-batch -> both sinks, idempotent per batch id."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        b = batch_df.withColumn("batch_id", F.lit(batch_id))
-        b.persist()
+        if not run:
+            run.append(run_id_of(batch_df.sparkSession, checkpoint))
+        batch_df.persist()
         try:
-            _write_slice(b, raw_path)
-            _write_slice(realtime_mapping(b).withColumn("batch_id", F.lit(batch_id)), typed_path)
+            _write_slice(batch_df, raw_path, run[0], batch_id)
+            _write_slice(realtime_mapping(batch_df), typed_path, run[0], batch_id)
         finally:
-            b.unpersist()
+            batch_df.unpersist()
     return write
 
 
+def compact(spark: SparkSession, path: str, run_id: str, below: int, out: str, files: int = 1) -> DataFrame:
+    """Write the slices of a run with batch ids under ``below`` as ``files``
+    files to ``out``, a table of its own; the caller swaps it in and drops the
+    slices once no reader holds them.  Columns stay as they are."""
+    old = spark.read.parquet(path).where((F.col("run_id") == run_id) & (F.col("batch_id") < below))
+    old.repartition(files).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def stream_fanout(sdf: DataFrame, raw_path: str, typed_path: str, checkpoint: str,
                   trigger: str | None = K.STREAM_TRIGGER, available_now: bool = False) -> StreamingQuery:
     """Start the fan-out query.  ``available_now`` drains what is landed and
     stops (tests, catch-up runs); otherwise a processing-time trigger."""
-    w = sdf.writeStream.foreachBatch(fanout_writer(raw_path, typed_path)).option("checkpointLocation", checkpoint)
+    w = sdf.writeStream.foreachBatch(fanout_writer(raw_path, typed_path, checkpoint)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
 
+def land_stream(sdf: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Drain a stream into one landing table, slice by slice."""
+    run: list[str] = []
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        if not run:
+            run.append(run_id_of(batch_df.sparkSession, checkpoint))
+        _write_slice(batch_df, path, run[0], batch_id)
+
+    q = (sdf.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def run_available(spark: SparkSession, landing: str, raw_path: str, typed_path: str, checkpoint: str,
                   max_files: int = K.STREAM_MAX_FILES) -> None:
     """Process everything landed so far, then stop."""
