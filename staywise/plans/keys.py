@@ -202,7 +202,7 @@ def q_report_cards(spark, sf_dir):
 
 
 @register("report_rates_avg", O.with_ctes("SELECT " + ", ".join(
-    f"{O.sround(f'avg(rate_{c.lower()})', 6)} AS avg_rate_{c.lower()}" for c in K.CURRENCIES)
+    f"{O.sround(f'avg(rate_{c.lower()})', 6)} AS avg_rate_{c.lower()}" for c in O.CURRENCIES)
     + " FROM x_city_dim", "x_city_dim"))
 def q_report_rates_avg(spark, sf_dir):
     return report.report_rates_avg(q_city_dim(spark, sf_dir))
@@ -210,8 +210,8 @@ def q_report_rates_avg(spark, sf_dir):
 
 @register("report_country_revenue", O.with_ctes(f"""
 SELECT country, {O.dsum('total_amount', 12, 2)} AS total_amount FROM x_fact
-WHERE NOT COALESCE(hotel_type IN ({O.qlist(K.REPORT_COUNTRY_EXCLUDE_TYPES)})
-                   OR country IN ({O.qlist(K.REPORT_COUNTRY_EXCLUDE_COUNTRIES)}), FALSE)
+WHERE NOT COALESCE(hotel_type IN ({O.qlist(O.COUNTRY_EXCLUDE_TYPES)})
+                   OR country IN ({O.qlist(O.COUNTRY_EXCLUDE_COUNTRIES)}), FALSE)
 GROUP BY country""", "x_fact"))
 def q_report_country_revenue(spark, sf_dir):
     return report.report_country_revenue(_fact(spark, sf_dir))
@@ -219,14 +219,14 @@ def q_report_country_revenue(spark, sf_dir):
 
 @register("report_hotel_type_revenue", O.with_ctes(f"""
 SELECT hotel_type, {O.dsum('total_amount_eur', 2)} AS total_amount_eur FROM x_fact
-WHERE {O.not_in('hotel_type', K.REPORT_TYPE_EXCLUDE)} GROUP BY hotel_type""", "x_fact"))
+WHERE {O.not_in('hotel_type', O.TYPE_EXCLUDE)} GROUP BY hotel_type""", "x_fact"))
 def q_report_hotel_type_revenue(spark, sf_dir):
     return report.report_hotel_type_revenue(_fact(spark, sf_dir))
 
 
 @register("report_city_revenue", O.with_ctes(f"""
 SELECT city, {O.dsum('total_revenue_eur', 2)} AS total_revenue_eur FROM x_kpi
-WHERE {O.not_in('city', K.REPORT_CITY_EXCLUDE)} GROUP BY city""", "x_kpi"))
+WHERE {O.not_in('city', O.CITY_EXCLUDE)} GROUP BY city""", "x_kpi"))
 def q_report_city_revenue(spark, sf_dir):
     return report.report_city_revenue(gold.kpi_groups(_fact(spark, sf_dir)))
 
@@ -259,7 +259,7 @@ def q_report_years(spark, sf_dir):
 
 @register("default_summarize", O.with_ctes("SELECT " + ", ".join(
     f"CAST(sum(CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE) AS sum_{c}"
-    for c in report.FACT_SUMMARIZE_SUM) + " FROM x_fact", "x_fact"))
+    for c in O.SUMMED) + " FROM x_fact", "x_fact"))
 def q_default_summarize(spark, sf_dir):
     return report.default_summarize(_fact(spark, sf_dir))
 
@@ -477,10 +477,7 @@ def q_null_blank_profile(spark, sf_dir):
     return enrich.null_blank_profile(columns.union_by_name(b.batch, b.stream), M.union_and_fill(b), "hotel_name")
 
 
-_SILVER_TYPES = {"booking_id": "StringType", "customer_id": "StringType", "total_amount": "DoubleType"}
-
-
-@register("dq_suite", O.with_ctes(O.dq_sql("x_silver", "silver_bookings", quality.SILVER_SUITE, _SILVER_TYPES),
+@register("dq_suite", O.with_ctes(O.dq_sql("x_silver", "silver_bookings", O.SILVER_RULES),
                                   "x_silver"))
 def q_dq_suite(spark, sf_dir):
     return quality.dq_suite(_silver(spark, sf_dir))
@@ -490,7 +487,7 @@ def q_dq_suite(spark, sf_dir):
 SELECT count(*) AS total, count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) AS failed,
   COALESCE(array_to_string(list_sort(list("check" || ':' || "column") FILTER (WHERE NOT success)), ','), '')
     AS failed_checks
-FROM ({O.dq_sql('x_silver', 'silver_bookings', quality.SILVER_SUITE, _SILVER_TYPES)})""", "x_silver"))
+FROM ({O.dq_sql('x_silver', 'silver_bookings', O.SILVER_RULES)})""", "x_silver"))
 def q_dq_report(spark, sf_dir):
     return quality.dq_report(quality.dq_suite(_silver(spark, sf_dir))).withColumn(
         "failed_checks", F.array_join("failed_checks", ","))
@@ -524,7 +521,7 @@ def q_dq_native_summary(spark, sf_dir):
 
 
 @register("dq_table_checks", O.with_ctes(f"""
-SELECT 'silver_bookings' AS model, 'min_rows' AS "check", count(*) AS observed, count(*) >= {K.MIN_SILVER_ROWS} AS success
+SELECT 'silver_bookings' AS model, 'min_rows' AS "check", count(*) AS observed, count(*) >= 100000 AS success
 FROM x_silver
 UNION ALL SELECT 'silver_bookings', 'not_empty', count(*), count(*) > 0 FROM x_silver
 UNION ALL SELECT 'silver_bookings', 'required_columns', 0, TRUE
@@ -532,9 +529,9 @@ UNION ALL SELECT 'bronze_weather', 'not_empty', count(*), count(*) > 0 FROM x_wr
 UNION ALL SELECT 'bronze_weather', 'city_not_null', count(*) FILTER (WHERE city IS NULL),
   count(*) FILTER (WHERE city IS NULL) = 0 FROM x_wread
 UNION ALL SELECT 'bronze_weather', 'temperature_in_range', count(*) FILTER (WHERE temperature_c IS NOT NULL AND
-  (temperature_c < {K.TEMPERATURE_RANGE[0]} OR temperature_c > {K.TEMPERATURE_RANGE[1]})),
+  (temperature_c < -60 OR temperature_c > 60)),
   count(*) FILTER (WHERE temperature_c IS NOT NULL AND
-  (temperature_c < {K.TEMPERATURE_RANGE[0]} OR temperature_c > {K.TEMPERATURE_RANGE[1]})) = 0 FROM x_wread
+  (temperature_c < -60 OR temperature_c > 60)) = 0 FROM x_wread
 UNION ALL SELECT 'bronze_exchange_rates', 'not_empty', count(*), count(*) > 0 FROM x_rquote
 UNION ALL SELECT 'bronze_exchange_rates', 'rate_positive', count(*) FILTER (WHERE NOT (rate > 0)),
   count(*) FILTER (WHERE NOT (rate > 0)) = 0 FROM x_rquote""", "x_silver", "x_wread", "x_rquote"))
@@ -545,19 +542,14 @@ def q_dq_table_checks(spark, sf_dir):
 
 @register("dq_required_values", O.with_ctes(f"""
 SELECT v AS value, v IN (SELECT target_currency FROM x_rquote) AS present
-FROM (VALUES {', '.join(f'({O.q(c)})' for c in K.REQUIRED_RATE_CURRENCIES)}) t(v)""", "x_rquote"))
+FROM (VALUES {', '.join(f'({O.q(c)})' for c in O.REQUIRED_RATES)}) t(v)""", "x_rquote"))
 def q_dq_required_values(spark, sf_dir):
     return quality.dq_required_values(td.rate_quotes(spark, sf_dir), "target_currency")
 
 
-_GOLD_TYPES: dict = {}
-_MODEL_SRC = {"fact_bookings": "x_fact", "dim_city": "x_dim_city", "dim_hotel": "x_dim_hotel",
-              "dim_date": "x_dim_date", "kpi_revenue": "x_kpi"}
-
-
 @register("dq_model_tests", O.with_ctes("\nUNION ALL\n".join(
-    O.dq_sql(_MODEL_SRC[m], m, checks, _GOLD_TYPES) for m, checks in quality.MODEL_TESTS.items()),
-    *_MODEL_SRC.values()))
+    O.dq_sql(src, m, rules) for m, (src, rules) in O.GOLD_RULES.items()),
+    *[src for src, _ in O.GOLD_RULES.values()]))
 def q_dq_model_tests(spark, sf_dir):
     g = _gold(spark, sf_dir)
     tables = {"fact_bookings": g.fact, "dim_city": g.dim_city, "dim_hotel": g.dim_hotel,
@@ -607,7 +599,7 @@ def q_top_cities(spark, sf_dir):
 
 
 @register("rates_pivot", O.with_ctes("SELECT 1.0 AS rate_eur, " + ", ".join(
-    f"max(CASE WHEN r_currency = {O.q(c)} THEN rate END) AS rate_{c.lower()}" for c in K.TARGET_CURRENCIES)
+    f"max(CASE WHEN r_currency = {O.q(c)} THEN rate END) AS rate_{c.lower()}" for c in O.TARGET_CURRENCIES)
     + " FROM x_rlk", "x_rlk"))
 def q_rates_pivot(spark, sf_dir):
     return enrich.rates_pivot(enrich.latest_rates(td.rate_quotes(spark, sf_dir)))
@@ -625,7 +617,7 @@ def q_enrich_weather_rates(spark, sf_dir):
 
 @register("weather_json_flatten", O.with_ctes(f"""
 SELECT {O.initcap('trim(city)')} AS city, country_api, latitude, longitude, temperature_c, humidity, weather_code,
-  date_trunc('minute', recorded_at) AS recorded_at, {O.q(K.WEATHER_SOURCE)} AS source
+  date_trunc('minute', recorded_at) AS recorded_at, 'open-meteo' AS source
 FROM x_wread WHERE n_nationkey <> 24""", "x_wread"))
 def q_weather_json_flatten(spark, sf_dir):
     from ..sources.files import flatten_weather
@@ -634,7 +626,7 @@ def q_weather_json_flatten(spark, sf_dir):
 
 @register("rates_map_explode", O.with_ctes(f"""
 SELECT 'EUR' AS base_currency, target_currency, rate, date_trunc('second', ts) AS timestamp,
-  {O.q(K.RATES_SOURCE)} AS source FROM x_rquote""", "x_rquote"))
+  'exchangerate-api' AS source FROM x_rquote""", "x_rquote"))
 def q_rates_map_explode(spark, sf_dir):
     from ..sources.files import explode_rates
     return explode_rates(td.rate_payloads(spark, sf_dir)).drop("ingestion_time")
@@ -760,7 +752,7 @@ SELECT CAST(event_id AS VARCHAR) AS booking_id, user_id + 1000 AS customer_id, C
   CAST(ts AS VARCHAR) AS booking_date,
   CASE event_type WHEN 'click' THEN 'Single' WHEN 'view' THEN 'Double' WHEN 'signup' THEN 'Suite'
        WHEN 'purchase' THEN 'Deluxe' ELSE '--' END AS room_type,
-  value * 10 AS total_amount, {O.pick(K.CURRENCIES, 'event_id % 7')} AS currency,
+  value * 10 AS total_amount, {O.pick(O.CURRENCIES, 'event_id % 7')} AS currency,
   {O.pick(['MobileApp', 'Web', 'Agency'], 'k % 3')} AS source_system, CAST(ts AS VARCHAR) AS ingestion_time
 FROM x_ev""", "x_ev")
 

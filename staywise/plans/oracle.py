@@ -8,7 +8,44 @@ SQL expression text; CTEs are composed per query.
 
 from __future__ import annotations
 
-from ..functions import constants as K
+# Expected values, restated here so that a wrong constant in the code under
+# test shows as a difference.
+CURRENCIES = ["EUR", "USD", "GBP", "JPY", "TRY", "AED", "CNY"]
+TARGET_CURRENCIES = ["USD", "GBP", "JPY", "TRY", "AED", "CNY"]
+NUMBER_WORDS = {"One": "1", "Two": "2", "Three": "3", "Four": "4", "Five": "5", "Ten": "10"}
+GARBAGE_TOKENS = ["?", "???", "-", "--", "___", "null", "NULL", "Null", "NaN", " "]
+JUNK_EDGE_PATTERN = r"^[!@#\$%^&*()_+\-=]+|[!@#\$%^&*()_+\-=]+$"
+CANCELLED_LABELS = ["Canceled", "Cancelled"]
+COUNTRY_EXCLUDE_TYPES = ["Budget Hotel", "--", "___", "???", "Unknown", "City Hotel...", "!!Business Hotel", "Giza"]
+COUNTRY_EXCLUDE_COUNTRIES = ["Unknown"]
+TYPE_EXCLUDE = ["--", "___", "???", "!!Business Hotel", "Budget Hotel...", "!!City Hotel", "City Hotel...",
+                "!!Boutique", "!!Budget Hotel", "Luxury Hotel...", "Business Hotel...", "Resort...", "!!Resort",
+                "!!Luxury Hotel", "Boutique...", "Unknown", "Giza"]
+CITY_EXCLUDE = ["Unknown", "Tel Aviv"]
+REQUIRED_RATES = ["USD", "GBP", "TRY"]
+SUMMED = ["booking_year", "booking_month", "star_rating", "nights", "adults", "children", "total_amount",
+          "room_price", "exchange_rate_to_eur", "total_amount_eur", "avg_nightly_rate", "avg_nightly_rate_eur"]
+
+# Quality rules: (kind, column, argument).
+SILVER_RULES = [
+    ("not_null", "booking_id", None), ("not_null", "customer_id", None), ("not_null", "hotel_id", None),
+    ("not_null", "booking_date", None), ("unique", "booking_id", None), ("at_least_zero", "total_amount", None),
+    ("at_least_zero", "room_price", None), ("of_type", "booking_id", "StringType"),
+    ("of_type", "total_amount", "DoubleType"), ("of_type", "customer_id", "StringType"),
+    ("in_set", "currency", CURRENCIES)]
+GOLD_RULES = {
+    "fact_bookings": ("x_fact", [
+        ("not_null", "booking_id", None), ("unique", "booking_id", None), ("not_null", "hotel_id", None),
+        ("not_null", "booking_date", None), ("not_null", "total_amount", None),
+        ("not_null", "total_amount_eur", None), ("in_set", "currency", CURRENCIES)]),
+    "dim_city": ("x_dim_city", [("not_null", "city_key", None), ("unique", "city_key", None),
+                                ("not_null", "city", None), ("unique", "city", None)]),
+    "dim_hotel": ("x_dim_hotel", [("not_null", "hotel_id", None), ("unique", "hotel_id", None),
+                                  ("in_set", "hotel_tier", ["Premium", "Standard", "Budget"])]),
+    "dim_date": ("x_dim_date", [("not_null", "date_key", None), ("unique", "date_key", None),
+                                ("not_null", "year", None)]),
+    "kpi_revenue": ("x_kpi", [("not_null", "city", None), ("not_null", "total_bookings", None),
+                              ("not_null", "total_revenue_eur", None)])}
 
 # ---- expression helpers ------------------------------------------------------------------
 
@@ -62,23 +99,23 @@ def to_int(e: str) -> str:
 
 
 def words(e: str) -> str:
-    cases = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in K.NUMBER_WORDS.items())
+    cases = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in NUMBER_WORDS.items())
     return f"COALESCE(CASE {e} {cases} END, {e})"
 
 
 def garbage(v: str) -> str:
-    return f"CASE WHEN {v} IN ({qlist(K.GARBAGE_TOKENS)}) OR {v} = '' THEN 'Unknown' ELSE {v} END"
+    return f"CASE WHEN {v} IN ({qlist(GARBAGE_TOKENS)}) OR {v} = '' THEN 'Unknown' ELSE {v} END"
 
 
 def clean_string(e: str, upper: bool = False) -> str:
-    v = f"regexp_replace(trim({e}), {q(K.JUNK_EDGE_PATTERN)}, '', 'g')"
+    v = f"regexp_replace(trim({e}), {q(JUNK_EDGE_PATTERN)}, '', 'g')"
     g = garbage(v)
     return f"upper({g})" if upper else initcap(g)
 
 
 def clean_phone(e: str) -> str:
     v = f"regexp_replace(trim({e}), '[^0-9+]', '', 'g')"
-    p = f"CASE WHEN length({v}) < {K.PHONE_MIN_LEN} OR contains({v}, '{K.PHONE_ZERO_RUN}') THEN 'Unknown' ELSE {v} END"
+    p = f"CASE WHEN length({v}) < 5 OR contains({v}, '0000000') THEN 'Unknown' ELSE {v} END"
     return initcap(garbage(p))
 
 
@@ -95,7 +132,7 @@ def city_clean(e: str) -> str:
 
 
 def sentinel(ts: str) -> str:
-    return f"COALESCE({ts}, TIMESTAMP '{K.DATE_SENTINEL}')"
+    return f"COALESCE({ts}, TIMESTAMP '1900-01-01 00:00:00')"
 
 
 def digits(e: str) -> str:
@@ -107,7 +144,7 @@ def pick(values, idx: str) -> str:
 
 
 def tier(e: str) -> str:
-    return (f"CASE WHEN {e} >= {K.TIER_PREMIUM_MIN} THEN 'Premium' WHEN {e} >= {K.TIER_STANDARD_MIN} "
+    return (f"CASE WHEN {e} >= 4 THEN 'Premium' WHEN {e} >= 3 "
             f"THEN 'Standard' ELSE 'Budget' END")
 
 
@@ -153,8 +190,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS booking_id,
   CASE o_orderstatus WHEN 'F' THEN 'Confirmed' WHEN 'O' THEN 'Pending' ELSE 'Canceled' END AS booking_status,
   {pick(['Web', 'MobileApp', 'Agency'], 'o_orderkey % 3')} AS source_system,
   o_orderpriority AS booking_channel,
-  CASE WHEN o_orderkey % 11 = 0 THEN lower({pick(K.CURRENCIES, 'o_orderkey % 7')}) || ' '
-       ELSE {pick(K.CURRENCIES, 'o_orderkey % 7')} END AS currency,
+  CASE WHEN o_orderkey % 11 = 0 THEN lower({pick(CURRENCIES, 'o_orderkey % 7')}) || ' '
+       ELSE {pick(CURRENCIES, 'o_orderkey % 7')} END AS currency,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS total_price,
   CASE WHEN o_orderkey % 3 = 0 AND n_lines > 0 THEN o_totalprice / n_lines END AS room_price,
   CASE WHEN o_orderkey % 61 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS booking_ts,
@@ -179,7 +216,7 @@ SELECT CAST(event_id AS VARCHAR) AS booking_id,
   CAST(1 + k % 14 AS VARCHAR) AS nights,
   CAST(1 + event_id % 4 AS VARCHAR) AS adults,
   value * 10 AS total_amount,
-  {pick(K.CURRENCIES, 'event_id % 7')} AS currency,
+  {pick(CURRENCIES, 'event_id % 7')} AS currency,
   CASE event_type WHEN 'purchase' THEN 'Confirmed' WHEN 'error' THEN 'Cancelled' ELSE 'Pending' END
     AS booking_status,
   {pick(['MobileApp', 'Web', 'Agency'], 'k % 3')} AS source_system,
@@ -194,7 +231,7 @@ SELECT {CB} AS city, r_name AS country_api, CAST(n_nationkey * 3.5 - 42 AS DOUBL
   CAST(ts AS TIMESTAMP) AS recorded_at, event_id, n_nationkey
 FROM x_ev JOIN x_loc ON user_id % 25 = n_nationkey""")
 cte("x_rquote", ("x_ev",), f"""
-SELECT 'EUR' AS base_currency, {pick(K.TARGET_CURRENCIES, 'event_id % 6')} AS target_currency,
+SELECT 'EUR' AS base_currency, {pick(TARGET_CURRENCIES, 'event_id % 6')} AS target_currency,
   1 + value / 100 AS rate, CAST(ts AS TIMESTAMP) AS ts, event_id
 FROM x_ev""")
 cte("x_wlk", ("x_wread",), f"""
@@ -277,7 +314,7 @@ SELECT booking_id, hotel_id, customer_id,
 FROM x_imputed""")
 cte("x_silver", ("x_silver_full",), "SELECT * EXCLUDE (checkin_date_time) FROM x_silver_full")
 
-RATE_CUR = K.TARGET_CURRENCIES
+RATE_CUR = TARGET_CURRENCIES
 cte("x_cities", ("x_silver",), f"""
 SELECT DISTINCT * FROM (
   SELECT {initcap("trim(regexp_replace(city_clean, '\\.+$', '', 'g'))")} AS city,
@@ -300,9 +337,9 @@ FACT_COLS = f"""booking_id, hotel_id, customer_id, booking_date,
   temperature_c, weather_code"""
 cte("x_fact", ("x_silver",), f"""
 SELECT {FACT_COLS} FROM x_silver
-WHERE booking_date > DATE '{K.FACT_MIN_DATE}' AND hotel_id IS NOT NULL AND booking_id IS NOT NULL""")
+WHERE booking_date > DATE '1950-01-01' AND hotel_id IS NOT NULL AND booking_id IS NOT NULL""")
 
-RATE_COLS_ALL = [f"rate_{c.lower()}" for c in K.CURRENCIES]
+RATE_COLS_ALL = [f"rate_{c.lower()}" for c in CURRENCIES]
 cte("x_dim_city", ("x_city_dim",), f"""
 SELECT CAST(row_number() OVER (ORDER BY city) AS INTEGER) AS city_key, city, country, temperature_c, weather_code,
   {', '.join(f'COALESCE({r}, 0.0) AS {r}' for r in RATE_COLS_ALL)}
@@ -330,7 +367,7 @@ def kpi_measures(cancelled, guard: bool) -> str:
 
 cte("x_kpi", ("x_fact", "x_dim_city"), f"""
 SELECT k.*, c.temperature_c AS city_temperature_c, c.weather_code AS city_weather_code FROM (
-  SELECT city, country, booking_year, booking_month, hotel_type, {kpi_measures(K.CANCELLED_LABELS, False)}
+  SELECT city, country, booking_year, booking_month, hotel_type, {kpi_measures(CANCELLED_LABELS, False)}
   FROM x_fact GROUP BY city, country, booking_year, booking_month, hotel_type) k
 LEFT JOIN x_dim_city c ON k.city = c.city""")
 
@@ -402,44 +439,26 @@ def wavg(value: str, weight: str, scale: int, vscale: int) -> str:
     return _decimal_quotient(num, vscale, f"sum({weight})", scale)
 
 
-def _label(kind, col, lo=None, hi=None, type_name=""):
-    if kind == "between":
-        return f"between[{lo},{hi}]"
-    if kind == "of_type":
-        return f"of_type[{type_name}]"
-    return kind
-
-
-def dq_sql(src: str, model: str, checks, types: dict) -> str:
-    """One SELECT per check over ``src``; UNION ALL of (model, check, column,
+def dq_sql(src: str, model: str, rules) -> str:
+    """One SELECT per rule over ``src``; UNION ALL of (model, check, column,
     tested, failing, success)."""
+    failing = {"not_null": "{c} IS NULL", "at_least_zero": "{c} < 0", "in_set": "{c} NOT IN ({v})"}
+    label = {"at_least_zero": "between[0,None]"}
     parts = []
-    for ch in checks:
-        lab, c = q(_label(ch.kind, ch.column, ch.min_value, ch.max_value, ch.type_name)), ch.column
-        if ch.kind == "not_null":
-            parts.append(f"SELECT {lab} AS \"check\", {q(c)} AS \"column\", count(*) AS tested, "
-                         f"count(*) FILTER (WHERE {c} IS NULL) AS failing FROM {src}")
-        elif ch.kind == "between":
-            conds = []
-            if ch.min_value is not None:
-                conds.append(f"{c} < {ch.min_value}")
-            if ch.max_value is not None:
-                conds.append(f"{c} > {ch.max_value}")
-            parts.append(f"SELECT {lab}, {q(c)}, count(*), count(*) FILTER (WHERE {c} IS NOT NULL AND "
-                         f"({' OR '.join(conds) or 'FALSE'})) FROM {src}")
-        elif ch.kind == "in_set":
-            parts.append(f"SELECT {lab}, {q(c)}, count(*), count(*) FILTER (WHERE {c} IS NOT NULL AND "
-                         f"{c} NOT IN ({qlist(ch.values)})) FROM {src}")
-        elif ch.kind == "unique":
-            parts.append(f"SELECT {lab}, {q(c)}, CAST(COALESCE(sum(n), 0) AS BIGINT), "
-                         f"CAST(COALESCE(sum(n) FILTER (WHERE k IS NOT NULL AND n > 1), 0) AS BIGINT) "
-                         f"FROM (SELECT {c} AS k, count(*) AS n FROM {src} GROUP BY {c})")
-        elif ch.kind == "of_type":
-            ok = 0 if types.get(c) == ch.type_name else 1
-            parts.append(f"SELECT {lab}, {q(c)}, 1, {ok}")
-    body = "\nUNION ALL ".join(parts)
+    for kind, c, arg in rules:
+        name = f"of_type[{arg}]" if kind == "of_type" else label.get(kind, kind)
+        if kind == "unique":
+            body = (f"CAST(COALESCE(sum(n), 0) AS BIGINT) AS tested, "
+                    f"CAST(COALESCE(sum(n) FILTER (WHERE k IS NOT NULL AND n > 1), 0) AS BIGINT) AS failing "
+                    f"FROM (SELECT {c} AS k, count(*) AS n FROM {src} GROUP BY {c})")
+        elif kind == "of_type":  # the oracle's tables have these types by construction
+            body = "1 AS tested, 0 AS failing"
+        else:
+            bad = failing[kind].format(c=c, v=qlist(arg or []))
+            body = f"count(*) AS tested, count(*) FILTER (WHERE {bad}) AS failing FROM {src}"
+        parts.append(f'SELECT {q(name)} AS "check", {q(c)} AS "column", {body}')
     return (f"SELECT {q(model)} AS model, \"check\", \"column\", CAST(tested AS BIGINT) AS tested, "
-            f"CAST(failing AS BIGINT) AS failing, failing = 0 AS success FROM ({body})")
+            f"CAST(failing AS BIGINT) AS failing, failing = 0 AS success FROM ({chr(10).join(' UNION ALL ' * (i > 0) + p for i, p in enumerate(parts))})")
 
 
 def time_activity_sql(src: str, cols) -> str:
