@@ -81,23 +81,38 @@ def _label(ch: Check) -> str:
 
 
 def dq_suite(df: DataFrame, checks=tuple(SILVER_SUITE), model: str = "silver_bookings") -> DataFrame:
-    """Run ``checks`` on ``df``.  Row checks share one aggregate; each
-    uniqueness check is one grouped aggregate (map-side combined, so a hot
-    key costs one row per task); type checks read the schema."""
+    """Run ``checks`` on ``df`` in one pass: rows are grouped by the first
+    unique column (map-side combined, so a hot key costs one row per task),
+    each group with its counts of failing rows; one aggregate over the groups
+    answers all row checks and the uniqueness.  Further unique columns take a
+    grouped pass each; type checks read the schema."""
     spark = df.sparkSession
     row_checks = [c for c in checks if c.kind in ("not_null", "between", "in_set")]
+    keys = [c for c in checks if c.kind == "unique"]
+
+    def result(ch, tested, failing):
+        return F.struct(F.lit(_label(ch)).alias("check"), F.lit(ch.column).alias("column"),
+                        F.coalesce(tested, F.lit(0)).cast("bigint").alias("tested"),
+                        F.coalesce(failing, F.lit(0)).cast("bigint").alias("failing"))
+
+    def repeated(column):
+        return F.sum(F.when(F.col(column).isNotNull() & (F.col("_n") > 1), F.col("_n")))
+
     parts = []
-    if row_checks:
-        structs = [F.struct(F.lit(_label(c)).alias("check"), F.lit(c.column).alias("column"),
-                            F.count("*").alias("tested"), _failing_expr(c).alias("failing"))
-                   for c in row_checks]
-        parts.append(df.agg(F.array(*structs).alias("a")).select(F.inline("a")))
-    for c in (c for c in checks if c.kind == "unique"):
-        g = df.groupBy(c.column).agg(F.count("*").alias("n"))
-        parts.append(g.agg(F.lit("unique").alias("check"), F.lit(c.column).alias("column"),
-                           F.sum("n").cast("bigint").alias("tested"),
-                           F.coalesce(F.sum(F.when(F.col(c.column).isNotNull() & (F.col("n") > 1), F.col("n"))),
-                                      F.lit(0)).cast("bigint").alias("failing")))
+    if keys:
+        first = keys[0]
+        groups = df.groupBy(first.column).agg(
+            F.count("*").alias("_n"), *[_failing_expr(c).alias(f"_f{i}") for i, c in enumerate(row_checks)])
+        rows = [result(c, F.sum("_n"), F.sum(f"_f{i}")) for i, c in enumerate(row_checks)]
+        rows.append(result(first, F.sum("_n"), repeated(first.column)))
+        parts.append(groups.agg(F.array(*rows).alias("a")).select(F.inline("a")))
+        for c in keys[1:]:
+            groups = df.groupBy(c.column).agg(F.count("*").alias("_n"))
+            parts.append(groups.agg(F.array(result(c, F.sum("_n"), repeated(c.column))).alias("a"))
+                         .select(F.inline("a")))
+    elif row_checks:
+        rows = [result(c, F.count("*"), _failing_expr(c)) for c in row_checks]
+        parts.append(df.agg(F.array(*rows).alias("a")).select(F.inline("a")))
     types = {f.name: type(f.dataType).__name__ for f in df.schema.fields}
     type_rows = [(_label(c), c.column, 1, 0 if types.get(c.column) == c.type_name else 1)
                  for c in checks if c.kind == "of_type"]
