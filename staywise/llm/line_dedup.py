@@ -7,8 +7,9 @@ BLOCKS blocks (pigeonhole), so lines meet under a key for every such choice of
 blocks; pairs within the radius are verified by edit similarity, and of every
 connected group the first occurrence stays.
 
-A key shared by many lines is compared in blocks of lines by many tasks, each
-yielding a spanning forest of what it verified rather than pairs.
+Lines are first grouped by near hashes alone, then verified inside these groups.
+Crowded keys and large groups are compared in blocks of lines by many tasks,
+each yielding a spanning forest rather than pairs.
 
 Defined cases: null and empty texts have one blank line; lines without letters
 or digits (blank ones) are never dropped; null ids sort last; repeated rows
@@ -32,8 +33,9 @@ from .shingles import word_hashes
 
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 3, 5
-BLOCK = 256            # lines of one key compared at once
-BROADCAST_PAIRS = 200_000
+SMALL = 32             # lines of a key that are paired by a join
+BLOCK = 256            # lines of a larger key, or of a group, compared at once
+BROADCAST_LINES = 200_000   # of lines with a near hash; more are joined by a shuffle
 # Edges of the blocks of 64 bits.
 EDGES = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
@@ -42,13 +44,26 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
+def simhashes(texts: list[str]) -> np.ndarray:
+    """For each text 64 bits: bit i is set when more than half of the words'
+    hashes have it.  All words of a batch are hashed together."""
+    raw = [t.encode() for t in texts]
+    h = word_hashes(b" \n ".join(raw))
+    words = np.array([len(r.split()) for r in raw])
+    out = np.zeros(len(texts), np.uint64)
+    some = np.flatnonzero(words)
+    starts = np.cumsum(words[some]) - words[some]
+    for lo in range(0, len(some), 1000):  # bounds the matrix of bits
+        part = some[lo:lo + 1000]
+        begin, end = starts[lo], starts[lo] + words[part].sum()
+        bits = np.unpackbits(h[begin:end].view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.add.reduceat(bits, starts[lo:lo + 1000] - begin, axis=0, dtype=np.uint32)
+        out[part] = np.packbits(ones * 2 > words[part][:, None], axis=1).view(np.uint64).ravel()
+    return out.view(np.int64)
+
+
 def simhash(text: str) -> int:
-    """Bit i is set when more than half of the words' hashes have it."""
-    h = word_hashes(text.encode())
-    if not len(h):
-        return 0
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-    return int(np.packbits(bits.sum(0, dtype=np.int64) * 2 > len(h)).view(np.int64)[0])
+    return int(simhashes([text])[0])
 
 
 def keys(sim: Column) -> Column:
@@ -61,17 +76,28 @@ def keys(sim: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(i), sim.bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(masks)])
 
 
-def near(a: Column, b: Column, similarity: float) -> Column:
-    """1 - edit distance / longer length reaches ``similarity``; the distance
-    is computed only as far as that allows."""
-    longer = F.greatest(F.length(a), F.length(b))
-    most = F.floor(F.lit(1 - similarity + 1e-9) * longer).cast("int")
-    return (F.length(a) - F.length(b) <= most) & (F.length(b) - F.length(a) <= most) & (
-        F.call_function("levenshtein", a, b, most) >= 0)
+def unshared(a: str, b: str) -> tuple[str, str]:
+    """Both texts without their common start and end, which do not change the
+    edit distance."""
+    def common(x: str, y: str) -> int:
+        lo, hi = 0, min(len(x), len(y))
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            if x[lo:mid] == y[lo:mid]:
+                lo = mid
+            else:
+                hi = mid - 1
+        return lo
+
+    k = common(a, b)
+    a, b = a[k:], b[k:]
+    k = common(a[::-1], b[::-1])
+    return a[:len(a) - k], b[:len(b) - k]
 
 
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance, bit-parallel over the shorter text."""
+    a, b = unshared(a, b)
     if len(a) > len(b):
         a, b = b, a
     m = len(a)
@@ -96,21 +122,25 @@ def edit_distance(a: str, b: str) -> int:
     return score
 
 
-def verified(t: pa.Table, similarity: float) -> Iterator[pa.RecordBatch]:
-    """One task of a crowded key: links of lines, in a block or between two,
-    whose hashes are near and whose texts are similar.  Pairs already
-    connected here need no check, so a group of m like lines costs about m
-    comparisons of texts and yields at most m links."""
-    part, lid, sim = t["part"].to_numpy(), t["lid"].to_numpy(), t["sim"].to_numpy().view(np.uint64)
-    bi, bj = t["bi"][0].as_py(), t["bj"][0].as_py()
-    left, right = np.flatnonzero(part == bi), np.flatnonzero(part == bj)
+def close_pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of one task, in a block or between two, whose hashes differ
+    in at most RADIUS bits, the nearest first."""
+    part, sim = t["part"].to_numpy(), t["sim"].to_numpy().view(np.uint64)
+    left, right = (np.flatnonzero(part == t[c][0].as_py()) for c in ("bi", "bj"))
     apart = np.bitwise_count(sim[left][:, None] ^ sim[right])
     close = apart <= RADIUS
-    if bi == bj:
+    if t["bi"][0].as_py() == t["bj"][0].as_py():
         close = np.triu(close, 1)
     a, b = np.nonzero(close)
     order = np.argsort(apart[a, b], kind="stable")
-    root = list(range(len(lid)))
+    return left[a[order]], right[b[order]]
+
+
+def linked(t: pa.Table, alike) -> Iterator[pa.RecordBatch]:
+    """One task: a spanning forest of the pairs (i, j) of near hashes for
+    which ``alike(i, j)``.  Pairs already connected here are not asked, so a
+    group of m like lines costs about m questions and yields under m links."""
+    root = list(range(t.num_rows))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -119,45 +149,63 @@ def verified(t: pa.Table, similarity: float) -> Iterator[pa.RecordBatch]:
         return x
 
     links = []
-    for i, j in zip(left[a[order]].tolist(), right[b[order]].tolist()):
+    for i, j in zip(*(x.tolist() for x in close_pairs(t))):
         u, v = find(i), find(j)
-        if u != v:
-            x, y = t["norm"][i].as_py(), t["norm"][j].as_py()
-            longer = max(len(x), len(y))
-            if abs(len(x) - len(y)) <= (1 - similarity) * longer and (
-                    edit_distance(x, y) <= (1 - similarity + 1e-9) * longer):
-                root[u] = v
-                links.append((i, j))
+        if u != v and alike(i, j):
+            root[u] = v
+            links.append((i, j))
     if links:
         i, j = np.array(links).T
+        lid = t["lid"].to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(lid[i]), pa.array(lid[j])], ["a", "b"])
 
 
+def near_hashes(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    return linked(t, lambda i, j: True)
+
+
+def verified(t: pa.Table, similarity: float) -> Iterator[pa.RecordBatch]:
+    norm = t["norm"].to_pylist()
+
+    def alike(i: int, j: int) -> bool:
+        x, y = norm[i], norm[j]
+        most = (1 - similarity + 1e-9) * max(len(x), len(y))
+        return abs(len(x) - len(y)) <= most and edit_distance(x, y) <= most
+
+    return linked(t, alike)
+
+
+def grouped(members: DataFrame, bucket: str, fn) -> DataFrame:
+    """Links (a, b) found among the members of each bucket, in blocks."""
+    return by_task(block_pairs(members, bucket, "size", "lid", BLOCK), [bucket, "bi", "bj"], fn,
+                   "a long, b long", tasks_of(members))
+
+
 def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
-    """(node, root): groups among distinct lines (lid, norm, sim)."""
+    """(node, root): groups among distinct lines (lid, norm, sim).
+
+    First the groups connected by near hashes alone; within each, however
+    large, links are verified by the texts, which only these lines need.
+    """
     spark = lines.sparkSession
     keyed = lines.select("lid", "sim", F.explode(keys(F.col("sim"))).alias("key"))
     buckets = written(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
     met = written(lookup(keyed, buckets, ["key"], "size", F.xxhash64("lid")), "met")
-
-    small = met.filter(F.col("size") <= BLOCK)
+    small = met.filter(F.col("size") <= SMALL)
     a, b = small.alias("a"), small.alias("b")
-    pairs = written(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.lid") < F.col("b.lid")) & (
+    pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.lid") < F.col("b.lid")) & (
         F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= RADIUS))
-        .select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")).distinct(), "pairs")
-    wanted = written(pairs.select(F.col("a").alias("lid")).union(pairs.select("b")).distinct(), "wanted")
-    if wanted.count() <= BROADCAST_PAIRS:
-        wanted = F.broadcast(wanted)
-    texts = written(lines.select("lid", "norm").join(wanted, "lid"), "texts")
-    checked = (pairs.join(texts.select(F.col("lid").alias("a"), F.col("norm").alias("x")), "a")
-               .join(texts.select(F.col("lid").alias("b"), F.col("norm").alias("y")), "b")
-               .filter(near(F.col("x"), F.col("y"), similarity)).select("a", "b"))
-
-    large = met.filter(F.col("size") > BLOCK).join(lines.select("lid", "norm"), "lid")
-    crowded = by_task(block_pairs(large, "key", "size", "lid", BLOCK), ["key", "bi", "bj"],
-                      lambda t: verified(t, similarity), "a long, b long", tasks_of(lines))
+        .select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")))
+    near = written(components(pairs.unionByName(grouped(met.filter(F.col("size") > SMALL), "key", near_hashes))),
+                   "near")
+
+    sizes = written(near.groupBy("root").agg(F.count("*").alias("size")), "sizes")
+    wanted = written(lookup(near, sizes, ["root"], "size", F.xxhash64("node")).withColumnRenamed("node", "lid"),
+                     "wanted")
+    few = wanted.count() <= BROADCAST_LINES
+    members = lines.join(F.broadcast(wanted) if few else wanted, "lid")
     python_workers(spark)
-    return components(checked.unionByName(crowded))
+    return components(grouped(members, "root", lambda t: verified(t, similarity)))
 
 
 def decide(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
@@ -175,7 +223,7 @@ def decide(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "do
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sims = pa.array([simhash(t.as_py()) for t in b.column("norm")], pa.int64())
+            sims = pa.array(simhashes(b.column("norm").to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns, sims], [*b.schema.names, "sim"])
 
     norms = each.filter(~blank).select("norm").distinct()

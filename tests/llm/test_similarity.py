@@ -187,6 +187,8 @@ def test_line_dedup_whole_table(spark):
 
 def test_line_dedup_crowded_keys(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
     docs = [(i, story(200, 6) + f" tail{i}\nunlike {story(30, i + 30)}") for i in range(60)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert kept_places(line_dedup.decide(df)) == brute_lines(docs)
