@@ -37,8 +37,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert check_pieces(docs.collect(), mixed) < 0.05
 
 
-def test_run_and_registry(spark):
-    assert corpus_pipeline.run(spark, SF).count() > 0
+def test_registry_has_every_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
 
 
