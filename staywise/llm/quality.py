@@ -35,6 +35,7 @@ SAMPLE = 60_000
 FEATURES = 256   # random Fourier features
 RIDGE = 1.0
 PARTS = 5        # folds of the calibration
+SUMMING = 8      # tasks that add up the sample
 BINS = 1000      # score bins of the calibration
 SEED = 9
 
@@ -116,7 +117,8 @@ def summed(rows: DataFrame, arrays) -> dict[int, np.ndarray]:
     def add(b: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"i": b["i"][:1], "v": [np.sum(np.vstack(b["v"].to_numpy()), axis=0)]})
 
-    sums = rows.mapInPandas(part, "i int, v array<double>").groupBy("i").applyInPandas(add, "i int, v array<double>")
+    # the rows are a bounded sample, whatever number of files they lie in
+    sums = rows.coalesce(SUMMING).mapInPandas(part, "i int, v array<double>").groupBy("i").applyInPandas(add, "i int, v array<double>")
     return {r.i: np.array(r.v) for r in sums.collect()}
 
 
