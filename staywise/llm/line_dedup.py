@@ -1,11 +1,11 @@
 """Fuzzy line deduplication.
 
 Lines are normalised (lower case, everything but letters and digits one
-space); equal ones collapse first.  Each distinct line gets a 64-bit SimHash of its
-words.  Two hashes within RADIUS bits agree on at least BLOCKS - RADIUS of
-BLOCKS blocks (pigeonhole), so lines meet under a key for every such choice of
-blocks; pairs within the radius are verified by edit similarity, and of every
-connected group the first occurrence stays.
+space); equal ones collapse first.  Each distinct line gets a 64-bit SimHash
+of its words, weighted by their length.  Two hashes within RADIUS bits agree
+on at least BLOCKS - RADIUS of BLOCKS blocks (pigeonhole), so lines meet under
+a key for every such choice of blocks; pairs within the radius are verified by
+edit similarity, and of every connected group the first occurrence stays.
 
 Lines are first grouped by near hashes alone, then verified inside these groups.
 Crowded keys and large groups are compared in blocks of lines by many tasks,
@@ -34,6 +34,7 @@ from .shingles import word_hashes
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 3, 5
 SMALL = 32             # lines of a key that are paired by a join
+LONG_WORD = 12         # letters from which a word weighs no more
 BLOCK = 256            # lines of a larger key, or of a group, compared at once
 BROADCAST_LINES = 200_000   # of lines with a near hash; more are joined by a shuffle
 # Edges of the blocks of 64 bits.
@@ -45,11 +46,16 @@ def normalised(line: Column) -> Column:
 
 
 def simhashes(texts: list[str]) -> np.ndarray:
-    """For each text 64 bits: bit i is set when more than half of the words'
-    hashes have it.  All words of a batch are hashed together."""
+    """For each text 64 bits: bit i is set when the words whose hashes have it
+    weigh more than half.  A word weighs the square of its length, up to
+    LONG_WORD: short words are frequent, and with equal weights they alone
+    would make unlike lines alike; no single long token decides either.  All
+    words of a batch are hashed together."""
     raw = [t.encode() for t in texts]
     h = word_hashes(b" \n ".join(raw))
-    words = np.array([len(r.split()) for r in raw])
+    lengths = [[len(w) for w in r.split()] for r in raw]
+    words = np.array([len(x) for x in lengths])
+    weight = np.array([min(n, LONG_WORD) ** 2 for x in lengths for n in x], np.float32)
     out = np.zeros(len(texts), np.uint64)
     some = np.flatnonzero(words)
     starts = np.cumsum(words[some]) - words[some]
@@ -57,8 +63,10 @@ def simhashes(texts: list[str]) -> np.ndarray:
         part = some[lo:lo + 1000]
         begin, end = starts[lo], starts[lo] + words[part].sum()
         bits = np.unpackbits(h[begin:end].view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, starts[lo:lo + 1000] - begin, axis=0, dtype=np.uint32)
-        out[part] = np.packbits(ones * 2 > words[part][:, None], axis=1).view(np.uint64).ravel()
+        w, at = weight[begin:end], starts[lo:lo + 1000] - begin
+        ones = np.add.reduceat(bits * w[:, None], at, axis=0)
+        half = np.add.reduceat(w, at)[:, None] / 2
+        out[part] = np.packbits(ones > half, axis=1).view(np.uint64).ravel()
     return out.view(np.int64)
 
 
@@ -236,11 +244,13 @@ def decide(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "do
     linked = written(lines.select("lid", "norm").join(roots.withColumnRenamed("node", "lid"), "lid")
                      .select(content_key(F.col("norm")).alias("hash"), "root"), "linked")
     groups = written(groups.join(linked, "hash", "left"), "groups")
-    heads = groups.filter("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("head"),
-                                                                  F.sum("n").alias("group_size"))
-    final = written(groups.join(heads, "root", "left").select(
-        "hash", "n", F.coalesce("head", "first").alias("head"), F.coalesce("group_size", "n").alias("group_size")),
-        "heads")
+    tied = groups.filter("root IS NOT NULL")
+    heads = written(tied.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("group_size"),
+                                             F.count("*").alias("members")), "heads")
+    final = written(lookup(tied, heads, ["root"], "members", F.xxhash64("hash"))
+                    .select("hash", "n", "head", "group_size")
+                    .unionByName(groups.filter("root IS NULL").select(
+                        "hash", "n", F.col("first").alias("head"), F.col("n").alias("group_size"))), "final")
     out = lookup(places.filter("hash IS NOT NULL"), final, ["hash"], "n", F.xxhash64("rid", "line")).select(
         "doc_id", "rid", "line", F.col("head.doc_id").alias("keep_doc"), F.col("head.line").alias("keep_line"),
         "group_size", ((F.col("rid") == F.col("head.rid")) & (F.col("line") == F.col("head.line"))).alias("kept"))
