@@ -1,10 +1,10 @@
 """N-gram Jaccard self-join by chosen paths.
 
 Each text is its set of five-word shingles.  A run splits the sets
-recursively: at each node of the path so far, one random order of all tokens
-is drawn, and every set goes to the child named by its first token in that
-order, a sampled token that two sets share with a probability of their
-similarity.  Buckets of up to LEAF sets are compared pair by pair; larger
+recursively: at each level one random order of all tokens is drawn, and every
+set goes to the child named by its first token in that order, a sampled token
+that two sets share with a probability of their similarity.  Every run and
+level has an order of its own, so runs fail independently.  Buckets of up to LEAF sets are compared pair by pair; larger
 ones are split again, to a depth of DEPTH.  Two sets of similarity s meet in
 a leaf of one run with a probability of at least s ** DEPTH; runs are
 repeated until that leaves less than 1 - RECALL of the pairs unmet.
@@ -40,7 +40,6 @@ SIMILARITY = 0.8
 RECALL = 0.999
 DEPTH = 4
 LEAF = 128
-COORDINATES = 32
 COLUMNS = 8192   # vocabulary compared at once: bounds a task's memory
 
 
@@ -50,9 +49,11 @@ def runs_for(recall: float = RECALL, similarity: float = SIMILARITY, depth: int
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** depth))
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, runs: int | None = None) -> DataFrame:
     """doc_id, rid (the row), hash (of the text), skey (of its set, null
-    without shingles) and sig (its minima under COORDINATES token orders)."""
+    without shingles) and sig (its minima under one token order for each run
+    and level, the runs of level one first)."""
+    orders = (runs or runs_for()) * DEPTH
     python_workers(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                        content_key(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
@@ -64,7 +65,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for t in b.column("text"):
                 h = shingles(t.as_py())
                 keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
-                sigs.append(minhash(h, COORDINATES) if len(h) else None)
+                sigs.append(minhash(h, orders) if len(h) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("rid"), b.column("hash"), pa.array(keys, pa.binary()),
                  pa.array(sigs, sig)], ["doc_id", "rid", "hash", "skey", "sig"])
@@ -87,7 +88,7 @@ def leaves(sets: DataFrame, runs: int) -> DataFrame:
         large = met.filter(~leaf)
         if depth == DEPTH or large.isEmpty():
             break
-        token = F.element_at("sig", (F.pmod("node", F.lit(COORDINATES)) + 1).cast("int"))
+        token = F.element_at("sig", F.col("run") + depth * runs + 1)
         active = written(large.join(sets.select("cid", "sig"), "cid")
                          .select("cid", "run", F.xxhash64("node", token).alias("node")), "paths")
     out = found[0]
@@ -182,7 +183,7 @@ def join(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = REC
     documents whose similarity reaches the threshold), kept (the first
     document of its group), hash (of its text)."""
     runs = runs_for(recall, similarity)
-    rows = signatures(docs, id_col, text_col)
+    rows = signatures(docs, id_col, text_col, runs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
     sets = written(rows.filter("skey IS NOT NULL").groupBy("skey").agg(
         first.alias("first"), F.count("*").alias("n"), F.any_value("sig").alias("sig"),

@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from staywise.llm import graph, jaccard_join, line_dedup, shingles, topk
 
@@ -111,6 +112,22 @@ def test_runs_reach_the_recall():
         assert (1 - 0.8 ** depth) ** r <= 0.001 < (1 - 0.8 ** depth) ** (r - 1)
 
 
+def test_runs_reach_the_recall_in_crowded_buckets(spark, monkeypatch):
+    """All buckets are split to the last level, as those of large groups are:
+    of 10,000 pairs at the threshold (40 of 50 shingles in common) at most
+    one in a thousand shares no leaf."""
+    monkeypatch.setattr(jaccard_join, "LEAF", 1)
+    pairs, docs = 10_000, []
+    for i in range(pairs):
+        w = [f"{i}w{k}" for k in range(44)]
+        docs += [(2 * i + side, " ".join(w + [f"{i}{tail}{k}" for k in range(5)])) for side, tail in enumerate("xy")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    sets = jaccard_join.signatures(df, "doc_id", "text").withColumnRenamed("doc_id", "cid")
+    met = (jaccard_join.leaves(sets, jaccard_join.runs_for()).groupBy("leaf", (F.col("cid") / 2).cast("long").alias("pair"))
+           .agg(F.count("*").alias("n")).filter("n > 1").select("pair").distinct().count())
+    assert met >= 0.999 * pairs
+
+
 def test_join_empty(nothing):
     assert jaccard_join.join(nothing).count() == 0 and jaccard_join.keep_one(nothing).count() == 0
 
