@@ -118,11 +118,16 @@ def compared(leaf_rows: DataFrame, runs: int) -> DataFrame:
     return lookup(rows, open_leaves, ["leaf"], "weight", F.xxhash64("cid")).drop("weight")
 
 
-def compact(hashes: np.ndarray) -> np.ndarray:
-    """32 bits of each token hash, what travels to the tasks that compare.
-    Two sets of n tokens then share about n * n / 2**32 tokens too many, one
-    ten-thousandth of a token at 600."""
-    return np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+def packed(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as the bytes of their differences, the lowest bytes
+    first: the highest ones are almost all zero, which shuffles compress."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -154,7 +159,7 @@ def compare(t: pa.Table, similarity: float) -> Iterator[pa.RecordBatch]:
     order = np.argsort(cid)  # the least index is the least cid
     part, n, cid = part[order], n[order], cid[order]
     raw = t["tokens"].to_pylist()
-    sets = [np.frombuffer(raw[i], np.uint32) for i in order]
+    sets = [unpacked(raw[i]) for i in order]
     left, right = np.flatnonzero(part == bi), np.flatnonzero(part == bj)
     if len(cid) < 2 or not len(left) or not len(right):
         return
@@ -204,7 +209,7 @@ def join(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = REC
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = pa.array([compact(shingles(t.as_py())).tobytes() for t in b.column("text")], pa.binary())
+            raw = pa.array([packed(shingles(t.as_py())) for t in b.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), raw], ["cid", "n", "tokens"])
 
     contents = texts.join(want, "key").select("cid", "n", "text").mapInArrow(tokens, "cid long, n long, tokens binary")

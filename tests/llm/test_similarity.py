@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -128,6 +129,17 @@ def test_runs_reach_the_recall_in_crowded_buckets(spark, monkeypatch):
     assert met >= 0.999 * pairs
 
 
+def test_join_compares_whole_token_hashes():
+    """Tokens whose hashes differ only in the lower half stay apart."""
+    a, b = (np.array([*range(70), *range(100 * n, 100 * n + 30)], np.uint64) + np.uint64(1 << 40) for n in (1, 2))
+    wide = np.unique(np.random.default_rng(1).integers(0, 1 << 64, 500, dtype=np.uint64))
+    for x in (a, wide, wide[:1], wide[:0]):
+        assert (jaccard_join.unpacked(jaccard_join.packed(x)) == x).all()
+    t = pa.table({"cid": [1, 2], "n": [1, 1], "run": [0, 0], "part": [0, 0], "bi": [0, 0], "bj": [0, 0],
+                  "path": [[0], [0]], "tokens": [jaccard_join.packed(x) for x in (a, b)]})
+    assert not list(jaccard_join.compare(t, 0.8))
+
+
 def test_join_empty(nothing):
     assert jaccard_join.join(nothing).count() == 0 and jaccard_join.keep_one(nothing).count() == 0
 
