@@ -4,10 +4,12 @@ log-likelihood ratio.
 
 Spans are code point ranges, end exclusive.  Rule spans are the leftmost
 non-overlapping matches of each kind that are long enough.  The models are
-first-order chains over the token alphabet.  Random strings to learn from are
-the values the rules caught in the whole table and digests (hexadecimal and
-base 64) of a sample of texts; ordinary identifiers are the letter tokens of
-that sample outside the rules.  A token of LEAST or more characters whose
+first-order chains over the token alphabet, counted over the whole table.
+Random strings to learn from are digests (hexadecimal and base 64) of all
+texts and the values the rules caught, which together weigh CAUGHT of the
+digests however many they are; ordinary identifiers are the letter tokens
+outside the rules.  Smoothing is a fixed share of the evidence beyond EVIDENCE
+pairs, so the same mixture of texts gives the same model at any size.  A token of LEAST or more characters whose
 ratio reaches THRESHOLD adds a span of kind ``markov`` unless it overlaps a
 rule span.
 
@@ -39,8 +41,9 @@ LEAST = 16
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]{6,}(?![A-Za-z0-9+/_=-])"
 THRESHOLD = 12.0      # natural log of the ratio of likelihoods
-SAMPLE = 4_000        # texts, about, from which identifiers and digests are learnt
-SMOOTHING = 0.5
+CAUGHT = 0.25         # weight of all caught strings, where there are any, to that of all digests
+SMOOTHING = 0.5       # of each pair, up to EVIDENCE pairs; beyond them it grows in proportion
+EVIDENCE = 500_000
 KINDS = ("assign", "access", "hex", "markov")
 
 
@@ -79,31 +82,37 @@ def pairs(strings: DataFrame) -> DataFrame:
             .filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$")))
 
 
-def train(docs: DataFrame, found: DataFrame, text_col: str, sample: int = SAMPLE) -> dict[str, float]:
+def mixed(digests: dict[str, float], caught: dict[str, float]) -> dict[str, float]:
+    """Counts of random strings: those of the digests, and those of the caught
+    strings at CAUGHT of the digests' sum."""
+    scale = CAUGHT * sum(digests.values()) / max(1, sum(caught.values()))
+    return {pair: digests.get(pair, 0) + scale * caught.get(pair, 0) for pair in digests.keys() | caught.keys()}
+
+
+def chain(counts: dict[str, float]) -> dict[str, float]:
+    """Log of P(b | a) by pair ab."""
+    total: dict[str, float] = {}
+    for pair, c in counts.items():
+        total[pair[0]] = total.get(pair[0], 0) + c
+    each = SMOOTHING * max(1, sum(counts.values()) / EVIDENCE)
+    return {a + b: math.log((counts.get(a + b, 0) + each) / (total.get(a, 0) + each * len(ALPHABET)))
+            for a in ALPHABET for b in ALPHABET}
+
+
+def train(docs: DataFrame, found: DataFrame, text_col: str) -> dict[str, float]:
     """Log of P(b | a) among random strings over P(b | a) among ordinary
-    identifiers, by pair ab.  Both models have at most one count per pair, so
-    what reaches the driver is bounded by the alphabet."""
-    n = docs.count()
+    identifiers, by pair ab, from all texts.  Each kind of string has at most
+    one count per pair, so what reaches the driver is bounded by the alphabet."""
     part = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    if n > sample:
-        share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
-        part = part.filter(share < sample / n)
     caught = (found.select(F.explode("found").alias("x")).filter(valid(F.col("x.kind"), F.col("x.m")))
               .select(F.when(F.col("x.kind") == 0, F.regexp_extract("x.m", ASSIGN, 2)).otherwise(F.col("x.m"))
                       .alias("s")))
     digests = part.select(F.explode(F.array(F.sha2("text", 256), F.base64(F.unhex(F.sha2("text", 384))))).alias("s"))
     plain = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " ")
     words = part.select(F.explode(F.regexp_extract_all(plain, F.lit(IDENTIFIER), F.lit(0))).alias("s"))
-    tables = []
-    for strings in (caught.unionByName(digests), words):
-        counts = {r.pair: r.n for r in pairs(strings).collect()}
-        total: dict[str, int] = {}
-        for pair, c in counts.items():
-            total[pair[0]] = total.get(pair[0], 0) + c
-        size = len(ALPHABET)
-        tables.append({a + b: math.log((counts.get(a + b, 0) + SMOOTHING) / (total.get(a, 0) + SMOOTHING * size))
-                       for a in ALPHABET for b in ALPHABET})
-    return {pair: tables[0][pair] - tables[1][pair] for pair in tables[0]}
+    digests, caught, words = ({r.pair: r.n for r in pairs(s).collect()} for s in (digests, caught, words))
+    random, plain = chain(mixed(digests, caught)), chain(words)
+    return {pair: random[pair] - plain[pair] for pair in random}
 
 
 def log_ratio(model: dict[str, float], s: Column) -> Column:
@@ -119,13 +128,13 @@ def log_ratio(model: dict[str, float], s: Column) -> Column:
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-         sample: int = SAMPLE, model: dict[str, float] | None = None) -> DataFrame:
+         model: dict[str, float] | None = None) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, n_markov,
     ``base`` and ``all``, the rule spans and all spans as sorted arrays of
     (start, kind, end)."""
     found = scan(docs, id_col, text_col)
     if model is None:
-        model = train(docs, found, text_col, sample)
+        model = train(docs, found, text_col)
     one = found.select("rid", "doc_id", F.explode_outer("found").alias("x")).select("rid", "doc_id", "x.*")
     before = Window.partitionBy("rid", "kind").orderBy("i")
     start = (F.sum("gap").over(before) + F.sum(F.length("m")).over(before) - F.length("m")).cast("long")

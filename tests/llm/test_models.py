@@ -66,6 +66,28 @@ def test_secrets_whole_table(spark):
                 assert re.search(r"[0-9A-Z]", r.text[int(a):int(b)])
 
 
+def test_secret_model_counts_all_texts(spark):
+    """Identifiers of every text are learnt, above 4,000 texts too, and the
+    number of texts and of caught strings does not move the model."""
+    rng = np.random.default_rng(3)
+    docs = [(i, "ordinary identifiers " + ("Zq" * 20 if i == 17 else "of a sentence"), "en") for i in range(6000)]
+    secret = ["".join(rng.choice(list("0123456789abcdef"), 64)) for _ in range(300)]
+
+    def model(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        return secrets.train(df, secrets.scan(df, "doc_id", "text"), "text")
+
+    some = docs + [(10_000, secret[0], "en")]
+    base = model(some)
+    without = model([r for r in some if r[0] != 17])
+    assert abs(base["Zq"] - without["Zq"]) > 0.5
+    flooded = model(docs + [(10_000 + i, " ".join(secret[:50]), "en") for i in range(1000)])
+    for pair in ("xY", "Kz", "7Q", "Pw"):
+        assert flooded[pair] == pytest.approx(base[pair], abs=0.4)
+    counts = {"ab": 700_000, "ba": 40, "aQ": 1}
+    assert secrets.chain(counts) == pytest.approx(secrets.chain({k: 10 * v for k, v in counts.items()}))
+
+
 def test_secrets_empty(nothing):
     assert secrets.find(nothing).count() == 0
 
