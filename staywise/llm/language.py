@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from .common import python_workers, table
 
 FOLDS, HELD_OUT = 4, 2
-LABELS = 200         # most frequent languages that are learnt
 SAMPLE = 400         # documents per language
 PIECES, PIECE = 4, 24
 LEXICON = 300        # words per language
@@ -255,17 +254,13 @@ def learn(pieces: pd.DataFrame, epochs: int = 4, batch: int = 48, rate: float =
 
 def pieces_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> pd.DataFrame:
     """The learning sample: at most PIECES pieces of PIECE words from each of
-    about SAMPLE documents per language."""
+    about SAMPLE documents of every language."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
         & (F.crc32(F.col("id").cast("string").cast("binary")) % FOLDS != HELD_OUT))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LABELS).collect()
-    if not sizes:
-        return pd.DataFrame({"lang": [], "words": []})
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r.lang, F.lit(min(1.0, SAMPLE / r.n))).otherwise(share)
-    chosen = known.filter(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40) < share)
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))  # a row per language, as many as the model has labels
+    draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
+    chosen = known.join(F.broadcast(sizes), "lang").filter(draw < F.lit(SAMPLE) / F.col("n")).select("id", "text", "lang")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

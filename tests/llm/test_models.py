@@ -122,6 +122,16 @@ def test_words_and_features():
     assert sorted(again.name.tolist()) == sorted(w.name[:2].tolist())
 
 
+def test_every_language_is_learnt(spark):
+    rows = [(i, "some words of one language " * 3, f"l{i % 260}") for i in range(1300)]
+    rows += [(2000 + i, "some words of one language", "l0") for i in range(300)]
+    want = {g for i, _, g in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.pieces_of(docs, "doc_id", "text", "lang")
+    assert len(want) > 250 and set(got["lang"]) == want
+    assert set(language.learn(got, epochs=0).labels) == want
+
+
 def test_language_held_out_accuracy(spark):
     sf = DOCS.rsplit("/", 1)[0]
     rows = language.op8_language_id(spark, sf).join(spark.read.parquet(DOCS).select("doc_id", "lang"), "doc_id").collect()
