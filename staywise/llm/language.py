@@ -47,7 +47,7 @@ _letters: list[np.ndarray] = []
 def letters() -> np.ndarray:
     """Which code points are letters."""
     if not _letters:
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x20000)), bool, 0x20000))
+        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
     return _letters[0]
 
 

@@ -122,6 +122,12 @@ def test_words_and_features():
     assert sorted(again.name.tolist()) == sorted(w.name[:2].tolist())
 
 
+def test_ideographs_beyond_the_second_plane_are_letters():
+    text = "\U00020000\U0002a6d6 \U00030000 \U0001f600 \U0010ffff"
+    w = language.words_of([text])
+    assert [text[a - 1:z - 1] for a, z in zip(w.starts, w.ends)] == ["\U00020000\U0002a6d6", "\U00030000"]
+
+
 def test_every_language_is_learnt(spark):
     rows = [(i, "some words of one language " * 3, f"l{i % 260}") for i in range(1300)]
     rows += [(2000 + i, "some words of one language", "l0") for i in range(300)]
