@@ -37,7 +37,7 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 
 # The tokens that the models judge, and their alphabet.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-LEAST = 16
+LEAST = 8             # fewer characters seldom hold the evidence that THRESHOLD asks for
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]{6,}(?![A-Za-z0-9+/_=-])"
 THRESHOLD = 12.0      # natural log of the ratio of likelihoods

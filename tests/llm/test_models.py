@@ -88,6 +88,15 @@ def test_secret_model_counts_all_texts(spark):
     assert secrets.chain(counts) == pytest.approx(secrets.chain({k: 10 * v for k, v in counts.items()}))
 
 
+def test_short_random_strings_are_found(spark):
+    docs = spark.read.parquet(DOCS).select("doc_id", "text")
+    short = ["q8Zx7Lk2Pw9R", "7tG2kQ9xB4", "Zr4Kw8Lq2Xv6Tm"]
+    df = spark.createDataFrame([(i, f"key {s} sentence") for i, s in enumerate(short)], "doc_id long, text string")
+    model = secrets.train(docs, secrets.scan(docs, "doc_id", "text"), "text")
+    for r in secrets.find(df, model=model).collect():
+        assert [(s["start"], s["end"]) for s in r.all] == [(4, 4 + len(short[r.doc_id]))]
+
+
 def test_secrets_empty(nothing):
     assert secrets.find(nothing).count() == 0
 
