@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, language, line_dedup, mixing, packing, quality, secrets, token_counts, topk
+from . import (exact_dedup, jaccard_join, language, lexical, line_dedup, mixing, packing, quality, secrets,
+               token_counts, topk)
 
 QUERIES = {
     "op1_packing": (packing.op1_packing, None),
@@ -15,4 +16,5 @@ QUERIES = {
     "op8_language_id": (language.op8_language_id, None),
     "op9_quality_classifier": (quality.op9_quality_classifier, None),
     "op10_topk_search": (topk.op10_topk_search, topk.SQL),
+    "op13_lexical_search": (lexical.op13_lexical_search, lexical.SQL),
 }
