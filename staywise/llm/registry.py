@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (exact_dedup, jaccard_join, language, lexical, line_dedup, mixing, packing, quality, secrets,
-               token_counts, topk)
+               spelling, token_counts, topk)
 
 QUERIES = {
     "op1_packing": (packing.op1_packing, None),
@@ -16,5 +16,6 @@ QUERIES = {
     "op8_language_id": (language.op8_language_id, None),
     "op9_quality_classifier": (quality.op9_quality_classifier, None),
     "op10_topk_search": (topk.op10_topk_search, topk.SQL),
+    "op11_spelling_variants": (spelling.op11_spelling_variants, spelling.SQL),
     "op13_lexical_search": (lexical.op13_lexical_search, lexical.SQL),
 }
