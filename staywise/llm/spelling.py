@@ -5,8 +5,8 @@ the crc32 of ``<doc_id>:<run>``, the code point crc32 % length is deleted.
 Words are the results of LEAST code points and more that occur SEEN times.
 
 Trie.  A node is a prefix of a word; its row holds the edges to its children,
-for each child the code points that lead on from it and the lengths of the
-words below it, and whether the node itself ends a word.
+for each child the pairs of code points that lead on from it and the lengths
+of the words below it, and whether the node itself ends a word.
 
 Frontier.  States (word, position, node, edits) are joined with the nodes of
 one level after the other.  A state without an edit goes on along its own
@@ -15,7 +15,7 @@ an edit follows the rest of its word; a state that used its word up at the end
 of a word is a neighbour.  Only replacements by a later code point and
 omissions are walked, as each pair needs to be found from one side, and an
 edge is taken only if a word of the length sought lies below it and the next
-code point leads on.  Every level is written, so lineage stays short.
+two code points lead on.  Every level is written, so lineage stays short.
 
 Words beyond DEPTH code points would need a level each: pairs with such a
 word are found by their halves.  One edit leaves the first or the last half
@@ -54,8 +54,10 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """word, n: counted over all runs of all texts."""
     runs = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
                        F.explode(F.regexp_extract_all(F.col(text_col), F.lit(RUN), F.lit(0))).alias("run"))
-    low = F.translate("run", UPPER, LOWER)
-    rows = runs.select(low.alias("run"), F.crc32(F.concat("id", F.lit(":"), low).cast("binary")).alias("h"))
+    # most runs have no capital, and lower() is the faster one to tell
+    low = F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(F.translate("run", UPPER, LOWER))
+    rows = runs.select("id", low.alias("run")).select(
+        "run", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")).alias("h"))
     at = F.pmod("h", F.length("run")).cast("int")
     less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
     return (rows.select(F.when(F.pmod("h", F.lit(DROP)) == 0, less).otherwise(F.col("run")).alias("word"))
@@ -67,51 +69,53 @@ def bit(length: Column) -> Column:
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """depth, node, below (words), ends, next (code points), edges (array of
-    ch, next, lens): one row a node, as wide as the alphabet at most."""
+    """depth, node, below (words), ends, edges (array of ch, next, lens,
+    ends): one row a node, as wide as the square of the alphabet at most.
+    ``next`` holds what follows a node, two code points or the last one of a
+    word, each piece between blanks."""
     prefixes = words.select(F.length("word").alias("size"), "word",
                             F.explode(F.sequence(F.lit(0), F.length("word"))).alias("depth"))
     step = (prefixes.select("depth", F.expr("left(word, depth)").alias("node"),
-                            F.expr("substring(word, depth + 1, 1)").alias("ch"), "size")
-            .groupBy("depth", "node", "ch")
+                            F.expr("substring(word, depth + 1, 2)").alias("piece"), "size")
+            .groupBy("depth", "node", "piece")
             .agg(F.count("*").alias("below"), F.bit_or(bit(F.col("size"))).alias("lens")))
     nodes = written(step.groupBy("depth", "node").agg(
-        F.sum("below").alias("below"), F.bit_or("lens").alias("lens"),
-        F.max(F.col("ch") == "").alias("ends"),
-        F.array_join(F.sort_array(F.collect_list("ch")), "").alias("next")), "trie-nodes")
+        F.sum("below").alias("below"), F.bit_or("lens").alias("lens"), F.max(F.col("piece") == "").alias("ends"),
+        F.concat(F.lit(" "), F.array_join(F.sort_array(F.collect_list("piece")), " "), F.lit(" ")).alias("next")),
+        "trie-nodes")
     child = nodes.filter("depth > 0").select(
         (F.col("depth") - 1).alias("depth"), F.expr("left(node, depth - 1)").alias("node"),
         F.struct(F.expr("right(node, 1)").alias("ch"), F.col("next"), F.col("lens"), F.col("ends")).alias("edge"))
     edges = child.groupBy("depth", "node").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    return written(nodes.drop("lens").join(edges, ["depth", "node"], "left").repartition("depth", "node"), "trie")
+    return written(nodes.drop("lens", "next").join(edges, ["depth", "node"], "left"), "trie")
 
 
-def code_point(at) -> str:
+def code_point(at: str) -> str:
     return f"substring(word, {at}, 1)"
 
 
-# One step of the states at a node; pos is the number of code points used up.
-# An edge leads on if a word of the length sought lies below it and either the
-# word is used up there or its next code point has an edge.
+def leads_on(at: str) -> str:
+    """Whether the word's code points after the first ``at`` go on below an edge."""
+    return (f"IF({at} = length(word), e.ends, contains(e.next, "
+            f"concat(' ', substring(word, {at} + 1, 2), IF({at} + 1 = length(word), ' ', ''))))")
+
+
+def move(at: str) -> str:
+    return f"e -> struct({at} AS pos, concat(node, e.ch) AS node, IF({at} = length(word), 2, 1) AS edits)"
+
+
+# The states that follow one at a node; pos counts the code points used up, and
+# edits = 2 marks a neighbour, the word at the node.
 STEP = f"""
 CASE WHEN edits = 1 THEN
-  filter(array(CASE WHEN pos = length(word) AND ends THEN struct(pos, node, 2 AS edits)
-                    WHEN pos < length(word) AND contains(next, {code_point('pos + 1')})
-                    THEN struct(pos + 1 AS pos, concat(node, {code_point('pos + 1')}) AS node, 1 AS edits) END),
-         s -> s IS NOT NULL)
+  transform(filter(edges, e -> e.ch = {code_point('pos + 1')} AND {leads_on('pos + 1')}), {move('pos + 1')})
 ELSE concat(
-  filter(array(
-    CASE WHEN pos + 1 < length(word) THEN
-      struct(pos + 1 AS pos, concat(node, {code_point('pos + 1')}) AS node, 0 AS edits) END,
-    CASE WHEN pos + 1 = length(word) AND ends THEN struct(pos + 1 AS pos, node, 2 AS edits)
-         WHEN pos + 1 < length(word) AND {code_point('pos + 1')} <> {code_point('pos + 2')}
-              AND contains(next, {code_point('pos + 2')})
-         THEN struct(pos + 2 AS pos, concat(node, {code_point('pos + 2')}) AS node, 1 AS edits) END),
-    s -> s IS NOT NULL),
-  transform(
-    filter(coalesce(edges, array()), e -> e.ch > {code_point('pos + 1')} AND getbit(e.lens, length(word)) = 1
-      AND CASE WHEN pos + 1 = length(word) THEN e.ends ELSE contains(e.next, {code_point('pos + 2')}) END),
-    e -> struct(pos + 1 AS pos, concat(node, e.ch) AS node, 1 AS edits)))
+  IF(pos + 1 < length(word), array(struct(pos + 1 AS pos, concat(node, {code_point('pos + 1')}) AS node, 0 AS edits)),
+     IF(ends, array(struct(pos + 1 AS pos, node, 2 AS edits)), array())),
+  transform(filter(edges, e -> {code_point('pos + 1')} <> {code_point('pos + 2')} AND e.ch = {code_point('pos + 2')}
+                               AND getbit(e.lens, length(word) - 1) = 1 AND {leads_on('pos + 2')}), {move('pos + 2')}),
+  transform(filter(edges, e -> e.ch > {code_point('pos + 1')} AND getbit(e.lens, length(word)) = 1
+                               AND {leads_on('pos + 1')}), {move('pos + 1')}))
 END"""
 
 
@@ -125,7 +129,7 @@ def trie_pairs(words: DataFrame, depth: int = DEPTH) -> DataFrame:
     for level in range(depth + 1):
         if states.isEmpty():
             break
-        here = nodes.filter(F.col("depth") == level).drop("depth")
+        here = nodes.filter(F.col("depth") == level).drop("depth").withColumn("edges", F.expr("coalesce(edges, array())"))
         step = lookup(states, here, ["node"], "below", F.xxhash64("word", "pos"))
         states = written(step.select("word", F.expr(f"inline({STEP})")), "frontier")
         found.append(states.filter("edits = 2").select(F.col("word").alias("a"), F.col("node").alias("b")))
