@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (exact_dedup, jaccard_join, language, lexical, line_dedup, mixing, packing, quality, secrets,
-               spelling, token_counts, topk)
+from . import (exact_dedup, jaccard_join, language, lexical, line_dedup, mixing, packing, quality, repeats,
+               secrets, spelling, token_counts, topk)
 
 QUERIES = {
     "op1_packing": (packing.op1_packing, None),
@@ -17,5 +17,6 @@ QUERIES = {
     "op9_quality_classifier": (quality.op9_quality_classifier, None),
     "op10_topk_search": (topk.op10_topk_search, topk.SQL),
     "op11_spelling_variants": (spelling.op11_spelling_variants, spelling.SQL),
+    "op12_suffix_dedup": (repeats.op12_suffix_dedup, repeats.SQL),
     "op13_lexical_search": (lexical.op13_lexical_search, lexical.SQL),
 }
