@@ -250,44 +250,65 @@ class Collection:
         ends = np.cumsum(sizes)
         self.symbol = data[ends - 1]                 # what stands before each suffix
         self.common = np.zeros(n, np.uint8)          # common prefix with the row before
-        self.owner = np.arange(n, dtype=np.int32)
-        self.size = np.zeros(n, np.uint8)
+        tail = np.empty(0, np.int32)                 # of row n and on, the row of the suffix without its first symbol
+        piles = np.zeros(258, np.int64)              # rows that begin with a symbol
         at, who = np.arange(n), np.arange(n)         # rows of the last column, and whose they are
         for column in range(1, int(sizes.max(initial=0)) + 1):
-            going = self.symbol[at] != 0
-            at, who = at[going], who[going]
-            order = np.argsort(self.symbol, kind="stable")   # row i of a symbol is where its i-th suffix goes
-            done = int(np.searchsorted(self.symbol[order], 1))
-            flag = np.zeros(len(order), bool)
-            flag[at] = True
-            rank = np.flatnonzero(flag[order])
-            tail = order[rank]
-            who = who[np.searchsorted(at, tail)]
-            place = n + rank - done
-            letter = self.symbol[tail]
-            before, after = order[rank - 1], order[np.minimum(rank + 1, len(order) - 1)]
-            has_before = (rank > done) & (self.symbol[before] == letter)
-            has_after = (rank + 1 < len(order)) & (self.symbol[after] == letter)
-            prefix = np.zeros(len(tail), np.uint8)
-            prefix[has_before] = self.least(before[has_before] + 1, tail[has_before]) + 1
-            follow = self.least(tail[has_after] + 1, after[has_after]) + 1
-            old = np.ones(len(order) + len(place), bool)
+            letter = self.symbol[at]
+            order = np.argsort(letter, kind="stable")
+            order = order[np.searchsorted(letter[order], 1):]   # strings used up stay behind
+            at, who, letter = at[order], who[order], letter[order].astype(np.int64)
+            # in the pile of its letter a suffix comes in the order of its tail
+            begin = np.cumsum(piles) - piles
+            to = np.empty(len(at), np.int64)
+            letters, cuts = np.unique(letter, return_index=True)
+            for c, x, y in zip(letters.tolist(), cuts, np.append(cuts[1:], len(at))):
+                to[x:y] = begin[c] + np.searchsorted(tail[begin[c]:begin[c] + piles[c]], at[x:y])
+            twin = np.zeros(len(at) + 1, bool)                  # two new suffixes side by side
+            twin[1:-1] = (letter[1:] == letter[:-1]) & (to[1:] == to[:-1])
+            padded = np.append(tail, np.int32(0))
+            before = np.where(twin[:-1], np.roll(at, 1), padded[to - 1])
+            after = np.where(twin[1:], np.roll(at, -1), padded[to])
+            has_before = twin[:-1] | (to > begin[letter])
+            has_after = twin[1:] | (to < begin[letter] + piles[letter])
+            prefix = np.zeros(len(at), np.uint8)
+            prefix[has_before] = self.least(before[has_before] + 1, at[has_before]) + 1
+            follow = self.least(at[has_after] + 1, after[has_after]) + 1
+            place = n + to + np.arange(len(at))
+            old = np.ones(len(self.symbol) + len(at), bool)
             old[place] = False
+            moved = np.flatnonzero(old).astype(np.int32)
+            tail = self.spread(moved[tail], old[n:], place - n, moved[at])
             left = sizes[who] - column
-            letters = np.where(left > 0, data[ends[who] - column - 1], 0).astype(kind)
-            self.symbol = self.spread(self.symbol, old, place, letters)
+            self.symbol = self.spread(self.symbol, old, place,
+                                      np.where(left > 0, data[ends[who] - column - 1], 0).astype(kind))
             self.common = self.spread(self.common, old, place, prefix)
             self.common[place[has_after] + 1] = follow
-            self.owner = self.spread(self.owner, old, place, who)
-            self.size = self.spread(self.size, old, place, column)
+            piles[letters] += np.diff(np.append(cuts, len(at)))
             at = place
+        self.name(n, tail)
+
+    def name(self, n: int, tail: np.ndarray) -> None:
+        """Whose suffix each row is, and how long: from the empty ones on, a
+        row leads to that of the suffix one symbol longer."""
+        longer = np.zeros(n + len(tail), np.int32)
+        longer[tail] = np.arange(n, n + len(tail))
+        self.owner, self.size = np.empty(len(longer), np.int32), np.empty(len(longer), np.uint8)
+        at, who, size = np.arange(n), np.arange(n), 0
+        while len(at):
+            self.owner[at], self.size[at] = who, size
+            at, who, size = longer[at], who, size + 1
+            at, who = at[at > 0], who[at > 0]
 
     def least(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The least common prefix of rows lo to hi, both included."""
         if not len(lo):
             return np.empty(0, np.uint8)
         padded = np.append(self.common, np.uint8(0))
-        return np.minimum.reduceat(padded, np.stack([lo, hi + 1], 1).ravel())[::2]
+        order = np.argsort(hi)   # what lies between two ranges is read as well, so they go along the rows
+        out = np.empty(len(lo), np.uint8)
+        out[order] = np.minimum.reduceat(padded, np.stack([lo[order], hi[order] + 1], 1).ravel())[::2]
+        return out
 
     @staticmethod
     def spread(rows: np.ndarray, old: np.ndarray, place: np.ndarray, new) -> np.ndarray:
@@ -332,8 +353,10 @@ def verdicts(rows: DataFrame, found: DataFrame, parts: int, buckets: int) -> Dat
                 sizes = np.array([len(s) for s in c.strings], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int32()), pa.array([block] * len(keys), pa.int64()),
-                     pa.array(raw(np.arange(len(to)), np.int32), pa.binary()), pa.array(raw(sizes, np.int32), pa.binary()),
-                     pa.array(raw(c.least, np.int64), pa.binary()), pa.array(raw(c.most, np.int64), pa.binary()),
+                     pa.array([np.diff(g, prepend=0).astype(np.int32).tobytes() for g in groups], pa.binary()),
+                     pa.array(raw(sizes, np.uint8), pa.binary()), pa.array(raw(c.least, np.int64), pa.binary()),
+                     pa.array([(c.most[g] - c.least[g]).tobytes() if (c.most[g] > c.least[g]).any() else b""
+                               for g in groups], pa.binary()),
                      pa.array([b"".join([c.strings[k] for k in g.tolist()]) for g in groups], pa.binary())],
                     ["bucket", "block", "numbers", "sizes", "least", "most", "bytes"])
 
@@ -342,7 +365,7 @@ def verdicts(rows: DataFrame, found: DataFrame, parts: int, buckets: int) -> Dat
         links, least = [], []
         for i in range(len(t)):
             whole = t["bytes"][i].as_py()
-            ends = np.cumsum(np.frombuffer(t["sizes"][i].as_py(), np.int32)).tolist()
+            ends = np.cumsum(np.frombuffer(t["sizes"][i].as_py(), np.uint8), dtype=np.int64).tolist()
             own = [different.setdefault(whole[x:y], len(different)) for x, y in zip([0, *ends], ends)]
             links.append(np.array(own, np.int64))
             least.append(np.frombuffer(t["least"][i].as_py(), np.int64))
@@ -362,8 +385,10 @@ def verdicts(rows: DataFrame, found: DataFrame, parts: int, buckets: int) -> Dat
         bounds = np.searchsorted(of, np.arange(len(strings) + 1))
         out_block, out_rows = [], []
         for i, (block, own) in enumerate(zip(t["block"].to_pylist(), links)):
-            most = np.frombuffer(t["most"][i].as_py(), np.int64)
-            numbers = np.frombuffer(t["numbers"][i].as_py(), np.int32)
+            most = np.frombuffer(t["least"][i].as_py(), np.int64)
+            if t["most"][i].as_py():
+                most = most + np.frombuffer(t["most"][i].as_py(), np.int64)
+            numbers = np.cumsum(np.frombuffer(t["numbers"][i].as_py(), np.int32))
             k = bounds[own + 1] - bounds[own]
             pick = np.repeat(bounds[own], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
             struck = holder[run[pick]] < np.repeat(most, k)
