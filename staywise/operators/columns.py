@@ -82,21 +82,23 @@ HOTEL_META_COLS = ["hotel_name", "city", "country", "star_rating", "hotel_type",
 
 
 def hotel_dimension(batch: DataFrame, id_col: str = "hotel_id", meta_cols=None,
-                    order_col: str = "booking_id") -> DataFrame:
+                    order_col: str = "booking_id", keep_order: bool = False) -> DataFrame:
     """One row of hotel attributes per numeric hotel id.
 
     The surviving row is the one with the smallest ``order_col`` (a total
     order, unlike an arbitrary ``dropDuplicates``).  ``min_by`` is a plain
     aggregate, so Spark combines map-side before the shuffle and a hot
-    hotel costs one row per map task.
+    hotel costs one row per map task.  ``keep_order`` adds the surviving row's
+    order value as ``dim_order``, so that dimensions of several landings can
+    be merged.
     """
     meta = [c for c in (meta_cols or HOTEL_META_COLS) if c in batch.columns]
     packed = F.struct(*[F.col(c).alias(f"dim_{c}") for c in meta])
     return (batch.select(digits_only(id_col).alias("dim_id"), F.col(order_col).alias("_ord"),
                          packed.alias("_v"))
             .where(F.col("dim_id").isNotNull() & (F.col("dim_id") != ""))
-            .groupBy("dim_id").agg(F.min_by("_v", "_ord").alias("_v"))
-            .select("dim_id", "_v.*"))
+            .groupBy("dim_id").agg(F.min_by("_v", "_ord").alias("_v"), F.min("_ord").alias("dim_order"))
+            .select("dim_id", "_v.*", *(["dim_order"] if keep_order else [])))
 
 
 def fill_from_lookup(df: DataFrame, dim: DataFrame, id_col: str, cols, dim_key: str = "dim_id",
