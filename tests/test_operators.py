@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from staywise.operators import clean, columns, dedup, enrich, quality
@@ -69,10 +70,32 @@ def test_surrogate_key_many_wide_rows(spark):
 
 def test_positional_split(spark):
     df = spark.range(0, 100).withColumnRenamed("id", "k")
-    out = positional_split(df, ["k"], 0.7, partitions=4)
-    parts = {r.k: r.part for r in out.collect()}
-    assert sum(1 for v in parts.values() if v == "batch") == 70
-    assert all(parts[k] == "batch" for k in range(70)) and parts[70] == "stream"
+    for few in (10_000, 5):
+        out = positional_split(df, ["k"], 0.7, pivots=3, few=few)
+        parts = {r.k: r.part for r in out.collect()}
+        assert sum(1 for v in parts.values() if v == "batch") == 70
+        assert all(parts[k] == "batch" for k in range(70)) and parts[70] == "stream"
+
+
+@pytest.mark.parametrize("pivots,few", [(63, 10_000), (4, 7)])
+def test_positional_split_of_equal_values(spark, pivots, few):
+    """Repeated order values, NULLs, and rows equal in every column."""
+    import random
+    rnd = random.Random(few)
+    data = [(rnd.choice([None, 1, 2, 2, 3]), rnd.choice("ab"), i) for i in range(150)] + [(2, "b", 7)] * 120
+    df = spark.createDataFrame(data, "k int, s string, i int").repartition(5)
+    for fraction in (0.0, 0.55, 0.7):
+        out = positional_split(df, ["k", "s"], fraction, pivots=pivots, few=few)
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == ["k", "s", "i", "part"]
+        assert sorted(map(str, (r[:3] for r in got))) == sorted(map(str, data))
+        order = lambda r: (r[0] is not None, r[0] or 0, r[1])
+        batch, rest = ([order(r) for r in got if r[3] == p] for p in ("batch", "stream"))
+        assert len(batch) == int(len(data) * fraction) and (not batch or not rest or max(batch) <= min(rest))
+        again = [tuple(r) for r in positional_split(df.repartition(3), ["k", "s"], fraction).collect()]
+        assert sorted(map(str, again)) == sorted(map(str, got))
+    plan = out._jdf.queryExecution().toString()
+    assert "Exchange rangepartitioning" not in plan
 
 
 def test_classify_parity_vs_default(spark):
