@@ -146,12 +146,12 @@ def run_layers(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = Fa
 
 def bronze_from_landing(spark: SparkSession, out: Callable[[str], dict], batch_csv: str, stream_json: str,
                         weather: tuple[str, str] | None = None, rates: str | None = None,
-                        csv_schema=None) -> Bronze:
-    """Land the sources as bronze tables: a CSV folder (types inferred without
-    a schema), a folder of booking events as JSON, and, once the API job has
+                        csv_schema=None, infer: bool = False) -> Bronze:
+    """Land the sources as bronze tables: a CSV folder (kept as text without a
+    schema, unless ``infer``, as the original does), a folder of booking events as JSON, and, once the API job has
     landed them, weather (geocode and forecast folders) and rates.  Lookups
     not landed yet are read as they are, or as empty tables."""
-    b = overwrite_table(columns.as_strings(files.ingest_csv(spark, batch_csv, csv_schema)), **out("bronze_batch"))
+    b = overwrite_table(columns.as_strings(files.ingest_csv(spark, batch_csv, csv_schema, infer)), **out("bronze_batch"))
     schema = T.StructType([*S.STREAM_TABLE_SCHEMA.fields,
                            *[T.StructField(f.name, T.StringType()) for f in S.EVENT_SCHEMA.fields
                              if f.name not in S.STREAM_TABLE_COLUMNS]])
@@ -177,7 +177,7 @@ def run_job(spark: SparkSession, out_dir: str, batch_csv: str, stream_json: str,
     def out(n: str) -> dict:
         return {"path": f"{out_dir.rstrip('/')}/{n}", "name": f"{database}.{n}" if database else None}
 
-    b = bronze_from_landing(spark, out, batch_csv, stream_json, weather, rates, csv_schema)
+    b = bronze_from_landing(spark, out, batch_csv, stream_json, weather, rates, csv_schema, infer=parity)
     found = lookups(b)
     full = materialize(clean.universal_clean(enriched(b, "drop" if parity else "coalesce", found, parity),
                                              parity=parity, drop_midnight=False), "silver_full")

@@ -9,14 +9,15 @@ from ..functions import constants as K
 from . import schemas as S
 
 
-def ingest_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def ingest_csv(spark: SparkSession, path: str, schema=None, infer: bool = True) -> DataFrame:
     """Header CSV -> bronze rows tagged with load time and source file.
 
-    Without ``schema`` types are inferred (an extra pass over the data);
-    production jobs pass an explicit schema.
+    Without ``schema`` types are inferred (an extra pass over the data, and
+    leading zeros or plus signs of ids and phones are lost); ``infer=False``
+    leaves every column the text that landed.
     """
     r = spark.read.option("header", "true")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
+    r = r.schema(schema) if schema is not None else r.option("inferSchema", str(infer).lower())
     df = r.csv(path)
     return df.select("*", F.current_timestamp().alias("ingestion_time"),
                      F.col("_metadata.file_path").alias("source_file"))

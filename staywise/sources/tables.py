@@ -18,17 +18,28 @@ def overwrite_table(df: DataFrame, path: str, name: str | None = None, fmt: str
     """Replace a table's data AND schema at ``path`` (shared storage).  Returns
     the table read back, which also cuts the lineage for later steps.
 
-    With ``name`` the table is an external catalog table: the new data goes to
-    a fresh folder below ``path`` first, and only when that is written does
-    the name point to it.  A failed write leaves the old table as it was;
-    earlier folders stay until they are cleaned up.
+    The new data is always complete before the old is touched; a failed write
+    leaves the old table as it was.  By path it is written beside the old
+    folder, which then makes place by renaming (:func:`swap`).  With ``name``
+    the table is an external catalog table: the new data goes to a fresh folder
+    below ``path``, and then the name points to it; earlier folders stay
+    until they are cleaned up.  A managed table or a view of that name is
+    refused, since dropping the name would drop its data or meaning.
     """
     spark = df.sparkSession
-    target = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}" if name else path
+    if name and spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} is a {kind} table; only external tables are replaced")
+    path = path.rstrip("/")
+    beside = not name and _exists(spark, path)
+    target = f"{path}/v-{uuid.uuid4().hex[:12]}" if name else f"{path}.new-{uuid.uuid4().hex[:12]}" if beside else path
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(target)
+    if beside:
+        swap(spark, target, path)
     if not name:
         return spark.read.format(fmt).load(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: only the name goes
@@ -38,6 +49,31 @@ def overwrite_table(df: DataFrame, path: str, name: str | None = None, fmt: str
     return spark.read.table(name)
 
 
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Puts the folder ``new`` in the place of ``path``.  The old folder is
+    renamed, and removed only when the new one stands in its place; should the
+    job end in between, both are still there, the old one as ``.old-...``."""
+    fs, p = _folder(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex[:12]}")
+    if not fs.rename(p, old):
+        raise OSError(f"cannot rename {path}")
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), p):
+        fs.rename(old, p)
+        raise OSError(f"cannot rename {new} to {path}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def read_table(spark: SparkSession, where: str) -> DataFrame:
     """A table by catalog name, or a parquet folder by path."""
     return spark.read.parquet(where) if "/" in where else spark.read.table(where)

@@ -133,3 +133,54 @@ def test_exact_totals_whatever_the_partitions(spark):
                                         "cast(id % 13 as double) / 7 AS avg_nightly_rate_eur")
     for f in (report_cards, lambda d: default_summarize(d, ["total_amount_eur", "avg_nightly_rate_eur"])):
         assert {tuple(f(df.repartition(k)).first()) for k in (1, 8, 200)} == {tuple(f(df).first())}
+
+
+def test_managed_tables_and_views_are_refused(spark):
+    spark.range(4).write.mode("overwrite").saveAsTable("managed_kept")
+    spark.range(2).createOrReplaceTempView("view_kept")
+    for name in ("managed_kept", "view_kept"):
+        with pytest.raises(ValueError, match="only external"):
+            tables.overwrite_table(spark.range(1), "/nowhere", name)
+    assert spark.table("managed_kept").count() == 4 and spark.table("view_kept").count() == 2
+    spark.sql("DROP TABLE managed_kept")
+
+
+def test_failed_write_keeps_the_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(3), path)
+    with pytest.raises(Exception, match="broken"):
+        tables.overwrite_table(spark.range(3).select(F.raise_error(F.lit("broken")).alias("x")), path)
+    assert spark.read.parquet(path).count() == 3
+    new = tables.overwrite_table(spark.range(5).withColumn("y", F.col("id") % 2), path, partition_by=("y",))
+    assert new.count() == 5 and sorted(new.columns) == ["id", "y"]
+    same = tables.overwrite_table(spark.read.parquet(path).where("id > 1"), path)   # a table may read its old self
+    assert same.count() == 3 and [f for f in os.listdir(tmp_path) if ".old-" in f] == []
+
+
+def test_bronze_keeps_text_as_landed(spark, tmp_path):
+    os.makedirs(tmp_path / "csv")
+    open(tmp_path / "csv" / "a.csv", "w").write("hotel_id,phone\n00123,05551234567\n00007,+4917012345\n")
+    rows = files.ingest_csv(spark, str(tmp_path / "csv"), infer=False).orderBy("hotel_id").collect()
+    assert [(r.hotel_id, r.phone) for r in rows] == [("00007", "+4917012345"), ("00123", "05551234567")]
+    out = lambda n: {"path": str(tmp_path / "out" / n)}
+    os.makedirs(tmp_path / "json")
+    b = M.bronze_from_landing(spark, out, str(tmp_path / "csv"), str(tmp_path / "json"))
+    assert sorted(r.hotel_id for r in b.batch.collect()) == ["00007", "00123"]
+
+
+def test_lines_that_are_no_objects_are_rescued(spark, tmp_path):
+    os.makedirs(tmp_path / "in")
+    good = '{"booking_id": "1", "customer_id": 5, "total_amount": 2.5}'
+    typed = '{"booking_id": "2", "customer_id": "x", "total_amount": 3.5}'
+    bad = ['{"booking_id": "3", "custo', "[1, 2]", "plain text", '"quoted"', "17"]
+    open(tmp_path / "in" / "a.json", "w").write("\n".join([good, bad[0], typed, "", *bad[1:3]]) + "\n")
+    sinks = [str(tmp_path / n) for n in ("raw", "typed", "bad")]
+    run = lambda: ev.run_available(spark, str(tmp_path / "in"), *sinks[:2], str(tmp_path / "ck"), bad_path=sinks[2])
+    run()
+    open(tmp_path / "in" / "b.json", "w").write("\n".join(bad[3:]) + "\n")
+    run()   # goes on from the checkpoint
+    raw, real, rescued = (spark.read.parquet(p) for p in sinks)
+    assert sorted((r.booking_id, r.customer_id, r.total_amount) for r in raw.collect()) == [("1", 5, 2.5), ("2", None, 3.5)]
+    assert real.count() == 2 and "rescued" not in raw.columns
+    got = {r.rescued: os.path.basename(r.landed_file) for r in rescued.collect()}
+    assert got == {b: "a.json" if b in bad[:3] else "b.json" for b in bad}
