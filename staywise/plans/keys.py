@@ -112,12 +112,12 @@ def q_silver_bookings(spark, sf_dir):
 
 @register("silver_incremental", O.with_ctes("SELECT * FROM x_silver", "x_silver"))
 def q_silver_incremental(spark, sf_dir):
-    """Two landings, a tenth of all ids with the second; the later rows of
+    """Two landings, a tenth of the rows with the second; later rows of
     bookings already landed replace them in their buckets."""
     from ..session import scratch_path
     from . import incremental as I
     b, state = _bronze(spark, sf_dir), scratch_path(spark, "silver_state")
-    second = F.pmod(F.xxhash64(F.col("booking_id").cast("string"), "source_file"), F.lit(10)) == 0
+    second = F.pmod(F.xxhash64(F.col("booking_id").cast("string"), "ingestion_time"), F.lit(10)) == 0
     for part in (~second, second):
         I.land(spark, state, M.Bronze(b.batch.where(part), b.stream.where(part), b.weather, b.rates),
                _lookups(spark, sf_dir))
@@ -280,13 +280,14 @@ def q_default_summarize(spark, sf_dir):
 
 # ---- calendar ------------------------------------------------------------------------------
 
-@register("dim_date_fixed", "SELECT " + O.date_attrs("d") + """ FROM (
-SELECT CAST(unnest(generate_series(DATE '2020-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS d)
-WHERE EXISTS (SELECT 1 FROM orders)""")
+@register("dim_date_fixed", O.with_ctes("SELECT " + O.date_attrs("d") + """, coalesce(n, 0) AS bookings FROM (
+SELECT CAST(unnest(generate_series(DATE '2020-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS d) s
+LEFT JOIN (SELECT booking_date, count(*) AS n FROM x_fact GROUP BY booking_date) b ON b.booking_date = s.d""", "x_fact"))
 def q_dim_date_fixed(spark, sf_dir):
-    """The fixed day spine, given only if there are bookings."""
-    some = td.read(spark, sf_dir, "orders").limit(1).select(F.lit(1).alias("one"))
-    return cal.dim_date(spark).join(some, F.lit(True), "left_semi")
+    """The fixed day spine with the bookings of each day."""
+    days = _fact(spark, sf_dir).groupBy(F.col("booking_date").alias("date_key")).agg(F.count("*").alias("n"))
+    return (cal.dim_date(spark).join(days, "date_key", "left")
+            .withColumn("bookings", F.coalesce("n", F.lit(0).cast("long"))).drop("n"))
 
 
 @register("data_calendar", O.with_ctes("SELECT * FROM x_cal", "x_cal"))
@@ -596,13 +597,17 @@ def q_city_source_bronze(spark, sf_dir):
     return enrich.city_sources(silver, td.bronze_batch(spark, sf_dir))
 
 
-@register("city_source_default", """
-SELECT city FROM (VALUES ('Amsterdam'), ('Berlin'), ('Paris'), ('London'), ('Istanbul')) t(city)
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey < 0)""")
+@register("city_source_default", O.with_ctes("""
+SELECT t.city, coalesce(n, 0) AS bookings
+FROM (VALUES ('Amsterdam'), ('Berlin'), ('Paris'), ('London'), ('Istanbul')) t(city)
+LEFT JOIN (SELECT trim(city_clean) AS city, count(*) AS n FROM x_silver GROUP BY 1) s ON s.city = t.city""", "x_silver"))
 def q_city_source_default(spark, sf_dir):
-    """Neither silver nor bronze has a city: the default ones."""
+    """Neither silver nor bronze has a city: the default ones, here with their
+    bookings."""
     none = td.bronze_batch(spark, sf_dir).where("CAST(booking_id AS BIGINT) < 0")
-    return enrich.city_sources(none, none)
+    counts = _silver(spark, sf_dir).groupBy(F.trim("city_clean").alias("city")).agg(F.count("*").alias("n"))
+    return (enrich.city_sources(none, none).join(counts, "city", "left")
+            .select("city", F.coalesce("n", F.lit(0).cast("long")).alias("bookings")))
 
 
 @register("top_cities", O.with_ctes("""
@@ -806,6 +811,36 @@ def _landed_stream(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(f"{base}/table").drop(*SLICE)
 
 
+@register("stream_rescue", O.with_ctes("""
+SELECT 'raw' AS sink, count(*) AS row_count, count(*) FILTER (event_id % 7 = 1) AS null_customers
+FROM x_ev WHERE event_id % 7 <> 0
+UNION ALL SELECT 'typed', count(*), count(*) FILTER (event_id % 7 = 1) FROM x_ev WHERE event_id % 7 <> 0
+UNION ALL SELECT 'rescued', count(*), 0 FROM x_ev WHERE event_id % 7 = 0""", "x_ev"))
+def q_stream_rescue(spark, sf_dir):
+    """The events as JSON lines, a seventh of them cut short and a seventh with
+    text for a number: three sinks that add up to the input."""
+    from ..session import scratch_path
+    from ..streaming import events as ev
+    base = scratch_path(spark, "rescue")
+    records = ev.event_records(td.bronze_stream(spark, sf_dir))
+    turn = F.col("booking_id").cast("long") % 7
+    line = F.to_json(F.struct(*[F.when(turn == 1, F.lit("none")).otherwise(F.col(c).cast("string")).alias(c)
+                                if c == "customer_id" else F.col(c) for c in records.columns]))
+    line = F.regexp_replace(line, r'"customer_id":"(\d+)"', r'"customer_id":$1')
+    (records.select(line.alias("line"), turn.alias("turn"))
+     .select(F.when(F.col("turn") == 0, F.expr("left(line, length(line) - 3)")).otherwise(F.col("line")).alias("value"))
+     .write.text(f"{base}/landing"))
+    sinks = {n: f"{base}/{n}" for n in ("raw", "typed", "rescued")}
+    ev.run_available(spark, f"{base}/landing", sinks["raw"], sinks["typed"], f"{base}/checkpoint", max_files=4,
+                     bad_path=sinks["rescued"])
+    parts = []
+    for n, path in sinks.items():
+        df = spark.read.parquet(path)
+        lost = F.count_if(F.col("customer_id").isNull()) if n != "rescued" else F.lit(0).cast("long")
+        parts.append(df.agg(F.lit(n).alias("sink"), F.count("*").alias("row_count"), lost.alias("null_customers")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("stream_validate_count", "SELECT count(*) AS total_rows FROM events")
 def q_stream_validate_count(spark, sf_dir):
     return _landed_stream(spark, sf_dir).agg(F.count("*").alias("total_rows"))

@@ -16,6 +16,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import constants as K
@@ -46,6 +47,23 @@ def stream_events(spark: SparkSession, path: str, schema=S.EVENT_SCHEMA,
     return r.json(path)
 
 
+RESCUED, FILE = "rescued", "landed_file"
+
+
+def stream_events_rescued(spark: SparkSession, path: str, schema=S.EVENT_SCHEMA,
+                          max_files: int = K.STREAM_MAX_FILES, max_bytes: int | None = None) -> DataFrame:
+    """:func:`stream_events` with two more columns: ``rescued``, the text of a
+    line that is no JSON object, and ``landed_file``, where the line lies.  A
+    field of another type costs that field only: it is NULL, as in the mapping,
+    and its line is not rescued."""
+    wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    whole = F.startswith(F.schema_of_variant(F.try_parse_json("_corrupt_record")), F.lit("OBJECT"))
+    return stream_events(spark, path, wide, max_files, max_bytes).select(
+        *[f.name for f in schema.fields],
+        F.when(~F.coalesce(whole, F.lit(False)), F.col("_corrupt_record")).alias(RESCUED),
+        F.col("_metadata.file_path").alias(FILE))
+
+
 def realtime_mapping(df: DataFrame) -> DataFrame:
     """JSON record -> typed real-time columns; unparsable values become NULL."""
     return df.select(*[
@@ -69,9 +87,11 @@ def run_id_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
 
 
-def fanout_writer(raw_path: str, typed_path: str, checkpoint: str):
+def fanout_writer(raw_path: str, typed_path: str, checkpoint: str, bad_path: str | None = None):
     """foreachBatch body: one micro-batch -> both sinks, idempotent per
-    checkpoint and batch id."""
+    checkpoint and batch id.  With ``bad_path`` the stream comes from
+    :func:`stream_events_rescued`, and its rescued lines go there, as text with
+    their file, and to no other sink."""
     run: list[str] = []
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -79,8 +99,13 @@ def fanout_writer(raw_path: str, typed_path: str, checkpoint: str):
             run.append(run_id_of(batch_df.sparkSession, checkpoint))
         batch_df.persist()
         try:
-            _write_slice(batch_df, raw_path, run[0], batch_id)
-            _write_slice(realtime_mapping(batch_df), typed_path, run[0], batch_id)
+            good = batch_df
+            if bad_path:
+                bad = F.col(RESCUED).isNotNull()
+                _write_slice(batch_df.where(bad).select(RESCUED, FILE), bad_path, run[0], batch_id)
+                good = batch_df.where(~bad).drop(RESCUED, FILE)
+            _write_slice(good, raw_path, run[0], batch_id)
+            _write_slice(realtime_mapping(good), typed_path, run[0], batch_id)
         finally:
             batch_df.unpersist()
     return write
@@ -96,10 +121,11 @@ def compact(spark: SparkSession, path: str, run_id: str, below: int, out: str, f
 
 
 def stream_fanout(sdf: DataFrame, raw_path: str, typed_path: str, checkpoint: str,
-                  trigger: str | None = K.STREAM_TRIGGER, available_now: bool = False) -> StreamingQuery:
+                  trigger: str | None = K.STREAM_TRIGGER, available_now: bool = False,
+                  bad_path: str | None = None) -> StreamingQuery:
     """Start the fan-out query.  ``available_now`` drains what is landed and
     stops (tests, catch-up runs); otherwise a processing-time trigger."""
-    w = sdf.writeStream.foreachBatch(fanout_writer(raw_path, typed_path, checkpoint)).option("checkpointLocation", checkpoint)
+    w = sdf.writeStream.foreachBatch(fanout_writer(raw_path, typed_path, checkpoint, bad_path)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
@@ -120,10 +146,12 @@ def land_stream(sdf: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def run_available(spark: SparkSession, landing: str, raw_path: str, typed_path: str, checkpoint: str,
-                  max_files: int = K.STREAM_MAX_FILES) -> None:
-    """Process everything landed so far, then stop."""
-    q = stream_fanout(stream_events(spark, landing, max_files=max_files), raw_path, typed_path, checkpoint,
-                      available_now=True)
+                  max_files: int = K.STREAM_MAX_FILES, bad_path: str | None = None) -> None:
+    """Process everything landed so far, then stop.  With ``bad_path`` lines
+    that are no JSON objects land there instead of as rows of NULLs."""
+    source = stream_events_rescued if bad_path else stream_events
+    q = stream_fanout(source(spark, landing, max_files=max_files), raw_path, typed_path, checkpoint,
+                      available_now=True, bad_path=bad_path)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
