@@ -19,7 +19,7 @@ round t inserts the suffix of length t of every segment that has one.  Where it
 goes follows from counting the symbols before the place of its tail; its
 common prefix, and that of the suffix after it, is one more than the least
 between the tails.  All of it are passes over sorted arrays; the arrays of a
-bucket are bounded by BUCKET bytes of segments, and what lies between the
+bucket are bounded by BUCKET bytes of segments, cut to collections by anchor, and what lies between the
 passes are tables in the shared folder.  Suffixes of LEAST bytes and more with
 a common prefix of LEAST are equal windows; the least doc_id of each
 run goes back to the blocks, where bytes are struck out.
@@ -53,6 +53,7 @@ BLOCK = 1 << 19           # bytes of texts of a block
 HOT = 4096                # occurrences of an anchor from which its windows go one by one
 PART = 1 << 20            # anchors of a hash range
 BUCKET = 4 << 20          # bytes of segments of a bucket
+COLLECTION = 1 << 19      # bytes of segments of a collection
 NO_ID = (1 << 63) - 1
 BLOCK_SCHEMA = "block long, size long, ids binary, sizes binary, texts binary"
 
@@ -324,17 +325,23 @@ class Collection:
         return rows, np.flatnonzero(self.common[rows] < least)
 
 
-def first_holders(strings: list[bytes], least: np.ndarray) -> np.ndarray:
+def first_holders(strings: list[bytes], least: np.ndarray, deal: np.ndarray) -> np.ndarray:
     """For every window of the strings, string by string, the least doc_id
-    that holds it; ``least`` has that of each string."""
+    that holds it; ``least`` has that of each string.  Strings with the same
+    anchor have the same ``deal``, a byte, and by it the bucket is cut to
+    collections of about COLLECTION bytes, small enough for a processor's
+    cache."""
     sizes = np.array([len(s) for s in strings], np.int64)
     starts = np.cumsum(sizes - LEAST + 1) - (sizes - LEAST + 1)
-    c = Collection(strings)
-    rows, cuts = c.equal_windows(LEAST)
-    owner = c.owner[rows].astype(np.int64)
-    lowest = np.minimum.reduceat(least[owner], cuts)
-    out = np.empty(len(rows), np.int64)
-    out[starts[owner] + sizes[owner] - c.size[rows]] = np.repeat(lowest, np.diff(np.append(cuts, len(rows))))
+    out = np.empty(int((sizes - LEAST + 1).sum()), np.int64)
+    piece = deal.astype(np.int64) * min(256, 1 + int(sizes.sum()) // COLLECTION) // 256
+    for k in np.unique(piece):
+        own = np.flatnonzero(piece == k)
+        c = Collection([strings[i] for i in own.tolist()])
+        rows, cuts = c.equal_windows(LEAST)
+        owner = own[c.owner[rows]]
+        lowest = np.minimum.reduceat(least[owner], cuts)
+        out[starts[owner] + sizes[owner] - c.size[rows]] = np.repeat(lowest, np.diff(np.append(cuts, len(rows))))
     return out
 
 
@@ -351,14 +358,16 @@ def verdicts(rows: DataFrame, found: DataFrame, parts: int, buckets: int) -> Dat
                 groups = [order[x:y] for x, y in zip(at, np.append(at[1:], len(order)))]
                 raw = lambda values, kind: [values[g].astype(kind).tobytes() for g in groups]
                 sizes = np.array([len(s) for s in c.strings], np.int64)
+                deal = (c.key // np.uint64(buckets)) % np.uint64(256)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int32()), pa.array([block] * len(keys), pa.int64()),
                      pa.array([np.diff(g, prepend=0).astype(np.int32).tobytes() for g in groups], pa.binary()),
-                     pa.array(raw(sizes, np.uint8), pa.binary()), pa.array(raw(c.least, np.int64), pa.binary()),
+                     pa.array(raw(sizes, np.uint8), pa.binary()), pa.array(raw(deal, np.uint8), pa.binary()),
+                     pa.array(raw(c.least, np.int64), pa.binary()),
                      pa.array([(c.most[g] - c.least[g]).tobytes() if (c.most[g] > c.least[g]).any() else b""
                                for g in groups], pa.binary()),
                      pa.array([b"".join([c.strings[k] for k in g.tolist()]) for g in groups], pa.binary())],
-                    ["bucket", "block", "numbers", "sizes", "least", "most", "bytes"])
+                    ["bucket", "block", "numbers", "sizes", "deal", "least", "most", "bytes"])
 
     def judge(t: pa.Table) -> Iterator[pa.RecordBatch]:
         different: dict[bytes, int] = {}
@@ -369,12 +378,14 @@ def verdicts(rows: DataFrame, found: DataFrame, parts: int, buckets: int) -> Dat
             own = [different.setdefault(whole[x:y], len(different)) for x, y in zip([0, *ends], ends)]
             links.append(np.array(own, np.int64))
             least.append(np.frombuffer(t["least"][i].as_py(), np.int64))
+        deal = np.empty(len(different), np.uint8)
+        deal[np.concatenate(links)] = np.frombuffer(b"".join(t["deal"].to_pylist()), np.uint8)
         lowest = np.full(len(different), NO_ID)
         np.minimum.at(lowest, np.concatenate(links), np.concatenate(least))
         strings = list(different)
         windows = np.array([len(s) - LEAST + 1 for s in strings], np.int64)
         starts = np.cumsum(windows) - windows
-        holder = first_holders(strings, lowest)
+        holder = first_holders(strings, lowest, deal)
         # runs of windows of a string with the same holder
         cut = np.zeros(len(holder), bool)
         cut[starts] = True
@@ -402,7 +413,7 @@ def verdicts(rows: DataFrame, found: DataFrame, parts: int, buckets: int) -> Dat
                                          ["block", "verdicts"])
 
     dealt = rows.join(found, "block").mapInArrow(
-        deal, "bucket int, block long, numbers binary, sizes binary, least binary, most binary, bytes binary")
+        deal, "bucket int, block long, numbers binary, sizes binary, deal binary, least binary, most binary, bytes binary")
     judged = by_task(dealt, ["bucket"], judge, "block long, verdicts binary", tasks_of(rows))
     return written(judged.groupBy("block").agg(F.collect_list("verdicts").alias("verdicts")), "verdicts")
 

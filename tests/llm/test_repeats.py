@@ -79,7 +79,8 @@ def test_segments_cover_all_windows(monkeypatch):
 
 
 @pytest.mark.parametrize("block,hot,bucket", [(1 << 19, 4096, 4 << 20), (3000, 4096, 2000), (700, 3, 500), (5000, 2, 1 << 20)])
-def test_against_brute_force(spark, block, hot, bucket):
+def test_against_brute_force(spark, monkeypatch, block, hot, bucket):
+    monkeypatch.setattr(repeats, "COLLECTION", 1500 if block == 3000 else 1 << 19)
     docs = passages(block + hot, 120)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     assert result(repeats.remove_repeats(df, block=block, hot=hot, bucket=bucket)) == brute(docs)
