@@ -19,8 +19,8 @@ round t inserts the suffix of length t of every segment that has one.  Where it
 goes follows from counting the symbols before the place of its tail; its
 common prefix, and that of the suffix after it, is one more than the least
 between the tails.  All of it are passes over sorted arrays; the arrays of a
-bucket are bounded by BUCKET bytes of segments, cut to collections by anchor, and what lies between the
-passes are tables in the shared folder.  Suffixes of LEAST bytes and more with
+bucket are bounded by BUCKET bytes of segments, cut to collections by anchor,
+and what lies between the passes are tables in the shared folder.  Suffixes of LEAST bytes and more with
 a common prefix of LEAST are equal windows; the least doc_id of each
 run goes back to the blocks, where bytes are struck out.
 
@@ -100,12 +100,12 @@ def unpack(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def hashes(raw: np.ndarray, k: int) -> np.ndarray:
-    """A hash of the ``k`` bytes from each position."""
+    """A hash of the ``k`` bytes from each position, good in its upper bits."""
     p, inverse = powers(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * p[:len(raw)], out=sums[1:])
     n = len(raw) - k + 1
-    return mix((sums[k:] - sums[:n]) * inverse[:n])
+    return (sums[k:] - sums[:n]) * inverse[:n] * np.uint64(0x9E3779B97F4A7C15)
 
 
 def segments(raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,7 +134,7 @@ def segments(raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
         first, count = first[ok[first]], count[ok[first]]
         firsts.append(first + lo)
         counts.append(count)
-        anchors.append(h[at[first]])
+        anchors.append(mix(h[at[first]]))
     if not firsts:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     return np.concatenate(firsts), np.concatenate(counts), np.concatenate(anchors)
@@ -218,7 +218,7 @@ class Candidates:
             own = np.empty(len(one), np.uint64)
             for lo in range(0, len(raw) - LEAST + 1, CHUNK):
                 here = (one >= lo) & (one < lo + CHUNK)
-                own[here] = hashes(raw[lo:lo + CHUNK + LEAST - 1], LEAST)[one[here] - lo]
+                own[here] = mix(hashes(raw[lo:lo + CHUNK + LEAST - 1], LEAST)[one[here] - lo])
         else:
             one, own = np.empty(0, np.int64), np.empty(0, np.uint64)
         self.first = np.concatenate([first[cold], one])
@@ -249,13 +249,14 @@ class Collection:
         kind = np.uint16 if data.max(initial=0) == 255 else np.uint8   # 0 is the end of a string
         data = data.astype(kind) + kind(1)
         ends = np.cumsum(sizes)
-        self.symbol = data[ends - 1]                 # what stands before each suffix
-        self.common = np.zeros(n, np.uint8)          # common prefix with the row before
-        tail = np.empty(0, np.int32)                 # of row n and on, the row of the suffix without its first symbol
+        # of each row the common prefix with the row before (upper bits) and what stands before the suffix
+        self.both = data[ends - 1].astype(np.uint16 if kind == np.uint8 else np.uint32)
+        self.shift = 8 * kind().itemsize
+        tail = np.empty(0, np.int64)                 # of row n and on, the row of the suffix without its first symbol
         piles = np.zeros(258, np.int64)              # rows that begin with a symbol
         at, who = np.arange(n), np.arange(n)         # rows of the last column, and whose they are
         for column in range(1, int(sizes.max(initial=0)) + 1):
-            letter = self.symbol[at]
+            letter = self.both[at] & ((1 << self.shift) - 1)
             order = np.argsort(letter, kind="stable")
             order = order[np.searchsorted(letter[order], 1):]   # strings used up stay behind
             at, who, letter = at[order], who[order], letter[order].astype(np.int64)
@@ -267,26 +268,28 @@ class Collection:
                 to[x:y] = begin[c] + np.searchsorted(tail[begin[c]:begin[c] + piles[c]], at[x:y])
             twin = np.zeros(len(at) + 1, bool)                  # two new suffixes side by side
             twin[1:-1] = (letter[1:] == letter[:-1]) & (to[1:] == to[:-1])
-            padded = np.append(tail, np.int32(0))
+            padded = np.append(tail, 0)
             before = np.where(twin[:-1], np.roll(at, 1), padded[to - 1])
             after = np.where(twin[1:], np.roll(at, -1), padded[to])
             has_before = twin[:-1] | (to > begin[letter])
             has_after = twin[1:] | (to < begin[letter] + piles[letter])
-            prefix = np.zeros(len(at), np.uint8)
+            prefix = np.zeros(len(at), self.both.dtype)
             prefix[has_before] = self.least(before[has_before] + 1, at[has_before]) + 1
             follow = self.least(at[has_after] + 1, after[has_after]) + 1
             place = n + to + np.arange(len(at))
-            old = np.ones(len(self.symbol) + len(at), bool)
+            old = np.ones(len(self.both) + len(at), bool)
             old[place] = False
-            moved = np.flatnonzero(old).astype(np.int32)
+            moved = np.flatnonzero(old)
             tail = self.spread(moved[tail], old[n:], place - n, moved[at])
             left = sizes[who] - column
-            self.symbol = self.spread(self.symbol, old, place,
-                                      np.where(left > 0, data[ends[who] - column - 1], 0).astype(kind))
-            self.common = self.spread(self.common, old, place, prefix)
-            self.common[place[has_after] + 1] = follow
+            symbol = np.where(left > 0, data[ends[who] - column - 1], 0)
+            self.both = self.spread(self.both, old, place, (prefix << self.shift) | symbol)
+            below = place[has_after] + 1
+            self.both[below] = (follow << self.shift) | (self.both[below] & ((1 << self.shift) - 1))
             piles[letters] += np.diff(np.append(cuts, len(at)))
             at = place
+        self.symbol = (self.both & ((1 << self.shift) - 1)).astype(kind)
+        self.common = (self.both >> self.shift).astype(np.uint8)
         self.name(n, tail)
 
     def name(self, n: int, tail: np.ndarray) -> None:
@@ -303,13 +306,13 @@ class Collection:
 
     def least(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """The least common prefix of rows lo to hi, both included."""
-        if not len(lo):
-            return np.empty(0, np.uint8)
-        padded = np.append(self.common, np.uint8(0))
-        order = np.argsort(hi)   # what lies between two ranges is read as well, so they go along the rows
-        out = np.empty(len(lo), np.uint8)
-        out[order] = np.minimum.reduceat(padded, np.stack([lo[order], hi[order] + 1], 1).ravel())[::2]
-        return out
+        out = np.empty(len(lo), self.both.dtype)
+        if len(lo):
+            # the rows from one range up to the next would be read as well; backwards there are none
+            order = np.argsort(-hi)
+            padded = np.append(self.both, self.both.dtype.type(0))
+            out[order] = np.minimum.reduceat(padded, np.stack([lo[order], hi[order] + 1], 1).ravel())[::2]
+        return out >> self.shift
 
     @staticmethod
     def spread(rows: np.ndarray, old: np.ndarray, place: np.ndarray, new) -> np.ndarray:
