@@ -11,8 +11,9 @@ scores by the weights of the other folds.
 Defined cases: null and empty texts have all-zero statistics and get the score
 of such a text; labels that are null are no labels; several labels of one id
 count as their mean; without both kinds of label every score is 1 (nothing is
-rejected untaught); an empty table gives an empty result; other columns are
-carried untouched.
+rejected untaught); a row without id is scored, never learnt from and not held
+out; very long texts count whole; an empty table gives an empty result; other
+columns are carried untouched.
 """
 
 from __future__ import annotations
@@ -134,10 +135,20 @@ def pool_adjacent(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.repeat([b[0] for b in blocks], [int(b[2]) for b in blocks])
 
 
+def levels(good: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Isotonic values of bins with ``n`` rows, ``good`` of them good.  A
+    level's value is drawn towards the overall share by two rows, so that thin
+    ends stay moderate; since that moves thin levels more than others, the
+    drawn values are fitted once more and never fall."""
+    fitted = pool_adjacent(good / n, n)
+    _, level = np.unique(fitted, return_inverse=True)
+    mass = np.bincount(level, weights=n)[level]
+    return pool_adjacent((fitted * mass + 2 * good.sum() / n.sum()) / (mass + 2), n)
+
+
 def calibrate(model: Model, rows: DataFrame, others: list[np.ndarray]) -> None:
     """Isotonic fit over BINS bins of the raw score, each row scored by the
-    weights learnt without its fold; a level's value is drawn towards the
-    overall share by two rows, so that thin ends stay moderate."""
+    weights learnt without its fold."""
     weights = np.array(others)
 
     def binned(stats, y, fold):
@@ -147,13 +158,9 @@ def calibrate(model: Model, rows: DataFrame, others: list[np.ndarray]) -> None:
 
     sums = summed(rows, binned)
     n, good = sums[0], sums[1]
-    share, used = good.sum() / n.sum(), n > 0
-    fitted = pool_adjacent((good[used] / n[used]), n[used])
-    # rows of each level of the fit
-    _, level = np.unique(fitted, return_inverse=True)
-    mass = np.bincount(level, weights=n[used])[level]
+    used = n > 0
     model.edges = (np.flatnonzero(used) + 0.5) / BINS * 2 - 0.5
-    model.values = (fitted * mass + 2 * share) / (mass + 2)
+    model.values = levels(good[used], n[used])
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -217,6 +224,6 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def op9_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT_MOD == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT_MOD == 0, F.lit(False))
     return score(docs, fit(docs, table(spark, sf_dir, "labels"))).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

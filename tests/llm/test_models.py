@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from staywise.llm import language, quality, secrets
 
@@ -193,6 +194,28 @@ def test_pool_adjacent():
         assert np.allclose(got, want)
 
 
+def test_levels_never_fall():
+    """Thin levels at the ends are drawn towards the share, not past others."""
+    n = np.array([1000.0, 1000, 1000, 3])
+    got = quality.levels(n * [0.1, 0.5, 0.95, 1.0], n)
+    assert (np.diff(got) >= 0).all() and got[3] == got[2] and abs(got[0] - 0.1) < 0.01
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = rng.integers(1, [3, 400][_ % 2], 12).astype(float)
+        assert (np.diff(quality.levels(rng.binomial(n.astype(int), rng.random(12)).astype(float), n)) >= -1e-12).all()
+
+
+def test_held_out_of_a_null_id(spark, tmp_path):
+    """A row without id is never learnt from, and is not held out."""
+    for name in ("documents", "labels"):
+        df = spark.read.parquet(f"{SF}/{name}.parquet")
+        if name == "documents":
+            df = df.unionByName(df.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    out = quality.op9_quality_classifier(spark, str(tmp_path)).filter("doc_id IS NULL").collect()
+    assert [r.held_out for r in out] == [False]
+
+
 def test_normal_equations_match_direct_solution(spark):
     rng = np.random.default_rng(3)
     x, y = rng.normal(size=(200, len(quality.NAMES))), rng.integers(0, 2, 200).astype(float)
