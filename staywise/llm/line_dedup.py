@@ -1,7 +1,7 @@
 """Fuzzy line deduplication.
 
-Lines are normalised (lower case, everything but letters and digits one
-space); equal ones collapse first.  Each distinct line gets a 64-bit SimHash
+Lines are normalised (lower case, everything but letters, their marks and
+digits one space); equal ones collapse first.  Each distinct line gets a 64-bit SimHash
 of its words, weighted by their length.  Two hashes within RADIUS bits agree
 on at least BLOCKS - RADIUS of BLOCKS blocks (pigeonhole), so lines meet under
 a key for every such choice of blocks; pairs within the radius are verified by
@@ -42,7 +42,11 @@ EDGES = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
 
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    """Lower case, words of letters, digits and the marks upon them (the vowel
+    signs of Indic scripts, decomposed accents), one space between; a mark
+    without a letter below it is none of a word."""
+    worn = F.regexp_replace(F.lower(line), r"(?<![\p{L}\p{M}\p{N}])\p{M}+", " ")
+    return F.trim(F.regexp_replace(worn, r"[^\p{L}\p{M}\p{N}]+", " "))
 
 
 def simhashes(texts: list[str]) -> np.ndarray:

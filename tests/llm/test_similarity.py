@@ -180,7 +180,8 @@ def brute_lines(docs):
     places, blank = defaultdict(list), set()
     for i, t in docs:
         for k, s in enumerate((t or "").split("\n")):
-            n = regex.sub(r"[^\p{L}\p{N}]+", " ", s.lower()).strip(" ")
+            n = regex.sub(r"(?<![\p{L}\p{M}\p{N}])\p{M}+", " ", s.lower())
+            n = regex.sub(r"[^\p{L}\p{M}\p{N}]+", " ", n).strip(" ")
             places[n].append((i is None, i or 0, k))
     for p in places.pop("", []):
         blank.add(p)
@@ -222,6 +223,16 @@ def test_line_dedup_crowded_keys(spark, monkeypatch):
     assert kept_places(line_dedup.decide(df)) == brute_lines(docs)
 
 
+def test_line_dedup_keeps_marks(spark):
+    """Vowel signs and decomposed accents tell lines apart; lone marks are no
+    words, and lines of them are never dropped."""
+    lines = ["\u0915\u093f", "\u0915\u0940", "\u0915\u0941", "resume\u0301", "resume", "\u2764\ufe0f " * 3, "\u2764\ufe0f"]
+    docs = [(i, t) for i, t in enumerate([*lines, *lines[:5]])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = kept_places(line_dedup.decide(df))
+    assert kept == brute_lines(docs) == {(False, i, 0) for i in range(7)}
+
+
 def test_line_dedup_edge(edge, nothing):
     rows = line_dedup.decide(edge).collect()
     assert len(rows) == sum((r[1] or "").count("\n") + 1 for r in edge_rows())
