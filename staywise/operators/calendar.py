@@ -65,6 +65,49 @@ def date_part_join(df: DataFrame, calendar: DataFrame, ts_col: str) -> DataFrame
     return df.join(calendar, F.to_date(F.col(ts_col)) == calendar["Date"], "left")
 
 
+# Days of a calendar that may travel as one array: over 500 years.
+MAX_DAYS = 200_000
+
+
+def calendar_over(df: DataFrame, cols) -> DataFrame:
+    """:func:`data_calendar` over the years of several date columns, found in
+    one pass."""
+    ends = df.agg(F.least(*[F.min(F.to_date(c)) for c in cols]).alias("a") if len(cols) > 1
+                  else F.min(F.to_date(cols[0])).alias("a"),
+                  F.greatest(*[F.max(F.to_date(c)) for c in cols]).alias("b") if len(cols) > 1
+                  else F.max(F.to_date(cols[0])).alias("b"))
+    return data_calendar(ends.select(F.explode(F.array("a", "b")).alias("d")), "d")
+
+
+def date_roles(df: DataFrame, calendar: DataFrame, roles, attrs=("Year", "QuarterNo", "MonthNo", "Day"),
+               day: str = "Date") -> DataFrame:
+    """Calendar attributes for many date columns, without a join for each:
+    ``<column>_<attr>`` for every column of ``roles``.
+
+    The calendar is read once, as a scalar subquery that holds its days in
+    order; a date finds its day by its distance from the first, so rows are
+    never shuffled and a hot day or a NULL costs nothing.  Dates outside the
+    calendar, and NULLs, get NULLs.  A calendar with gaps or repeated days, or
+    of more than ``MAX_DAYS`` days, is refused: beyond that join by
+    :func:`date_part_join`.
+    """
+    held = calendar.where(F.col(day).isNotNull()).limit(MAX_DAYS + 1).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(day).alias("_day"), *attrs))).alias("days"))
+    first, last = F.col("days")[0]["_day"], F.element_at("days", -1)["_day"]
+    gapless = (F.size("days") <= MAX_DAYS) & (F.size("days") == F.datediff(last, first) + 1) & (
+        F.size(F.array_distinct("days._day")) == F.size("days"))
+    days = held.select(
+        F.when((F.size("days") == 0) | gapless, F.col("days"))
+        .otherwise(F.raise_error(F.lit("the calendar has gaps, repeated days or too many of them")))).scalar()
+
+    def found(role: str):
+        at = F.datediff(F.to_date(F.col(role)), F.get(days, F.lit(0)).getField("_day"))
+        # a negative place is NULL to get(), as is one beyond the end
+        return F.get(days, at)
+
+    return df.select("*", *[found(r).getField(a).alias(f"{r}_{a}") for r in roles for a in attrs])
+
+
 def date_hierarchy_rollup(fact: DataFrame, dates: DataFrame, measure: str = "total_amount_eur") -> DataFrame:
     """Drill Year > Quarter > Month > Day as ROLLUP subtotals, over one row
     per day: the rollup's five-fold expansion sees days, not bookings."""

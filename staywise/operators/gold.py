@@ -131,6 +131,43 @@ def kpi_channel_groups(fact: DataFrame, cancelled=("Canceled",)) -> DataFrame:
                                        F.countDistinct("booking_channel").alias("channel_count"))
 
 
+PARTIAL_KEYS = [*KPI_KEYS, "booking_channel", "booking_status"]
+
+
+def kpi_partials(fact: DataFrame, *more: str) -> DataFrame:
+    """The KPI in a form that adds up: counts and exact sums of every group,
+    channel and status.  Partials of disjoint sets of bookings, in one table,
+    give the KPI of their union (:func:`kpi_from_partials`).  Averages stay
+    sum and count; channels stay rows, so that their distinct number is exact
+    after any merge, and any labels can count as cancelled later."""
+    cents = lambda c: F.col(c).try_cast("decimal(38,2)")
+    total, rate = cents("total_amount_eur"), cents("avg_nightly_rate_eur")
+    return fact.groupBy(*more, *PARTIAL_KEYS).agg(
+        F.count("*").alias("bookings"),
+        F.sum(total).alias("revenue"), F.count(total).alias("revenue_rows"),
+        F.sum(rate).alias("rates"), F.count(rate).alias("rate_rows"),
+        F.sum("nights").alias("nights"), F.count("nights").alias("night_rows"),
+        F.sum(F.col("adults") + F.coalesce(F.col("children"), F.lit(0))).cast("double").alias("guests"))
+
+
+def kpi_from_partials(partials: DataFrame, cancelled=tuple(K.CANCELLED_LABELS), channels: bool = False) -> DataFrame:
+    """The measures of :func:`kpi_groups` or, with ``channels``, of
+    :func:`kpi_channel_groups`, from stored partials: equal to a run over the
+    bookings themselves."""
+    mean = lambda s, n: F.try_divide(F.sum(s), F.sum(n).cast("decimal(20,0)"))
+    n = F.sum("bookings")
+    gone = F.sum(F.when(F.col("booking_status").isin(list(cancelled)), F.col("bookings")).otherwise(0)) * 100.0
+    return partials.groupBy(*KPI_KEYS).agg(
+        n.alias("total_bookings"),
+        F.sum("revenue").cast("double").alias("total_revenue_eur"),
+        F.round(mean("revenue", "revenue_rows"), 2).cast("double").alias("avg_booking_value_eur"),
+        F.round(mean("rates", "rate_rows"), 2).cast("double").alias("avg_nightly_rate_eur"),
+        F.round(F.try_divide(F.sum("nights"), F.sum("night_rows")), 1).cast("double").alias("avg_nights"),
+        F.sum("guests").alias("total_guests"),
+        F.round(gone / n, 1).cast("double").alias("cancellation_rate"),
+        *([F.countDistinct("booking_channel").alias("channel_count")] if channels else []))
+
+
 def with_city_weather(groups: DataFrame, cities: DataFrame) -> DataFrame:
     """Attach the city's weather to KPI groups.  The city side is
     deduplicated, so the join cannot multiply them."""

@@ -7,7 +7,10 @@ The state below one folder of shared storage:
 - ``hotels``: the hotel attributes known so far, a folder for each landing
   (the earlier ones may go once no job reads them), with the order value of the
   booking they come from, so that the smallest one wins over all landings;
-- ``silver``: the silver bookings, in the same buckets.
+- ``silver``: the silver bookings, in the same buckets;
+- ``kpi``: the partial KPI of each bucket's bookings, which add up to the KPI
+  of all (``kpi``).  A booking that is replaced lies in a bucket that is
+  replaced, so nothing is ever subtracted.
 
 A landing is merged into ``latest`` and ``hotels``.  Silver is computed anew
 for the buckets with a booking of the landing and for those with a booking
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_timestamp
 from ..functions.text import digits_only, is_blank_or_unknown
-from ..operators import clean, columns, enrich
+from ..operators import clean, columns, enrich, gold
 from ..sources import bucketed
 from ..sources import schemas as S
 from ..sources.tables import materialize, overwrite_table, read_or_empty
@@ -35,6 +38,13 @@ from . import medallion as M
 
 BUCKETS = 64
 
+# The silver columns of the fact table, for a state before its first landing.
+FACT_SOURCE = ("booking_id string, hotel_id string, customer_id string, booking_date date, city_clean string, "
+               "country string, hotel_name string, hotel_type string, star_rating int, room_type string, nights double, "
+               "adults int, children double, booking_status string, source_system string, booking_channel string, "
+               "currency string, total_amount double, room_price double, exchange_rate_to_eur double, "
+               "temperature_c double, weather_code bigint")
+
 
 @dataclass
 class Landed:
@@ -106,7 +116,11 @@ def land(spark: SparkSession, state: str, b: M.Bronze, found: tuple | None = Non
     if replaced:
         now = bucketed.read_buckets(spark, f"{state}/latest", rows.schema, replaced)
         silver = silver_of(now, hotels, found).withColumn(bucketed.BUCKET, bucketed.bucket_of(["booking_id"], n))
-        bucketed.replace_buckets(materialize(silver, "silver_buckets"), f"{state}/silver", replaced)
+        silver = materialize(silver, "silver_buckets")
+        bucketed.replace_buckets(silver, f"{state}/silver", replaced)
+        partials = gold.kpi_partials(gold.fact_bookings(silver).withColumn(
+            bucketed.BUCKET, bucketed.bucket_of(["booking_id"], n)), bucketed.BUCKET)
+        bucketed.replace_buckets(materialize(partials, "kpi_buckets"), f"{state}/kpi", replaced)
     version = f"v-{uuid.uuid4().hex[:12]}"
     overwrite_table(hotels, f"{state}/hotels/{version}")
     spark.createDataFrame([(version,)], "folder string").coalesce(1).write.mode("overwrite").json(
@@ -119,3 +133,10 @@ def silver(spark: SparkSession, state: str) -> DataFrame:
     row."""
     full = bucketed.read_buckets(spark, f"{state}/silver", S.STREAM_TABLE_SCHEMA).drop(bucketed.BUCKET)
     return clean.drop_constant_time_cols(full, M.time_columns(full))
+
+
+def kpi(spark: SparkSession, state: str, **how) -> DataFrame:
+    """The KPI groups of all bookings landed so far, from the stored partials
+    alone; ``how`` as for :func:`gold.kpi_from_partials`."""
+    none = gold.kpi_partials(gold.fact_bookings(spark.createDataFrame([], FACT_SOURCE)))
+    return gold.kpi_from_partials(bucketed.read_buckets(spark, f"{state}/kpi", none.schema), **how)

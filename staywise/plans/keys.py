@@ -110,10 +110,9 @@ def q_silver_bookings(spark, sf_dir):
                                          M.time_columns(_silver(spark, sf_dir)))
 
 
-@register("silver_incremental", O.with_ctes("SELECT * FROM x_silver", "x_silver"))
-def q_silver_incremental(spark, sf_dir):
-    """Two landings, a tenth of the rows with the second; later rows of
-    bookings already landed replace them in their buckets."""
+def _landed(spark, sf_dir) -> str:
+    """State of two landings, a tenth of the rows with the second; later rows
+    of bookings already landed replace them in their buckets."""
     from ..session import scratch_path
     from . import incremental as I
     b, state = _bronze(spark, sf_dir), scratch_path(spark, "silver_state")
@@ -121,7 +120,21 @@ def q_silver_incremental(spark, sf_dir):
     for part in (~second, second):
         I.land(spark, state, M.Bronze(b.batch.where(part), b.stream.where(part), b.weather, b.rates),
                _lookups(spark, sf_dir))
-    return I.silver(spark, state)
+    return state
+
+
+@register("silver_incremental", O.with_ctes("SELECT * FROM x_silver", "x_silver"))
+def q_silver_incremental(spark, sf_dir):
+    from . import incremental as I
+    return I.silver(spark, _landed(spark, sf_dir))
+
+
+@register("kpi_incremental", O.with_ctes("SELECT * FROM x_kpi_channel", "x_kpi_channel"))
+def q_kpi_incremental(spark, sf_dir):
+    """The KPI with distinct channels, from partials stored by two landings."""
+    from . import incremental as I
+    groups = I.kpi(spark, _landed(spark, sf_dir), cancelled=("Canceled",), channels=True)
+    return _with_weather(spark, sf_dir, groups)
 
 
 @register("city_dim", O.with_ctes("SELECT * FROM x_city_dim", "x_city_dim"))
@@ -278,6 +291,29 @@ def q_default_summarize(spark, sf_dir):
     return report.default_summarize(_fact(spark, sf_dir))
 
 
+# ---- the gold layer as SQL models --------------------------------------------------------------
+
+def _models(spark, sf_dir, *wanted) -> dict[str, DataFrame]:
+    from . import models
+    inputs = {"silver_bookings": _silver(spark, sf_dir)}
+    if {"dim_city", "kpi_revenue"} & set(wanted):
+        inputs["silver_bookings"] = M.materialize(inputs["silver_bookings"].select(*_GOLD_COLS), "silver_gold_columns")
+        inputs["numbered_cities"] = models.numbered_cities(
+            inputs["silver_bookings"], _bronze(spark, sf_dir).weather, _lookups(spark, sf_dir)[1])
+    return models.run_models(spark, inputs, wanted)
+
+
+def _model_key(name: str, cte: str) -> None:
+    @register(f"model_{name}", O.with_ctes(f"SELECT * FROM {cte}", cte))
+    def build(spark, sf_dir):
+        return _models(spark, sf_dir, name)[name]
+
+
+for _name, _cte in (("fact_bookings", "x_fact"), ("dim_city", "x_model_city"), ("dim_hotel", "x_dim_hotel"),
+                    ("dim_date", "x_dim_date"), ("kpi_revenue", "x_model_kpi")):
+    _model_key(_name, _cte)
+
+
 # ---- calendar ------------------------------------------------------------------------------
 
 @register("dim_date_fixed", O.with_ctes("SELECT " + O.date_attrs("d") + """, coalesce(n, 0) AS bookings FROM (
@@ -305,6 +341,25 @@ def q_date_part_join(spark, sf_dir):
     return j.select("booking_id", "Date", "Year", "QuarterNo", "Quarter", "MonthNo", "Day")
 
 
+_ROLES = ["booking_date", "checkin_date", "ingestion_time", "event_time"]
+
+
+@register("date_roles", O.with_ctes(
+    "SELECT s.booking_id, " + ", ".join(f"{r}.{a} AS {r}_{a}" for r in _ROLES
+                                        for a in ("Year", "QuarterNo", "MonthNo", "Day"))
+    + " FROM x_silver s" + "".join(
+        f"""
+LEFT JOIN (SELECT d AS Date, CAST(year(d) AS INTEGER) AS Year, CAST(quarter(d) AS INTEGER) AS QuarterNo,
+  CAST(month(d) AS INTEGER) AS MonthNo, CAST(day(d) AS INTEGER) AS Day
+  FROM (SELECT DISTINCT {r} AS d FROM x_silver WHERE {r} IS NOT NULL)) {r} ON {r}.Date = s.{r}""" for r in _ROLES),
+    "x_silver"))
+def q_date_roles(spark, sf_dir):
+    """Every date column of silver against one calendar, which is read once."""
+    dates = M.materialize(_silver(spark, sf_dir).select("booking_id", *_ROLES), "silver_dates")
+    calendar = M.materialize(cal.calendar_over(dates, _ROLES), "calendar")
+    return cal.date_roles(dates, calendar, _ROLES).drop(*_ROLES)
+
+
 @register("date_hierarchy_rollup", O.with_ctes(f"""
 SELECT Year, QuarterNo, MonthNo, Day, count(*) AS bookings, {O.dsum('total_amount_eur', 2)} AS revenue_eur,
   CAST(GROUPING(Year, QuarterNo, MonthNo, Day) AS INTEGER) AS level

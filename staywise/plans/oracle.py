@@ -419,6 +419,26 @@ SELECT f.city, f.country, f.booking_year, f.booking_month, f.hotel_type,
 FROM x_fact f LEFT JOIN x_dim_city c ON f.city = c.city
 GROUP BY f.city, f.country, f.booking_year, f.booking_month, f.hotel_type, c.temperature_c, c.weather_code""")
 
+# The SQL model of the city dimension: every (city, country), the whole reading.
+cte("x_wfull", ("x_wread",), f"""
+SELECT * FROM (
+  SELECT {initcap('trim(city)')} AS w_city, temperature_c, weather_code, humidity, latitude, longitude,
+    row_number() OVER (PARTITION BY {initcap('trim(city)')} ORDER BY recorded_at DESC NULLS LAST,
+      temperature_c ASC NULLS LAST, weather_code ASC NULLS LAST, humidity ASC NULLS LAST, latitude ASC NULLS LAST,
+      longitude ASC NULLS LAST) AS rn
+  FROM x_wread) WHERE rn = 1""")
+cte("x_model_city", ("x_cities", "x_wfull", "x_rlk"), f"""
+SELECT CAST(row_number() OVER (ORDER BY city ASC, country ASC NULLS FIRST) AS INTEGER) AS city_key, city, country,
+  latitude, longitude, temperature_c, humidity, weather_code, {', '.join(
+      f'COALESCE((SELECT max(rate) FROM x_rlk WHERE r_currency = {q(c)}), 0.0) AS rate_{c.lower()}' for c in RATE_CUR)}
+FROM x_cities LEFT JOIN x_wfull ON city = w_city""")
+cte("x_model_kpi", ("x_fact", "x_model_city"), f"""
+SELECT f.city, f.country, f.booking_year, f.booking_month, f.hotel_type,
+  c.temperature_c AS city_temperature_c, c.weather_code AS city_weather_code,
+  {kpi_measures(('Canceled',), True)}, count(DISTINCT f.booking_channel) AS channel_count
+FROM x_fact f LEFT JOIN x_model_city c ON f.city = c.city
+GROUP BY f.city, f.country, f.booking_year, f.booking_month, f.hotel_type, c.temperature_c, c.weather_code""")
+
 cte("x_cal_spine", ("x_fact",), year_spine("x_fact", "booking_date", "Date"))
 cte("x_cal", ("x_cal_spine",), """
 SELECT Date, CAST(year(Date) AS INTEGER) AS Year, CAST(month(Date) AS INTEGER) AS MonthNo,

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from staywise.operators import gold
 from staywise.plans import incremental as I
 from staywise.plans import medallion as M
 from staywise.sources import bucketed
@@ -53,6 +54,13 @@ def bronze(spark):
     return M.Bronze(*[materialize(x, "bronze") for x in (b.batch, b.stream, b.weather, b.rates)])
 
 
+def check_kpi(spark, state, silver):
+    """The KPI of the stored partials, in both forms, is that of all bookings."""
+    fact = gold.fact_bookings(silver)
+    assert rows(I.kpi(spark, state)) == rows(gold.kpi_groups(fact))
+    assert rows(I.kpi(spark, state, cancelled=("Canceled",), channels=True)) == rows(gold.kpi_channel_groups(fact))
+
+
 def test_landings_equal_the_full_run(spark, bronze, tmp_path):
     state, found = str(tmp_path), M.lookups(bronze)
     number = F.col("booking_id").cast("long")
@@ -64,8 +72,9 @@ def test_landings_equal_the_full_run(spark, bronze, tmp_path):
     after = files(spark, f"{state}/silver")
     assert 1 <= len(landed.compared) <= 3 and set(landed.compared) <= set(landed.replaced)
     assert {b for b in {*before, *after} if before.get(b) != after.get(b)} <= set(landed.replaced)
-    whole = M.silver_bookings(bronze)
+    whole = materialize(M.silver_bookings(bronze), "whole")
     assert rows(I.silver(spark, state)) == rows(whole)
+    check_kpi(spark, state, whole)
     again = I.land(spark, state, part(few, F.lit(False)), found)   # a landing lost half-way is run again
     assert again.compared == landed.compared and rows(I.silver(spark, state)) == rows(whole)
 
@@ -76,4 +85,30 @@ def test_a_new_hotel_attribute_reaches_older_bookings(spark, bronze, tmp_path):
     none = F.lit(False)
     I.land(spark, state, M.Bronze(bronze.batch.where(none), bronze.stream, bronze.weather, bronze.rates), found)
     I.land(spark, state, M.Bronze(bronze.batch, bronze.stream.where(none), bronze.weather, bronze.rates), found)
-    assert rows(I.silver(spark, state)) == rows(M.silver_bookings(bronze))
+    whole = materialize(M.silver_bookings(bronze), "whole")
+    assert rows(I.silver(spark, state)) == rows(whole)
+    check_kpi(spark, state, whole)
+
+
+FACT = ("city string, country string, booking_year int, booking_month int, hotel_type string, booking_channel string, "
+        "booking_status string, total_amount_eur double, avg_nightly_rate_eur double, nights double, adults int, "
+        "children double")
+
+
+def test_partials_add_up(spark):
+    """NULLs in every measure and key, averages that round, channels shared
+    between parts, and a group without rows that count."""
+    data = [("a", "x", 2024, 1, "h", "web", "Canceled", 10.005, 3.335, 1.0, 2, 1.0),
+            ("a", "x", 2024, 1, "h", "web", "Confirmed", 0.01, None, 2.0, None, None),
+            ("a", "x", 2024, 1, "h", "app", "Cancelled", None, 0.02, None, 1, None),
+            ("a", "x", 2024, 1, "h", None, None, 1e9, 7.0, 4.0, 1, 2.0),
+            (None, None, None, None, None, None, None, None, None, None, None, None),
+            ("b", "y", 2023, 12, "h", "app", "Canceled", -5.555, 1.0, 1.0, 3, 0.0)] * 3
+    fact = spark.createDataFrame([(*r, i) for i, r in enumerate(data)], FACT + ", i int")
+    parts = gold.kpi_partials(fact.where("i < 4")).unionByName(gold.kpi_partials(fact.where("i >= 4")))
+    assert rows(gold.kpi_from_partials(parts)) == rows(gold.kpi_groups(fact))
+    assert rows(gold.kpi_from_partials(parts, ("Canceled",), True)) == rows(gold.kpi_channel_groups(fact))
+
+
+def test_kpi_before_any_landing(spark, tmp_path):
+    assert I.kpi(spark, str(tmp_path)).count() == 0
