@@ -698,6 +698,34 @@ def q_weather_json_flatten(spark, sf_dir):
     return flatten_weather(td.weather_payloads(spark, sf_dir)).drop("ingestion_time")
 
 
+@register("weather_variant", O.with_ctes(f"""
+SELECT event_id AS payload_id, {O.initcap('trim(city)')} AS city, country_api, latitude, longitude,
+  CASE WHEN event_id % 7 <> 0 THEN temperature_c END AS temperature_c, humidity, weather_code,
+  date_trunc('minute', recorded_at) AS recorded_at, CASE WHEN event_id % 7 = 0 THEN 'temperature_c' ELSE '' END AS unread,
+  CASE WHEN event_id % 11 = 0 THEN 7 END AS station
+FROM x_wread WHERE n_nationkey <> 24""", "x_wread"))
+def q_weather_variant(spark, sf_dir):
+    """Payloads whose shape changed, landed whole: one field lost in some, an
+    undeclared one read from the landed column in others."""
+    from ..session import scratch_path
+    from ..sources import variant
+    landed = variant.land_weather(td.weather_payloads_odd(spark, sf_dir), scratch_path(spark, "weather_variant"))
+    return variant.weather_rows(landed).select(
+        "payload_id", "city", *variant.WEATHER_FIELDS, F.array_join("unread", ",").alias("unread"),
+        F.try_variant_get("forecast", "$.current.station", "int").alias("station"))
+
+
+@register("rates_variant", O.with_ctes("""
+SELECT 'EUR' AS base_currency, target_currency, rate, date_trunc('second', ts) AS timestamp, '' AS unread
+FROM x_rquote""", "x_rquote"))
+def q_rates_variant(spark, sf_dir):
+    from ..session import scratch_path
+    from ..sources import variant
+    landed = variant.land_rates(td.rate_payloads(spark, sf_dir), scratch_path(spark, "rates_variant"))
+    return variant.rate_rows(landed).select("base_currency", "target_currency", "rate", "timestamp",
+                                            F.array_join("unread", ",").alias("unread"))
+
+
 @register("rates_map_explode", O.with_ctes(f"""
 SELECT 'EUR' AS base_currency, target_currency, rate, date_trunc('second', ts) AS timestamp,
   'exchangerate-api' AS source FROM x_rquote""", "x_rquote"))
