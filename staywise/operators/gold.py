@@ -211,3 +211,11 @@ def star_join(fact: DataFrame, dim_city_df: DataFrame, dim_hotel_df: DataFrame,
             .select("booking_id", "hotel_id", "city", "booking_date", "total_amount_eur",
                     "city_key", "city_temperature_c", "hotel_tier", "dim_hotel_name",
                     "year_quarter", "year_month", "is_weekend"))
+
+
+def hotel_join(fact: DataFrame, dim_hotel_df: DataFrame) -> DataFrame:
+    """fact -> dim_hotel (hotel_id), many-to-one.  Between tables bucketed by
+    hotel (``tables.write_bucketed``) neither side is shuffled, however large
+    the dimension."""
+    h = dim_hotel_df.select("hotel_id", "hotel_tier", F.col("hotel_name").alias("dim_hotel_name"))
+    return fact.join(h, "hotel_id", "left")

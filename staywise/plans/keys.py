@@ -204,6 +204,24 @@ def q_star_join(spark, sf_dir):
     return gold.star_join(g.fact, M.materialize(g.dim_city, "dim_city"), M.materialize(g.dim_hotel, "dim_hotel"), days)
 
 
+@register("hotel_join_bucketed", O.with_ctes("""
+SELECT f.booking_id, f.hotel_id, f.total_amount_eur, h.hotel_tier, h.hotel_name AS dim_hotel_name
+FROM x_fact f LEFT JOIN x_dim_hotel h ON f.hotel_id = h.hotel_id""", "x_fact", "x_dim_hotel"))
+def q_hotel_join_bucketed(spark, sf_dir):
+    """Fact and hotels written in buckets of the hotel, then joined where they
+    lie."""
+    from ..session import scratch_path
+    from ..sources.tables import write_bucketed
+    s = M.materialize(_silver(spark, sf_dir).select(*_GOLD_COLS), "silver_gold_columns")
+    at = scratch_path(spark, "bucketed")
+    tag = at.rsplit("-", 1)[-1]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fact = write_bucketed(gold.fact_bookings(s).select("booking_id", "hotel_id", "total_amount_eur"), f"{at}/fact",
+                          f"staywise_fact_{tag}", "hotel_id", n)
+    hotels = write_bucketed(gold.dim_hotel(s), f"{at}/hotels", f"staywise_hotels_{tag}", "hotel_id", n)
+    return gold.hotel_join(fact, hotels)
+
+
 @register("top_revenue", O.with_ctes("""
 SELECT * FROM x_kpi ORDER BY total_revenue_eur DESC NULLS LAST, city ASC NULLS FIRST, country ASC NULLS FIRST,
   booking_year ASC NULLS FIRST, booking_month ASC NULLS FIRST, hotel_type ASC NULLS FIRST LIMIT 10""", "x_kpi"))

@@ -27,10 +27,8 @@ def overwrite_table(df: DataFrame, path: str, name: str | None = None, fmt: str
     refused, since dropping the name would drop its data or meaning.
     """
     spark = df.sparkSession
-    if name and spark.catalog.tableExists(name):
-        kind = spark.catalog.getTable(name).tableType
-        if kind != "EXTERNAL":
-            raise ValueError(f"{name} is a {kind} table; only external tables are replaced")
+    if name:
+        _refuse_unless_external(spark, name)
     path = path.rstrip("/")
     beside = not name and _exists(spark, path)
     target = f"{path}/v-{uuid.uuid4().hex[:12]}" if name else f"{path}.new-{uuid.uuid4().hex[:12]}" if beside else path
@@ -49,6 +47,33 @@ def overwrite_table(df: DataFrame, path: str, name: str | None = None, fmt: str
     return spark.read.table(name)
 
 
+def _refuse_unless_external(spark: SparkSession, name: str) -> None:
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} is a {kind} table; only external tables are replaced")
+
+
+def write_bucketed(df: DataFrame, path: str, name: str, key: str, buckets: int) -> DataFrame:
+    """An external catalog table in ``buckets`` hash buckets of ``key``, one
+    sorted file for each, in a fresh folder below ``path``.
+
+    Tables with the same key type and number of buckets join and group by the
+    key without a shuffle: a daily fact pays for its exchange once, on
+    writing.  A bucket is read by one task, so choose the number for buckets
+    of a few hundred MB; a key that alone holds more than that belongs in a
+    join by shuffle, which AQE can split.
+    """
+    spark = df.sparkSession
+    _refuse_unless_external(spark, name)
+    version = uuid.uuid4().hex[:12]
+    (df.repartition(buckets, key).write.format("parquet").option("path", f"{path.rstrip('/')}/v-{version}")
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(f"{name}_{version}"))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external, and the new one is complete: only the name goes
+    spark.sql(f"ALTER TABLE {name}_{version} RENAME TO {name}")
+    return spark.read.table(name)
+
+
 def _folder(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
