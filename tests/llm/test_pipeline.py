@@ -38,7 +38,7 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 
 def test_registry_has_every_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_on_edges(spark, edge, nothing):
