@@ -21,7 +21,7 @@ from ..operators import calendar as cal
 from ..operators import clean, columns, dedup, enrich, gold
 from ..sources import files
 from ..sources import schemas as S
-from ..sources.tables import materialize, overwrite_if_nonempty, overwrite_table, read_or_empty
+from ..sources.tables import materialize, overwrite_if_nonempty, overwrite_table, read_or_empty, scratch
 from . import testdata as td
 
 
@@ -129,7 +129,11 @@ def gold_tables(silver: DataFrame, city_dim: DataFrame, date_range: tuple | None
 
 def run_layers(spark: SparkSession, sf_dir: str, out_dir: str, parity: bool = False) -> dict:
     """Write every layer under ``out_dir`` (shared storage); return row counts."""
-    b = bronze_from_testdata(spark, sf_dir)
+    with scratch(spark):
+        return _layers(bronze_from_testdata(spark, sf_dir), out_dir, parity)
+
+
+def _layers(b: Bronze, out_dir: str, parity: bool) -> dict:
     silver = write_silver(b, f"{out_dir}/silver_bookings", parity)
     cdim = overwrite_table(city_dim_table(silver, b), f"{out_dir}/silver_city_dim")
     g = gold_tables(silver, cdim)
@@ -177,7 +181,13 @@ def run_job(spark: SparkSession, out_dir: str, batch_csv: str, stream_json: str,
     def out(n: str) -> dict:
         return {"path": f"{out_dir.rstrip('/')}/{n}", "name": f"{database}.{n}" if database else None}
 
-    b = bronze_from_landing(spark, out, batch_csv, stream_json, weather, rates, csv_schema, infer=parity)
+    with scratch(spark):
+        return _job_tables(spark, out, bronze_from_landing(
+            spark, out, batch_csv, stream_json, weather, rates, csv_schema, infer=parity), parity)
+
+
+def _job_tables(spark: SparkSession, out: Callable[[str], dict], b: Bronze, parity: bool) -> dict:
+    """Silver and gold of :func:`run_job`, each written to its place."""
     found = lookups(b)
     full = materialize(clean.universal_clean(enriched(b, "drop" if parity else "coalesce", found, parity),
                                              parity=parity, drop_midnight=False), "silver_full")

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -104,13 +108,80 @@ def read_table(spark: SparkSession, where: str) -> DataFrame:
     return spark.read.parquet(where) if "/" in where else spark.read.table(where)
 
 
+#: Folders of scratch tables: by the frame that reads each, and of the open
+#: :func:`scratch` blocks, the innermost last.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_blocks", default=())
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table in a fresh folder below the shared
     checkpoint folder and read it back: later consumers share one
     computation, and the lineage is cut (a lost executor recomputes from
-    this table, not from the raw inputs)."""
+    this table, not from the raw inputs).  It stays until it is discarded or
+    the :func:`scratch` block it was written in ends."""
+    return _materialize(df, name, _blocks.get()[-1:])
+
+
+def _materialize(df: DataFrame, name: str, owners: tuple[list[str], ...]) -> DataFrame:
     from ..session import scratch_path
-    return overwrite_table(df, scratch_path(df.sparkSession, name))
+    path = scratch_path(df.sparkSession, name)
+    for owner in owners:
+        owner.append(path)
+    out = overwrite_table(df, path)
+    _folders[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the scratch tables behind frames that :func:`materialize`
+    returned; other frames are left alone.  Call it once what was derived from
+    them is written: no reader may be left."""
+    for df in frames:
+        path = _folders.pop(df, None)
+        if path:
+            _remove(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A block whose scratch tables go when it ends, also by an error.
+
+    It yields ``keep(df, name)``, which writes a table that outlasts the block
+    (and belongs to the block around it, if any).  An operator keeps its
+    result; a job wraps operator and write::
+
+        with scratch(spark):
+            overwrite_table(operator(rows), place)
+    """
+    around, mine = _blocks.get(), []
+    token = _blocks.set((*around, mine))
+    try:
+        yield lambda df, name: _materialize(df, name, around[-1:])
+    finally:
+        _blocks.reset(token)
+        for path in mine:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
+def remove_versions(spark: SparkSession, path: str, name: str) -> list[str]:
+    """Removes the folders below ``path`` that earlier :func:`overwrite_table`
+    calls by ``name`` left, all but the one the name points to, and returns
+    them.  Call it when no reader of an earlier version is left."""
+    _refuse_unless_external(spark, name)
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    fs, p = _folder(spark, path.rstrip("/"))
+    now = spark._jvm.org.apache.hadoop.fs.Path(rows[0]["data_type"]).getName()
+    old = [f.getPath() for f in fs.listStatus(p)
+           if f.isDirectory() and f.getPath().getName().startswith("v-") and f.getPath().getName() != now]
+    for f in old:
+        fs.delete(f, True)
+    return sorted(f.getName() for f in old)
 
 
 def overwrite_if_nonempty(df: DataFrame, path: str, name: str | None = None, fmt: str = "parquet") -> bool:

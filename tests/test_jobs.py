@@ -184,3 +184,50 @@ def test_lines_that_are_no_objects_are_rescued(spark, tmp_path):
     assert real.count() == 2 and "rescued" not in raw.columns
     got = {r.rescued: os.path.basename(r.landed_file) for r in rescued.collect()}
     assert got == {b: "a.json" if b in bad[:3] else "b.json" for b in bad}
+
+
+def scratch_folders(spark):
+    return set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+
+
+def test_scratch_block_leaves_what_is_kept(spark):
+    before = scratch_folders(spark)
+    with tables.scratch(spark):
+        with tables.scratch(spark) as keep:
+            rows = tables.materialize(spark.range(10), "inner")
+            kept = keep(rows.where("id > 3"), "kept")
+            assert len(scratch_folders(spark) - before) == 2
+        assert kept.count() == 6 and len(scratch_folders(spark) - before) == 1
+    assert scratch_folders(spark) == before
+    with tables.scratch(spark) as keep:
+        kept = keep(tables.materialize(spark.range(3), "inner"), "kept")
+    assert kept.count() == 3
+    tables.discard(kept, spark.range(1))
+    assert scratch_folders(spark) == before
+
+
+def test_scratch_goes_after_an_error(spark):
+    before = scratch_folders(spark)
+    with pytest.raises(ZeroDivisionError), tables.scratch(spark):
+        tables.materialize(spark.range(3), "lost")
+        1 / 0  # noqa: B018
+    assert scratch_folders(spark) == before
+
+
+def test_job_leaves_its_tables_only(spark, landing, tmp_path):
+    before = scratch_folders(spark)
+    out = M.run_job(spark, str(tmp_path / "out"), f"{landing}/batch", f"{landing}/stream")
+    assert scratch_folders(spark) == before
+    assert all(df.count() for n, df in out.items() if n != "silver_city_dim")
+    assert M.run_layers(spark, SF, str(tmp_path / "layers"))["silver_bookings"] > 0
+    assert scratch_folders(spark) == before
+
+
+def test_old_versions_go(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS versions_test LOCATION '" + str(tmp_path / "db") + "'")
+    place, name = str(tmp_path / "t"), "versions_test.t"
+    for n in (1, 2, 3):
+        tables.overwrite_table(spark.range(n), place, name)
+    assert len(tables.remove_versions(spark, place, name)) == 2
+    assert spark.read.table(name).count() == 3
+    assert tables.remove_versions(spark, place, name) == []
