@@ -956,6 +956,35 @@ def q_stream_validate_latest(spark, sf_dir):
             .select("booking_id", "event_time", "hotel_id", "room_type", "currency", "booking_status"))
 
 
+def _watched(spark, sf_dir) -> str:
+    """The state table of the landed stream."""
+    from ..session import scratch_path
+    from ..streaming import events as ev
+    from ..streaming import validation
+    base = scratch_path(spark, "stream-watch")
+    source = td.bronze_stream(spark, sf_dir)
+    ev.land_events_json(source, f"{base}/landing")
+    validation.run_watch(ev.stream_events(spark, f"{base}/landing", source.schema, max_files=4), f"{base}/states",
+                         f"{base}/checkpoint")
+    return f"{base}/states"
+
+
+@register("stream_watch_count", "SELECT count(*) AS total_rows FROM events")
+def q_stream_watch_count(spark, sf_dir):
+    """The count kept by the running stream's state."""
+    from ..streaming import validation
+    return validation.seen_count(spark, _watched(spark, sf_dir))
+
+
+@register("stream_watch_latest", O.with_ctes("""
+SELECT booking_id, event_ts AS event_time, hotel_id, room_type, currency, booking_status
+FROM x_stream ORDER BY event_ts DESC, booking_id LIMIT 100""", "x_stream"))
+def q_stream_watch_latest(spark, sf_dir):
+    """The latest 100 kept by the running stream's state."""
+    from ..streaming import validation
+    return validation.seen_latest(spark, _watched(spark, sf_dir))
+
+
 @register("universal_clean", O.with_ctes(f"""
 SELECT {O.clean_string('booking_id')} AS booking_id, {O.clean_phone('hotel_id')} AS hotel_id,
   {O.clean_string('customer_id')} AS customer_id,
