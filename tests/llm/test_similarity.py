@@ -294,3 +294,27 @@ def test_topk_avoids_distances():
 
 def test_topk_empty(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_topk_rules_out_shards(spark, monkeypatch):
+    """Queries go only to the shards that their first bound reaches, trees are
+    copied for groups of queries, and nothing but the result stays."""
+    import os
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 3, (12, 6))
+    v = np.concatenate([rng.normal(c, 0.05, (200, 6)) for c in centres]).round(3)
+    rows = [(i * 25, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+    inside = topk.visits
+    monkeypatch.setattr(topk, "visits", lambda pages, blocks, most: seen.append(
+        (pages.select("shard").distinct().count(), inside(pages, blocks, most).select(
+            F.sum(F.length("rids") / 8)).first()[0])) or inside(pages, blocks, most))
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(topk, "GROUP", 64)
+    monkeypatch.setattr(topk, "BALLS", 5)
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    assert top_rows(df, shard=100) == brute_top(rows, 10)
+    shards, pairs = seen[0]
+    assert shards > 12 and pairs < shards * 600 / 3
+    assert len(set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before) == 1
