@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from ..sources.tables import discard, materialize, scratch  # noqa: F401 - the last for the operators
+from ..sources.tables import discard, materialize, scratch  # noqa: F401 - for the operators
 
 # Runs of ASCII white space, and what stands between them.
 SPACE = r"[\x20\x09-\x0D]+"

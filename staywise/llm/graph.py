@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, written
+from .common import discard, lookup, written
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
     """One large-star or small-star step over edges (a, b), a > b: each node's
-    neighbours (small: those below it) are linked to the least of them."""
+    neighbours (small: those below it) are linked to the least of them.  The
+    table of ``edges`` goes once the next one is written."""
     near = edges if small else edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = written(near.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
                     .withColumn("m", F.least("a", "m")), "least")
@@ -22,7 +23,9 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     out = linked.filter("b > a" if not small else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     if small:
         out = out.unionByName(least.select("a", F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+    out = written(out.filter("a <> b").distinct(), "edges" if small else "large")
+    discard(least, edges)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == seen or not now[0]:
             break
         seen = now
-        edges = written(_star(written(_star(edges, small=False), "large"), small=True), "edges")
+        edges = _star(_star(edges, small=False), small=True)
     roots = edges.select("b").distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select(F.col("b").alias("node"), F.col("b").alias("root")))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import content_key, keep_rows, lookup, python_workers, table, written
+from .common import content_key, discard, keep_rows, lookup, python_workers, scratch, table, written
 from .graph import block_pairs, by_task, components, forest, tasks_of
 from .shingles import minhash, shingles
 
@@ -77,24 +77,25 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, runs: int | None = N
 def leaves(sets: DataFrame, runs: int) -> DataFrame:
     """(cid, run, leaf, size): the leaf of at least two sets that each run
     puts a set into, if any."""
-    first = F.posexplode(F.slice("sig", 1, runs)).alias("run", "token")
-    active = written(sets.select("cid", first).select("cid", "run", F.xxhash64("run", "token").alias("node")), "paths")
-    found = []
-    for depth in range(1, DEPTH + 1):
-        sizes = written(active.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
-        met = written(lookup(active, sizes, ["node"], "size", F.xxhash64("cid")), "met")
-        leaf = F.col("size") <= (LEAF if depth < DEPTH else F.lit((1 << 62)))
-        found.append(met.filter(leaf).select("cid", "run", F.col("node").alias("leaf"), "size"))
-        large = met.filter(~leaf)
-        if depth == DEPTH or large.isEmpty():
-            break
-        token = F.element_at("sig", F.col("run") + depth * runs + 1)
-        active = written(large.join(sets.select("cid", "sig"), "cid")
-                         .select("cid", "run", F.xxhash64("node", token).alias("node")), "paths")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return written(out, "leaves")
+    with scratch(sets.sparkSession) as keep:
+        first = F.posexplode(F.slice("sig", 1, runs)).alias("run", "token")
+        active = written(sets.select("cid", first).select("cid", "run", F.xxhash64("run", "token").alias("node")), "paths")
+        found = []
+        for depth in range(1, DEPTH + 1):
+            sizes = written(active.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
+            met = written(lookup(active, sizes, ["node"], "size", F.xxhash64("cid")), "met")
+            leaf = F.col("size") <= (LEAF if depth < DEPTH else F.lit((1 << 62)))
+            found.append(met.filter(leaf).select("cid", "run", F.col("node").alias("leaf"), "size"))
+            large = met.filter(~leaf)
+            if depth == DEPTH or large.isEmpty():
+                break
+            token = F.element_at("sig", F.col("run") + depth * runs + 1)
+            active = written(large.join(sets.select("cid", "sig"), "cid")
+                             .select("cid", "run", F.xxhash64("node", token).alias("node")), "paths")
+        out = found[0]
+        for f in found[1:]:
+            out = out.unionByName(f)
+        return keep(out, "llm-leaves")
 
 
 def compared(leaf_rows: DataFrame, runs: int) -> DataFrame:
@@ -187,52 +188,55 @@ def join(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = REC
     group), copy_id (least doc_id with the same set), links (number of other
     documents whose similarity reaches the threshold), kept (the first
     document of its group), hash (of its text)."""
-    runs = runs_for(recall, similarity)
-    rows = signatures(docs, id_col, text_col, runs)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
-    sets = written(rows.filter("skey IS NOT NULL").groupBy("skey").agg(
-        first.alias("first"), F.count("*").alias("n"), F.any_value("sig").alias("sig"),
-        F.min_by("hash", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("hash"))
-        .withColumn("cid", F.col("first.rid")), "sets")
-    met = written(compared(leaves(sets, runs), runs), "met")
-
-    # Tokens again, only of the sets that share a leaf.  Repeated rows collapse
-    # before the shuffle, and the join finds the texts already in place.
-    def row_key(doc_id, text_hash):
-        return F.unhex(F.md5(F.concat(text_hash, F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"))))
-
-    want = (met.select("cid").distinct().join(sets, "cid")
-            .select("cid", "n", row_key(F.col("first.doc_id"), F.col("hash")).alias("key")))
-    texts = (docs.select(row_key(F.col(id_col).cast("long"), content_key(F.col(text_col))).alias("key"),
-                         F.col(text_col).alias("text"))
-             .groupBy("key").agg(F.any_value("text").alias("text")))
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = pa.array([packed(shingles(t.as_py())) for t in b.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), raw], ["cid", "n", "tokens"])
-
-    contents = texts.join(want, "key").select("cid", "n", "text").mapInArrow(tokens, "cid long, n long, tokens binary")
-    dealt = block_pairs(met.join(contents, "cid"), "leaf", "size", "cid", LEAF)
-    near = written(by_task(dealt, ["leaf", "bi", "bj"], lambda t: compare(t, similarity),
-                           "cid long, root long, links long", tasks_of(docs)), "near")
-
-    groups = components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    linked = near.groupBy("cid").agg(F.sum("links").alias("links"))
-    sets = (sets.select("skey", "cid", "n", "first").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
-            .withColumn("root", F.coalesce("root", "cid")).join(linked, "cid", "left"))
-    sets = written(sets, "linked")
-    heads = sets.groupBy("root").agg(F.min("first").alias("head"))
-    final = written(sets.join(heads, "root").select(
-        "skey", "n", "first", "head", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "classes")
-    classed = lookup(rows.filter("skey IS NOT NULL").select("doc_id", "rid", "hash", "skey"), final, ["skey"], "n",
-                     F.xxhash64("rid")).select(
-        "doc_id", F.col("head.doc_id").alias("class_id"), F.col("first.doc_id").alias("copy_id"), "links",
-        (F.col("rid") == F.col("head.rid")).alias("kept"), "hash")
-    alone = rows.filter("skey IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
-        F.lit(0).cast("long").alias("links"), F.lit(True).alias("kept"), "hash")
-    return classed.unionByName(alone)
+    with scratch(docs.sparkSession) as keep:
+        runs = runs_for(recall, similarity)
+        rows = signatures(docs, id_col, text_col, runs)
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
+        sets = written(rows.filter("skey IS NOT NULL").groupBy("skey").agg(
+            first.alias("first"), F.count("*").alias("n"), F.any_value("sig").alias("sig"),
+            F.min_by("hash", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("hash"))
+            .withColumn("cid", F.col("first.rid")), "sets")
+        with scratch(docs.sparkSession) as keep_met:
+            met = keep_met(compared(leaves(sets, runs), runs), "llm-met")
+
+        # Tokens again, only of the sets that share a leaf.  Repeated rows collapse
+        # before the shuffle, and the join finds the texts already in place.
+        def row_key(doc_id, text_hash):
+            return F.unhex(F.md5(F.concat(text_hash, F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"))))
+
+        want = (met.select("cid").distinct().join(sets, "cid")
+                .select("cid", "n", row_key(F.col("first.doc_id"), F.col("hash")).alias("key")))
+        texts = (docs.select(row_key(F.col(id_col).cast("long"), content_key(F.col(text_col))).alias("key"),
+                             F.col(text_col).alias("text"))
+                 .groupBy("key").agg(F.any_value("text").alias("text")))
+
+        def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                raw = pa.array([packed(shingles(t.as_py())) for t in b.column("text")], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), raw], ["cid", "n", "tokens"])
+
+        contents = texts.join(want, "key").select("cid", "n", "text").mapInArrow(tokens, "cid long, n long, tokens binary")
+        dealt = block_pairs(met.join(contents, "cid"), "leaf", "size", "cid", LEAF)
+        near = written(by_task(dealt, ["leaf", "bi", "bj"], lambda t: compare(t, similarity),
+                               "cid long, root long, links long", tasks_of(docs)), "near")
+        discard(met)
+
+        groups = components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+        linked = near.groupBy("cid").agg(F.sum("links").alias("links"))
+        sets = (sets.select("skey", "cid", "n", "first").join(groups.withColumnRenamed("node", "cid"), "cid", "left")
+                .withColumn("root", F.coalesce("root", "cid")).join(linked, "cid", "left"))
+        sets = written(sets, "linked")
+        heads = sets.groupBy("root").agg(F.min("first").alias("head"))
+        final = written(sets.join(heads, "root").select(
+            "skey", "n", "first", "head", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "classes")
+        classed = lookup(rows.filter("skey IS NOT NULL").select("doc_id", "rid", "hash", "skey"), final, ["skey"], "n",
+                         F.xxhash64("rid")).select(
+            "doc_id", F.col("head.doc_id").alias("class_id"), F.col("first.doc_id").alias("copy_id"), "links",
+            (F.col("rid") == F.col("head.rid")).alias("kept"), "hash")
+        alone = rows.filter("skey IS NULL").select(
+            "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"),
+            F.lit(0).cast("long").alias("links"), F.lit(True).alias("kept"), "hash")
+        return keep(classed.unionByName(alone), "llm-links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

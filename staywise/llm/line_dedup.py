@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import content_key, lookup, python_workers, table, whole_row, written
+from .common import content_key, discard, lookup, python_workers, scratch, table, whole_row, written
 from .graph import block_pairs, by_task, components, tasks_of
 from .shingles import word_hashes
 
@@ -208,8 +208,10 @@ def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
     pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.lid") < F.col("b.lid")) & (
         F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= RADIUS))
         .select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")))
-    near = written(components(pairs.unionByName(grouped(met.filter(F.col("size") > SMALL), "key", near_hashes))),
-                   "near")
+    with scratch(spark) as keep:
+        near = keep(components(pairs.unionByName(grouped(met.filter(F.col("size") > SMALL), "key", near_hashes))),
+                    "llm-near")
+    discard(buckets, met)
 
     sizes = written(near.groupBy("root").agg(F.count("*").alias("size")), "sizes")
     wanted = written(lookup(near, sizes, ["root"], "size", F.xxhash64("node")).withColumnRenamed("node", "lid"),
@@ -230,37 +232,38 @@ def decide(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "do
     split = docs.select(F.col(id_col).alias("doc_id"), rid.alias("rid"), F.split(text, "\n", -1).alias("lines"))
     each = split.select("doc_id", "rid", F.posexplode("lines").alias("line", "s")).withColumn("norm", normalised(F.col("s")))
     blank = F.col("norm") == ""
-    places = written(each.select("doc_id", "rid", "line", F.when(~blank, content_key(F.col("norm"))).alias("hash")),
-                     "lines")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sims = pa.array(simhashes(b.column("norm").to_pylist()), pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns, sims], [*b.schema.names, "sim"])
-
-    norms = each.filter(~blank).select("norm").distinct()
-    lines = written(norms.select(F.monotonically_increasing_id().alias("lid"), "norm")
-                    .mapInArrow(hashed, "lid long, norm string, sim long"), "norms")
-    roots = similar_lines(lines, similarity)
-
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "line"))
-    groups = places.filter("hash IS NOT NULL").groupBy("hash").agg(first.alias("first"), F.count("*").alias("n"))
-    linked = written(lines.select("lid", "norm").join(roots.withColumnRenamed("node", "lid"), "lid")
-                     .select(content_key(F.col("norm")).alias("hash"), "root"), "linked")
-    groups = written(groups.join(linked, "hash", "left"), "groups")
-    tied = groups.filter("root IS NOT NULL")
-    heads = written(tied.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("group_size"),
-                                             F.count("*").alias("members")), "heads")
-    final = written(lookup(tied, heads, ["root"], "members", F.xxhash64("hash"))
-                    .select("hash", "n", "head", "group_size")
-                    .unionByName(groups.filter("root IS NULL").select(
-                        "hash", "n", F.col("first").alias("head"), F.col("n").alias("group_size"))), "final")
-    out = lookup(places.filter("hash IS NOT NULL"), final, ["hash"], "n", F.xxhash64("rid", "line")).select(
-        "doc_id", "rid", "line", F.col("head.doc_id").alias("keep_doc"), F.col("head.line").alias("keep_line"),
-        "group_size", ((F.col("rid") == F.col("head.rid")) & (F.col("line") == F.col("head.line"))).alias("kept"))
-    return out.unionByName(places.filter("hash IS NULL").select(
-        "doc_id", "rid", "line", F.col("doc_id").alias("keep_doc"), F.col("line").alias("keep_line"),
-        F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")))
+    with scratch(docs.sparkSession) as keep:
+        places = keep(each.select("doc_id", "rid", "line", F.when(~blank, content_key(F.col("norm"))).alias("hash")),
+                      "llm-lines")
+
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                sims = pa.array(simhashes(b.column("norm").to_pylist()), pa.int64())
+                yield pa.RecordBatch.from_arrays([*b.columns, sims], [*b.schema.names, "sim"])
+
+        norms = each.filter(~blank).select("norm").distinct()
+        lines = written(norms.select(F.monotonically_increasing_id().alias("lid"), "norm")
+                        .mapInArrow(hashed, "lid long, norm string, sim long"), "norms")
+        roots = similar_lines(lines, similarity)
+
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "line"))
+        groups = places.filter("hash IS NOT NULL").groupBy("hash").agg(first.alias("first"), F.count("*").alias("n"))
+        linked = written(lines.select("lid", "norm").join(roots.withColumnRenamed("node", "lid"), "lid")
+                         .select(content_key(F.col("norm")).alias("hash"), "root"), "linked")
+        groups = written(groups.join(linked, "hash", "left"), "groups")
+        tied = groups.filter("root IS NOT NULL")
+        heads = written(tied.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("group_size"),
+                                                 F.count("*").alias("members")), "heads")
+        final = keep(lookup(tied, heads, ["root"], "members", F.xxhash64("hash"))
+                        .select("hash", "n", "head", "group_size")
+                        .unionByName(groups.filter("root IS NULL").select(
+                            "hash", "n", F.col("first").alias("head"), F.col("n").alias("group_size"))), "llm-final")
+        out = lookup(places.filter("hash IS NOT NULL"), final, ["hash"], "n", F.xxhash64("rid", "line")).select(
+            "doc_id", "rid", "line", F.col("head.doc_id").alias("keep_doc"), F.col("head.line").alias("keep_line"),
+            "group_size", ((F.col("rid") == F.col("head.rid")) & (F.col("line") == F.col("head.line"))).alias("kept"))
+        return out.unionByName(places.filter("hash IS NULL").select(
+            "doc_id", "rid", "line", F.col("doc_id").alias("keep_doc"), F.col("line").alias("keep_line"),
+            F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")))
 
 
 def clean(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc_id",

@@ -40,7 +40,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, table, written
+from .common import lookup, scratch, table, written
 
 RUN = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -200,8 +200,9 @@ def forms(words: DataFrame, near: DataFrame) -> DataFrame:
 
 def variants(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
              seen: int = SEEN, depth: int = DEPTH) -> DataFrame:
-    words = written(vocabulary(docs, id_col, text_col, least, seen), "words")
-    return forms(words, near_pairs(words, depth))
+    with scratch(docs.sparkSession) as keep:
+        words = written(vocabulary(docs, id_col, text_col, least, seen), "words")
+        return keep(forms(words, near_pairs(words, depth)), "llm-variants")
 
 
 def op11_spelling_variants(spark, sf_dir: str) -> DataFrame:

@@ -318,3 +318,18 @@ def test_topk_rules_out_shards(spark, monkeypatch):
     shards, pairs = seen[0]
     assert shards > 12 and pairs < shards * 600 / 3
     assert len(set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before) == 1
+
+
+@pytest.mark.parametrize("operator, left", [(jaccard_join.join, 1), (line_dedup.decide, 2)])
+def test_operators_leave_their_result(spark, edge, operator, left):
+    """Working tables go; those that the result reads go with the caller's block."""
+    import os
+
+    from staywise.sources.tables import scratch
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    with scratch(spark):
+        rows = operator(edge)
+        assert len(set(os.listdir(folder)) - before) == left
+        assert rows.count() > 0
+    assert set(os.listdir(folder)) == before
