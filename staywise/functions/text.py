@@ -41,19 +41,41 @@ def garbage_to_unknown(v: Column) -> Column:
     return F.when(v.isin([*K.GARBAGE_TOKENS, ""]), F.lit(K.UNKNOWN)).otherwise(v)
 
 
-def clean_string(c, upper: bool = False) -> Column:
-    """trim, strip junk edge characters, garbage -> Unknown, then case."""
-    v = F.regexp_replace(F.trim(_c(c)), K.JUNK_EDGE_PATTERN, "")
+# What may stand at an end of a value that JUNK_EDGE_PATTERN or trim changes: junk,
+# spaces, and the line ends before which ``$`` matches too.
+_EDGES = "!@#$%^&*()_+-= \n\r\u0085\u2028\u2029"
+
+
+def strip_edges(c) -> Column:
+    """trim, strip junk edge characters; values without any are not searched."""
+    v = _c(c).cast("string")
+    return F.when(F.btrim(v, F.lit(_EDGES)) == v, v).otherwise(F.regexp_replace(F.trim(v), K.JUNK_EDGE_PATTERN, ""))
+
+
+def stripped_string(v: Column, upper: bool = False) -> Column:
+    """garbage -> Unknown, then case, of a value without edges."""
     v = garbage_to_unknown(v)
     return F.upper(v) if upper else F.initcap(v)
 
 
+def clean_string(c, upper: bool = False) -> Column:
+    """trim, strip junk edge characters, garbage -> Unknown, then case."""
+    return stripped_string(strip_edges(c), upper)
+
+
+def phone_digits(c) -> Column:
+    return F.regexp_replace(F.trim(_c(c)), r"[^0-9+]", "")
+
+
+def known_phone(v: Column) -> Column:
+    """Too short or a long zero run -> Unknown; what is left has neither
+    letters nor garbage."""
+    return F.when((F.length(v) < K.PHONE_MIN_LEN) | v.contains(K.PHONE_ZERO_RUN), F.lit(K.UNKNOWN)).otherwise(v)
+
+
 def clean_phone(c) -> Column:
     """Keep [0-9+]; too short or a long zero run -> Unknown."""
-    v = F.regexp_replace(F.trim(_c(c)), r"[^0-9+]", "")
-    v = F.when((F.length(v) < K.PHONE_MIN_LEN) | v.contains(K.PHONE_ZERO_RUN),
-               F.lit(K.UNKNOWN)).otherwise(v)
-    return F.initcap(garbage_to_unknown(v))
+    return known_phone(phone_digits(c))
 
 
 def blank_to_unknown_trim(c) -> Column:

@@ -191,17 +191,26 @@ def classify_columns(df: DataFrame, parity: bool = False, overrides: dict | None
     return cls
 
 
+def parsed_exprs(df: DataFrame, cls: ColumnClasses) -> dict:
+    """First projection of the universal clean: what the rules of
+    :func:`universal_clean_exprs` test and return, so that each value is
+    searched or parsed once, not once for each place where a rule names it."""
+    dt = dict(df.dtypes)
+    return ({c: T.strip_edges(c) for c in cls.strings} | {c: T.phone_digits(c) for c in cls.phones}
+            | {c: N.to_double(N.words_to_digits(c)) for c in cls.numeric if dt[c] == "string"})
+
+
 def universal_clean_exprs(df: DataFrame, cls: ColumnClasses, parity: bool = False) -> dict:
-    """Column -> expression map for the universal clean (one projection)."""
+    """Column -> expression map for the universal clean of parsed values (one
+    projection).  ``df``: the frame before they were parsed."""
     dt = dict(df.dtypes)
     ex = {}
     for c in cls.strings:
-        ex[c] = T.clean_string(c, upper=c in cls.upper)
+        ex[c] = T.stripped_string(F.col(c), upper=c in cls.upper)
     for c in cls.phones:
-        ex[c] = T.clean_phone(c)
+        ex[c] = T.known_phone(F.col(c))
     for c in cls.numeric:
-        src = ex.get(c, F.col(c))
-        v = N.words_to_digits(src) if dt[c] == "string" else src
+        v = F.col(c)
         if not parity and dt[c] in ("string", "double", "float"):
             v = N.finite(v)
         if c in cls.coords:
@@ -222,10 +231,11 @@ def universal_clean_exprs(df: DataFrame, cls: ColumnClasses, parity: bool = Fals
 
 def universal_clean(df: DataFrame, parity: bool = False, drop_midnight: bool = True,
                     overrides: dict | None = None) -> DataFrame:
-    """C1-C9 driven by column classes, as one generated projection, then
-    the midnight-only ``_time`` columns dropped after one probe job."""
+    """C1-C9 driven by column classes, as two generated projections (values
+    parsed, rules applied), then the midnight-only ``_time`` columns dropped
+    after one probe job."""
     cls = classify_columns(df, parity, overrides)
-    out = _replace(df, universal_clean_exprs(df, cls, parity))
+    out = _replace(_replace(df, parsed_exprs(df, cls)), universal_clean_exprs(df, cls, parity))
     if drop_midnight:
         out = drop_constant_time_cols(out, [f"{c}_time" for c in cls.dates])
     return out

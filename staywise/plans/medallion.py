@@ -45,16 +45,18 @@ def union_and_fill(b: Bronze) -> DataFrame:
 
 
 def standardized(b: Bronze, reconcile: str = "coalesce") -> DataFrame:
-    """P1-P3 on the filled union."""
-    df = columns.standardize_names(union_and_fill(b))
+    """P1-P3 on the union."""
+    df = columns.standardize_names(columns.union_by_name(b.batch, b.stream))
     df = columns.reconcile_columns(df, "total_amount", ("total_price", "paid_amount"), reconcile)
     return columns.dedup_column_names(df)
 
 
 def deduplicated(b: Bronze, reconcile: str = "coalesce") -> DataFrame:
-    """W1: latest row per booking_id by parsed ingestion time."""
+    """W1: latest row per booking_id by parsed ingestion time.  Hotel
+    attributes take no part in the choice, so only rows that stay are filled."""
     df = standardized(b, reconcile).withColumn("_ingest_ts", safe_timestamp("ingestion_time"))
-    return dedup.dedup_latest(df, ["booking_id"], ["_ingest_ts"], ["source_file"]).drop("_ingest_ts")
+    df = dedup.dedup_latest(df, ["booking_id"], ["_ingest_ts"], ["source_file"]).drop("_ingest_ts")
+    return columns.hotel_lookup_fill(df, columns.as_strings(b.batch))
 
 
 def lookups(b: Bronze) -> tuple[DataFrame, DataFrame]:

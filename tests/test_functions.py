@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from staywise.functions import constants as K
 from staywise.functions import numbers as N
 from staywise.functions import text as T
 from staywise.operators import clean
@@ -23,6 +24,25 @@ def test_junk_strings(spark):
     assert got == ["Unknown", "Resort", "Unknown", "Unknown", "New York", None]
 
 
+def test_strip_edges_equals_trim_and_pattern(spark):
+    values = ["a", " a ", "--a--", "a--\n", "a--\r\n", "\n--a", "a\u2028", "a-\u0085", "---", "", " ", "- a -", "a-b", "é!", "\ta",
+              " -5.0", "a--\n\n", None]
+    rows = [(v,) for v in values]
+    want = F.regexp_replace(F.trim("c"), K.JUNK_EDGE_PATTERN, "")
+    assert one(spark, rows, "c string", T.strip_edges("c")) == one(spark, rows, "c string", want)
+    assert one(spark, [(-1.5,), (20.0,)], "c double", T.strip_edges("c")) == ["1.5", "20.0"]
+
+
+def test_universal_clean_searches_and_parses_a_value_once(spark):
+    df = spark.createDataFrame([("!!ams ", "+1 (555) 123", "Two", "95")],
+                               "city string, phone string, adults string, latitude string")
+    out = clean.universal_clean(df, drop_midnight=False)
+    assert out.first() == ("Ams", "+1555123", 2, None)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # one search for the city, one for the phone, one parse of each number
+    assert plan.count("regexp_replace(") == 2 and plan.count("[One,Two") == 2
+
+
 def test_currency_upper(spark):
     assert one(spark, [(" usd ",), ("eur",)], "c string", T.clean_string("c", upper=True)) == ["USD", "EUR"]
 
