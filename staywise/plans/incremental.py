@@ -117,11 +117,11 @@ def land(spark: SparkSession, state: str, b: M.Bronze, found: tuple | None = Non
         if replaced:
             now = bucketed.read_buckets(spark, f"{state}/latest", rows.schema, replaced)
             silver = silver_of(now, hotels, found).withColumn(bucketed.BUCKET, bucketed.bucket_of(["booking_id"], n))
-            silver = materialize(silver, "silver_buckets")
             bucketed.replace_buckets(silver, f"{state}/silver", replaced)
+            silver = bucketed.read_buckets(spark, f"{state}/silver", silver.drop(bucketed.BUCKET).schema, replaced)
             partials = gold.kpi_partials(gold.fact_bookings(silver).withColumn(
                 bucketed.BUCKET, bucketed.bucket_of(["booking_id"], n)), bucketed.BUCKET)
-            bucketed.replace_buckets(materialize(partials, "kpi_buckets"), f"{state}/kpi", replaced)
+            bucketed.replace_buckets(partials, f"{state}/kpi", replaced)
         version = f"v-{uuid.uuid4().hex[:12]}"
         overwrite_table(hotels, f"{state}/hotels/{version}")
         spark.createDataFrame([(version,)], "folder string").coalesce(1).write.mode("overwrite").json(

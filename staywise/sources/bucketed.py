@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import dedup_latest
-from .tables import materialize, read_or_empty
+from .tables import read_or_empty
 
 BUCKET = "bucket"
 LAYOUT = "_layout"   # a name that readers of the table pass over
@@ -52,14 +52,30 @@ def buckets_in(df: DataFrame) -> list[int]:
     return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
 
 
-def replace_buckets(df: DataFrame, path: str, buckets: list[int]) -> None:
+def files_of(spark: SparkSession, path: str, buckets) -> dict[int, frozenset]:
+    """The files of those buckets that have a folder; names are never used
+    twice."""
+    fs, out = None, {}
+    for b in buckets:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BUCKET}={b}")
+        fs = fs or folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(folder):
+            out[b] = frozenset(f.getPath().getName() for f in fs.listStatus(folder))
+    return out
+
+
+def replace_buckets(df: DataFrame, path: str, buckets: list[int], dealt: bool = False) -> None:
     """Puts the rows of ``df`` in the place of ``buckets``.  A bucket that has
-    no row any more loses its folder.  ``df`` must not read ``path``."""
+    no row any more loses its folder: its files are still the old ones when the
+    others stand.  ``df`` runs once and may read ``path``, whose folders make
+    place only when all new files are complete.  ``dealt``: the rows of a
+    bucket lie in one task already."""
     spark = df.sparkSession
-    (df.repartition(F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(path))
-    gone = set(buckets) - set(buckets_in(df))
-    for b in sorted(gone):
+    old = files_of(spark, path, buckets)
+    ((df if dealt else df.repartition(F.col(BUCKET))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+    now = files_of(spark, path, old)
+    for b in sorted(b for b in old if now.get(b) == old[b]):
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{BUCKET}={b}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -67,12 +83,15 @@ def replace_buckets(df: DataFrame, path: str, buckets: list[int]) -> None:
 def merge_latest(landing: DataFrame, path: str, keys, order_desc, tie=(), buckets: int = 64) -> list[int]:
     """Keeps the latest row of each key over all landings; returns the buckets
     that were compared and replaced.  The landing is read once more for each
-    of its two uses: pass a written table."""
+    of its two uses: pass a written table.
+
+    Rows are dealt by bucket, in which all rows of a key lie: one shuffle and
+    one sort serve the comparison and the write."""
     spark = landing.sparkSession
     new = landing.withColumn(BUCKET, bucket_of(keys, layout(spark, path, buckets)))
     touched = buckets_in(new)
     if touched:
         old = read_buckets(spark, path, landing.schema, touched)
-        merged = dedup_latest(old.unionByName(new, allowMissingColumns=True), list(keys), order_desc, tie)
-        replace_buckets(materialize(merged, "merged"), path, touched)
+        both = old.unionByName(new, allowMissingColumns=True).repartition(F.col(BUCKET))
+        replace_buckets(dedup_latest(both, [BUCKET, *keys], order_desc, tie), path, touched, dealt=True)
     return touched

@@ -1,5 +1,7 @@
 """Landings that change only the buckets they touch."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,25 @@ def test_a_bucket_without_rows_goes(spark, tmp_path):
     assert [r[0] for r in spark.read.parquet(path).select("bucket").distinct().collect()] == [1]
 
 
+def test_a_merge_reads_its_own_table_without_a_scratch_copy(spark, tmp_path):
+    path = str(tmp_path / "t")
+    kept = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(kept))
+    for at in (1, 2):
+        bucketed.merge_latest(spark.range(100).selectExpr(f"id * {at} AS id", f"{at} AS at"), path, ["id"], ["at"])
+    assert set(os.listdir(kept)) == before
+    got = {r.id: r["at"] for r in spark.read.parquet(path).collect()}
+    assert got == {i: 1 for i in range(1, 100, 2)} | {i: 2 for i in range(0, 200, 2)}
+
+
+def test_rows_without_keys_and_repeated_keys_stay_one_each(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for v in ("a", "b"):
+        bucketed.merge_latest(spark.sql(f"SELECT * FROM VALUES (NULL, 1, '{v}'), ('x', 1, '{v}') t(id, at, v)"),
+                              path, ["id"], ["at"], ["v"])
+    assert sorted((str(r.id), r.v) for r in spark.read.parquet(path).collect()) == [("None", "a"), ("x", "a")]
+
+
 @pytest.fixture(scope="module")
 def bronze(spark):
     b = M.bronze_from_testdata(spark, SF)
