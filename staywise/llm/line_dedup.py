@@ -7,6 +7,9 @@ on at least BLOCKS - RADIUS of BLOCKS blocks (pigeonhole), so lines meet under
 a key for every such choice of blocks; pairs within the radius are verified by
 edit similarity, and of every connected group the first occurrence stays.
 
+Texts are read and normalised once; equal lines meet by the hash of their text,
+and only lines with a near hash have their texts moved.
+
 Lines are first grouped by near hashes alone, then verified inside these groups.
 Crowded keys and large groups are compared in blocks of lines by many tasks,
 each yielding a spanning forest rather than pairs.
@@ -19,17 +22,20 @@ other columns do not enter.
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import content_key, discard, lookup, python_workers, scratch, table, whole_row, written
+from .common import discard, lookup, python_workers, scratch, table, whole_row, written
 from .graph import block_pairs, by_task, components, tasks_of
-from .shingles import word_hashes
+from .shingles import hashed_words
 
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 3, 5
@@ -41,14 +47,48 @@ BROADCAST_LINES = 200_000   # of lines with a near hash; more are joined by a sh
 EDGES = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
 
+# Code points that both Java and Python lower one by one and class alike, so
+# that a batch of lines is normalised by a table; lines with any other go by
+# normalised().
+PLAIN = 0x250
+OTHER = r"[^\x00-\u012F\u0131-\u024F]"
+CHUNK = 128            # texts whose bits are summed at once: their matrix fits a cache
+
+
 def normalised(line: Column) -> Column:
     """Lower case, words of letters, digits and the marks upon them (the vowel
     signs of Indic scripts, decomposed accents), one space between; a mark
     without a letter below it is none of a word."""
-    worn = F.regexp_replace(F.lower(line), r"(?<![\p{L}\p{M}\p{N}])\p{M}+", " ")
+    worn = F.regexp_replace(F.lower(line), r"\p{M}(?<![\p{L}\p{M}\p{N}]\p{M})\p{M}*", " ")
     return F.trim(F.regexp_replace(worn, r"[^\p{L}\p{M}\p{N}]+", " "))
 
 
+def plain_table() -> np.ndarray:
+    """Of each code point below PLAIN what becomes of it: lower case, or a
+    blank; line feeds stay."""
+    lower = [chr(c).lower() if unicodedata.category(chr(c))[0] in "LMN" else " " for c in range(PLAIN)]
+    lower[ord("\n")] = "\n"
+    return np.array([ord(c[0]) for c in lower], np.uint32)
+
+
+TABLE = plain_table()
+
+
+def normalise(lines: list[str]) -> list[str]:
+    """normalised() for lines without OTHER code points; lines that are
+    normalised stay as they are.  All lines of a batch go at once."""
+    points = np.frombuffer("\n".join([*lines, ""]).encode("utf-32-le"), np.uint32)
+    points = np.where(points < PLAIN, TABLE[np.minimum(points, PLAIN - 1)], points)
+    feed = points == 10
+    word = (points != 32) & ~feed
+    # a blank stays between two words: after a word, and if a word follows before the line ends
+    keep = word | feed
+    at = np.flatnonzero(keep)
+    gap = np.flatnonzero((np.diff(at) > 1) & word[at[:-1]] & word[at[1:]])
+    keep[at[gap] + 1] = True
+    return points[keep].tobytes().decode("utf-32-le").split("\n")[:-1]
+
+
 def simhashes(texts: list[str]) -> np.ndarray:
     """For each text 64 bits: bit i is set when the words whose hashes have it
     weigh more than half.  A word weighs the square of its length, up to
@@ -56,18 +96,19 @@ def simhashes(texts: list[str]) -> np.ndarray:
     would make unlike lines alike; no single long token decides either.  All
     words of a batch are hashed together."""
     raw = [t.encode() for t in texts]
-    h = word_hashes(b" \n ".join(raw))
-    lengths = [[len(w) for w in r.split()] for r in raw]
-    words = np.array([len(x) for x in lengths])
-    weight = np.array([min(n, LONG_WORD) ** 2 for x in lengths for n in x], np.float32)
+    h, begins, ends = hashed_words(b"\n".join(raw))
+    weight = np.minimum(ends - begins, LONG_WORD).astype(np.float32) ** 2
+    # the words up to the end of each text
+    bounds = np.searchsorted(begins, np.cumsum([len(r) + 1 for r in raw]))
+    words = np.diff(bounds, prepend=0)
     out = np.zeros(len(texts), np.uint64)
     some = np.flatnonzero(words)
-    starts = np.cumsum(words[some]) - words[some]
-    for lo in range(0, len(some), 1000):  # bounds the matrix of bits
-        part = some[lo:lo + 1000]
-        begin, end = starts[lo], starts[lo] + words[part].sum()
+    starts = bounds[some] - words[some]
+    for lo in range(0, len(some), CHUNK):  # bounds the matrix of bits
+        part = some[lo:lo + CHUNK]
+        begin, end = starts[lo], bounds[part[-1]]
         bits = np.unpackbits(h[begin:end].view(np.uint8).reshape(-1, 8), axis=1)
-        w, at = weight[begin:end], starts[lo:lo + 1000] - begin
+        w, at = weight[begin:end], starts[lo:lo + CHUNK] - begin
         ones = np.add.reduceat(bits * w[:, None], at, axis=0)
         half = np.add.reduceat(w, at)[:, None] / 2
         out[part] = np.packbits(ones > half, axis=1).view(np.uint64).ravel()
@@ -193,16 +234,18 @@ def grouped(members: DataFrame, bucket: str, fn) -> DataFrame:
                    "a long, b long", tasks_of(members))
 
 
-def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
-    """(node, root): groups among distinct lines (lid, norm, sim).
+def similar_lines(groups: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, root): groups among distinct lines (lid, sim, and in ``first``
+    the rid and line by which ``texts`` has the norm).
 
-    First the groups connected by near hashes alone; within each, however
-    large, links are verified by the texts, which only these lines need.
+    First the lines connected by near hashes alone; within each such group,
+    however large, links are verified by the texts, which only these lines
+    need.
     """
-    spark = lines.sparkSession
-    keyed = lines.select("lid", "sim", F.explode(keys(F.col("sim"))).alias("key"))
-    buckets = written(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
-    met = written(lookup(keyed, buckets, ["key"], "size", F.xxhash64("lid")), "met")
+    spark = groups.sparkSession
+    keyed = groups.select("lid", "sim", F.explode(keys(F.col("sim"))).alias("key"))
+    # rows of a key are counted where they meet: three numbers a row, and one shuffle
+    met = written(keyed.withColumn("size", F.count("*").over(Window.partitionBy("key"))).filter("size > 1"), "met")
     small = met.filter(F.col("size") <= SMALL)
     a, b = small.alias("a"), small.alias("b")
     pairs = (a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.lid") < F.col("b.lid")) & (
@@ -211,13 +254,16 @@ def similar_lines(lines: DataFrame, similarity: float) -> DataFrame:
     with scratch(spark) as keep:
         near = keep(components(pairs.unionByName(grouped(met.filter(F.col("size") > SMALL), "key", near_hashes))),
                     "llm-near")
-    discard(buckets, met)
+    discard(met)
 
     sizes = written(near.groupBy("root").agg(F.count("*").alias("size")), "sizes")
     wanted = written(lookup(near, sizes, ["root"], "size", F.xxhash64("node")).withColumnRenamed("node", "lid"),
                      "wanted")
     few = wanted.count() <= BROADCAST_LINES
-    members = lines.join(F.broadcast(wanted) if few else wanted, "lid")
+    some = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    spots = groups.select("lid", "sim", F.col("first.rid").alias("rid"), F.col("first.line").alias("line")).join(
+        some(wanted), "lid")
+    members = texts.select("rid", "line", "norm").join(some(spots), ["rid", "line"]).drop("rid", "line")
     python_workers(spark)
     return components(grouped(members, "root", lambda t: verified(t, similarity)))
 
@@ -230,34 +276,40 @@ def decide(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "do
     text = F.coalesce(F.col(text_col), F.lit(""))
     rid = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
     split = docs.select(F.col(id_col).alias("doc_id"), rid.alias("rid"), F.split(text, "\n", -1).alias("lines"))
-    each = split.select("doc_id", "rid", F.posexplode("lines").alias("line", "s")).withColumn("norm", normalised(F.col("s")))
-    blank = F.col("norm") == ""
+    each = split.select("doc_id", "rid", F.posexplode("lines").alias("line", "s")).withColumn(
+        "s", F.when(F.col("s").rlike(OTHER), normalised(F.col("s"))).otherwise(F.col("s")))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            norms = normalise(b.column("s").to_pylist())
+            # blank lines have neither hash nor text
+            digests = [hashlib.md5(n.encode()).digest() if n else None for n in norms]
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(c) for c in ("doc_id", "rid", "line")], pa.array(digests, pa.binary()),
+                 pa.array(simhashes(norms), pa.int64()), pa.array([n or None for n in norms], pa.string())],
+                ["doc_id", "rid", "line", "hash", "sim", "norm"])
+
+    fields = T.StructType([*each.drop("s").schema.fields, T.StructField("hash", T.BinaryType()),
+                           T.StructField("sim", T.LongType()), T.StructField("norm", T.StringType())])
     with scratch(docs.sparkSession) as keep:
-        places = keep(each.select("doc_id", "rid", "line", F.when(~blank, content_key(F.col("norm"))).alias("hash")),
-                      "llm-lines")
-
-        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                sims = pa.array(simhashes(b.column("norm").to_pylist()), pa.int64())
-                yield pa.RecordBatch.from_arrays([*b.columns, sims], [*b.schema.names, "sim"])
-
-        norms = each.filter(~blank).select("norm").distinct()
-        lines = written(norms.select(F.monotonically_increasing_id().alias("lid"), "norm")
-                        .mapInArrow(hashed, "lid long, norm string, sim long"), "norms")
-        roots = similar_lines(lines, similarity)
+        lines = keep(each.mapInArrow(hashed, fields), "llm-lines")
+        places = lines.select("doc_id", "rid", "line", "hash")
 
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "line"))
-        groups = places.filter("hash IS NOT NULL").groupBy("hash").agg(first.alias("first"), F.count("*").alias("n"))
-        linked = written(lines.select("lid", "norm").join(roots.withColumnRenamed("node", "lid"), "lid")
-                         .select(content_key(F.col("norm")).alias("hash"), "root"), "linked")
-        groups = written(groups.join(linked, "hash", "left"), "groups")
-        tied = groups.filter("root IS NOT NULL")
+        groups = written(lines.filter("hash IS NOT NULL").groupBy("hash").agg(
+            first.alias("first"), F.count("*").alias("n"), F.min("sim").alias("sim")).select(
+                F.monotonically_increasing_id().alias("lid"), "hash", "first", "n", "sim"), "groups")
+        roots = similar_lines(groups, lines, similarity)
+
+        tied = written(groups.select("lid", "first", "n").join(roots.withColumnRenamed("node", "lid"), "lid"), "tied")
         heads = written(tied.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("group_size"),
                                                  F.count("*").alias("members")), "heads")
-        final = keep(lookup(tied, heads, ["root"], "members", F.xxhash64("hash"))
-                        .select("hash", "n", "head", "group_size")
-                        .unionByName(groups.filter("root IS NULL").select(
-                            "hash", "n", F.col("first").alias("head"), F.col("n").alias("group_size"))), "llm-final")
+        headed = lookup(tied, heads, ["root"], "members", F.xxhash64("lid")).select("lid", "head", "group_size")
+        final = keep(groups.join(headed, "lid", "left").select(
+            "hash", "n", F.coalesce("head", "first").alias("head"), F.coalesce("group_size", "n").alias("group_size")),
+            "llm-final")
         out = lookup(places.filter("hash IS NOT NULL"), final, ["hash"], "n", F.xxhash64("rid", "line")).select(
             "doc_id", "rid", "line", F.col("head.doc_id").alias("keep_doc"), F.col("head.line").alias("keep_line"),
             "group_size", ((F.col("rid") == F.col("head.rid")) & (F.col("line") == F.col("head.line"))).alias("kept"))

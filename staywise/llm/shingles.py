@@ -42,8 +42,9 @@ def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2]
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """One hash per word; long texts in chunks that end between words."""
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One hash per word, and where each starts and ends; long texts in chunks
+    that end between words."""
     out, at = [], 0
     while at < len(raw):
         end = min(len(raw), at + CHUNK)
@@ -55,9 +56,16 @@ def word_hashes(raw: bytes) -> np.ndarray:
             p, inverse = powers(len(part) + 1)
             sums = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(part * p[:len(part)], out=sums[1:])
-            out.append(mix((sums[ends] - sums[starts]) * inverse[starts]))
+            out.append((mix((sums[ends] - sums[starts]) * inverse[starts]), starts + at, ends + at))
         at = end
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """One hash per word."""
+    return hashed_words(raw)[0]
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:

@@ -233,6 +233,33 @@ def test_line_dedup_keeps_marks(spark):
     assert kept == brute_lines(docs) == {(False, i, 0) for i in range(7)}
 
 
+def test_lines_normalised_by_table(spark):
+    rnd = random.Random(5)
+    points = [*range(1, 0x260), 0x130, 0x301, 0x3A3, 0x20AC, *[32] * 300, *[97] * 300]
+    lines = ["", " ", "\tÀ-b  ", "x\r", *["".join(chr(rnd.choice(points)) for _ in range(rnd.randrange(30))).replace("\n", "")
+                                        for _ in range(2000)]]
+    df = spark.createDataFrame(list(enumerate(lines)), "i long, s string")
+    rows = df.select("i", line_dedup.normalised(F.col("s")).alias("norm"), F.when(
+        F.col("s").rlike(line_dedup.OTHER), line_dedup.normalised(F.col("s"))).otherwise(F.col("s")).alias("raw")
+        ).orderBy("i").collect()
+    assert any(r.raw == line for r, line in zip(rows, lines))
+    assert line_dedup.normalise([r.raw for r in rows]) == [r.norm for r in rows]
+
+
+def test_line_dedup_reads_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    df = spark.createDataFrame([(i, f"one line of words {i}\nanother line {i // 2}") for i in range(40)],
+                               "doc_id long, text string")
+    text = F.udf(seen, "string").asNondeterministic()
+    assert line_dedup.decide(df.select("doc_id", text("text").alias("text"))).count() == 80
+    assert read.value == 40
+
+
 def test_line_dedup_edge(edge, nothing):
     rows = line_dedup.decide(edge).collect()
     assert len(rows) == sum((r[1] or "").count("\n") + 1 for r in edge_rows())
