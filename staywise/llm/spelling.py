@@ -26,8 +26,8 @@ A word's form is its near word of largest count, if that is at least twice its
 own; forms are followed by pointer doubling, at most log2 of the log2 of the
 largest count rounds, as counts double along the way.
 
-Nodes near the root hold very many states: the heaviest are salted
-(``common.lookup``).
+Nodes near the root hold very many states, but are few: levels of few bytes
+are broadcast, of the others the heaviest nodes are salted (``common.lookup``).
 
 Defined cases: null and empty texts have no words; a null doc_id reads as
 empty text in the hash; repeated rows count each; equal counts go to the
@@ -42,20 +42,29 @@ from pyspark.sql import functions as F
 
 from .common import lookup, scratch, table, written
 
-RUN = "[A-Za-zÀ-ÿ]+"
+LETTER = "[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST, SEEN = 5, 3
 DROP = 97           # one run in so many loses a code point
 DEPTH = 40          # code points of the trie's words: lengths fit the bits of a long
+END = "."           # no code point of a word
+BROADCAST = 8 << 20   # bytes of the nodes of a level up to which they go to all tasks
 
 
 def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
                seen: int = SEEN) -> DataFrame:
     """word, n: counted over all runs of all texts."""
-    runs = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-                       F.explode(F.regexp_extract_all(F.col(text_col), F.lit(RUN), F.lit(0))).alias("run"))
+    text = F.col(text_col)
+    # lower() changes more than A-Z, but not in a text of ASCII alone
+    plain = F.octet_length(text) == F.length(text)
+    # a run shorter than ``least`` gives no word, as runs lose code points only
+    runs = docs.select(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), plain.alias("plain"),
+        F.explode(F.regexp_extract_all(F.when(plain, F.lower(text)).otherwise(text),
+                                       F.lit(f"{LETTER}{{{max(least, 1)},}}+"), F.lit(0))).alias("run"))
     # most runs have no capital, and lower() is the faster one to tell
-    low = F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(F.translate("run", UPPER, LOWER))
+    low = F.when(F.col("plain") | (F.lower("run") == F.col("run")), F.col("run")).otherwise(
+        F.translate("run", UPPER, LOWER))
     rows = runs.select("id", low.alias("run")).select(
         "run", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")).alias("h"))
     at = F.pmod("h", F.length("run")).cast("int")
@@ -72,15 +81,16 @@ def trie(words: DataFrame) -> DataFrame:
     """depth, node, below (words), ends, edges (array of ch, next, lens,
     ends): one row a node, as wide as the square of the alphabet at most.
     ``next`` holds what follows a node, two code points or the last one of a
-    word, each piece between blanks."""
+    word and END, each piece between blanks: a text of two that are no blanks
+    is found in it only as a piece."""
     prefixes = words.select(F.length("word").alias("size"), "word",
                             F.explode(F.sequence(F.lit(0), F.length("word"))).alias("depth"))
     step = (prefixes.select("depth", F.expr("left(word, depth)").alias("node"),
-                            F.expr("substring(word, depth + 1, 2)").alias("piece"), "size")
+                            F.expr(f"substring(concat(word, '{END}'), depth + 1, 2)").alias("piece"), "size")
             .groupBy("depth", "node", "piece")
             .agg(F.count("*").alias("below"), F.bit_or(bit(F.col("size"))).alias("lens")))
     nodes = written(step.groupBy("depth", "node").agg(
-        F.sum("below").alias("below"), F.bit_or("lens").alias("lens"), F.max(F.col("piece") == "").alias("ends"),
+        F.sum("below").alias("below"), F.bit_or("lens").alias("lens"), F.max(F.col("piece") == END).alias("ends"),
         F.concat(F.lit(" "), F.array_join(F.sort_array(F.collect_list("piece")), " "), F.lit(" ")).alias("next")),
         "trie-nodes")
     child = nodes.filter("depth > 0").select(
@@ -90,32 +100,36 @@ def trie(words: DataFrame) -> DataFrame:
     return written(nodes.drop("lens", "next").join(edges, ["depth", "node"], "left"), "trie")
 
 
-def code_point(at: str) -> str:
-    return f"substring(word, {at}, 1)"
+# What the edges of a state's node are compared with: the next code point of
+# its word and the one after, what follows each of them, and whether it is the last.
+SOUGHT = ["word", "node", "edits", "pos", "edges", "ends", "length(word) AS size",
+          "substring(word, pos + 1, 1) AS first", "substring(word, pos + 2, 1) AS second",
+          f"substring(concat(word, '{END}'), pos + 2, 2) AS after_first",
+          f"substring(concat(word, '{END}'), pos + 3, 2) AS after_second",
+          "pos + 1 = length(word) AS first_ends", "pos + 2 = length(word) AS second_ends"]
 
 
 def leads_on(at: str) -> str:
-    """Whether the word's code points after the first ``at`` go on below an edge."""
-    return (f"IF({at} = length(word), e.ends, contains(e.next, "
-            f"concat(' ', substring(word, {at} + 1, 2), IF({at} + 1 = length(word), ' ', ''))))")
+    """Whether the word's code points after the ``at`` one go on below an edge."""
+    return f"IF({at}_ends, e.ends, contains(e.next, after_{at}))"
 
 
 def move(at: str) -> str:
-    return f"e -> struct({at} AS pos, concat(node, e.ch) AS node, IF({at} = length(word), 2, 1) AS edits)"
+    by = {"first": 1, "second": 2}[at]
+    return f"e -> struct(pos + {by} AS pos, concat(node, e.ch) AS node, IF({at}_ends, 2, 1) AS edits)"
 
 
 # The states that follow one at a node; pos counts the code points used up, and
 # edits = 2 marks a neighbour, the word at the node.
 STEP = f"""
 CASE WHEN edits = 1 THEN
-  transform(filter(edges, e -> e.ch = {code_point('pos + 1')} AND {leads_on('pos + 1')}), {move('pos + 1')})
+  transform(filter(edges, e -> e.ch = first AND {leads_on('first')}), {move('first')})
 ELSE concat(
-  IF(pos + 1 < length(word), array(struct(pos + 1 AS pos, concat(node, {code_point('pos + 1')}) AS node, 0 AS edits)),
+  IF(pos + 1 < size, array(struct(pos + 1 AS pos, concat(node, first) AS node, 0 AS edits)),
      IF(ends, array(struct(pos + 1 AS pos, node, 2 AS edits)), array())),
-  transform(filter(edges, e -> {code_point('pos + 1')} <> {code_point('pos + 2')} AND e.ch = {code_point('pos + 2')}
-                               AND getbit(e.lens, length(word) - 1) = 1 AND {leads_on('pos + 2')}), {move('pos + 2')}),
-  transform(filter(edges, e -> e.ch > {code_point('pos + 1')} AND getbit(e.lens, length(word)) = 1
-                               AND {leads_on('pos + 1')}), {move('pos + 1')}))
+  IF(first = second, array(), transform(filter(edges, e -> e.ch = second AND getbit(e.lens, size - 1) = 1
+                                                            AND {leads_on('second')}), {move('second')})),
+  transform(filter(edges, e -> e.ch > first AND getbit(e.lens, size) = 1 AND {leads_on('first')}), {move('first')}))
 END"""
 
 
@@ -123,6 +137,9 @@ def trie_pairs(words: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(a, b) once for each pair of near words of up to ``depth`` code points."""
     words = words.filter(F.length("word") <= depth).select("word")
     nodes = trie(words)
+    # what the nodes of a level hold, mostly the pairs that follow their edges
+    held = dict(nodes.groupBy("depth").agg(F.sum(F.expr(
+        "64 + octet_length(node) + coalesce(aggregate(edges, 0L, (x, e) -> x + 64 + octet_length(e.next)), 0L)"))).collect())
     found = []
     states = written(words.select("word", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(0).alias("edits")),
                      "frontier")
@@ -130,8 +147,11 @@ def trie_pairs(words: DataFrame, depth: int = DEPTH) -> DataFrame:
         if states.isEmpty():
             break
         here = nodes.filter(F.col("depth") == level).drop("depth").withColumn("edges", F.expr("coalesce(edges, array())"))
-        step = lookup(states, here, ["node"], "below", F.xxhash64("word", "pos"))
-        states = written(step.select("word", F.expr(f"inline({STEP})")), "frontier")
+        if held.get(level, 0) <= BROADCAST:
+            step = states.join(F.broadcast(here), "node")
+        else:
+            step = lookup(states, here, ["node"], "below", F.xxhash64("word", "pos"))
+        states = written(step.selectExpr(*SOUGHT).select("word", F.expr(f"inline({STEP})")), "frontier")
         found.append(states.filter("edits = 2").select(F.col("word").alias("a"), F.col("node").alias("b")))
         states = states.filter("edits < 2")
     out = words.select(F.col("word").alias("a"), F.col("word").alias("b")).limit(0)

@@ -75,6 +75,25 @@ def test_pairs_and_forms(spark, depth):
     assert result(spelling.forms(df, spelling.near_pairs(df, depth))) == brute(words)
 
 
+def test_levels_broadcast_or_not(spark, monkeypatch):
+    words = {w: 3 + i % 5 for i, w in enumerate(invented(150, seed=4))}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    for limit in (0, 2000, 1 << 20):
+        monkeypatch.setattr(spelling, "BROADCAST", limit)
+        assert {(r.a, r.b) for r in spelling.trie_pairs(df).collect()} | {
+            (r.b, r.a) for r in spelling.trie_pairs(df).collect()} == {(a, b) for a in words for b in words if near(a, b)}
+
+
+def test_short_runs_are_left_out_before_the_hash(spark):
+    docs = [(i, "Ab ABCDE çDEFG abcd ÀBCDEF x×y÷zw ABCDEÉ K " * 40 + "abcdé") for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for least in (1, 5):
+        assert {r.word: r.n for r in spelling.vocabulary(df, least=least).collect()} == {
+            w: n for w, n in vocabulary(docs, least=least).items() if w}
+    plan = spelling.vocabulary(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "{5,}" in plan
+
+
 def test_very_long_words(spark):
     rnd = random.Random(3)
     base = "".join(rnd.choices("abcdefgh", k=3000))
