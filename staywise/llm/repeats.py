@@ -48,7 +48,7 @@ from .shingles import mix, powers
 LEAST = 50
 K = 24
 W = LEAST - K + 1         # hashes of a window
-CHUNK = 1 << 19           # windows handled at once; positions fit 20 bits
+CHUNK = 1 << 17           # windows handled at once: their hashes fit a cache, positions 20 bits
 BLOCK = 1 << 19           # bytes of texts of a block
 HOT = 4096                # occurrences of an anchor from which its windows go one by one
 PART = 1 << 20            # anchors of a hash range

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -63,6 +64,21 @@ def test_collection_is_a_sorted_suffix_list():
     assert c.symbol.tolist() == before
 
 
+def test_segments_need_little_memory():
+    """Hashes of a block stay small enough for a processor's cache."""
+    raw = np.random.default_rng(1).integers(97, 123, 1 << 19).astype(np.uint8)
+    sizes = np.full(1 << 9, 1 << 10)
+    repeats.segments(raw, sizes)
+    tracemalloc.start()
+    try:
+        first, count, _ = repeats.segments(raw, sizes)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert count.sum() == (1 << 9) * ((1 << 10) - repeats.LEAST + 1) and (np.diff(first) >= count[:-1]).all()
+    assert peak < 16 << 20
+
+
 def test_segments_cover_all_windows(monkeypatch):
     rnd = np.random.default_rng(1)
     sizes = np.array([0, 49, 50, 1000, 3, 700, 51])
