@@ -64,6 +64,47 @@ def test_collection_is_a_sorted_suffix_list():
     assert c.symbol.tolist() == before
 
 
+def test_collection_of_long_strings_takes_few_rounds(monkeypatch):
+    """Columns come several a round, so that arrays are rewritten seldom."""
+    rnd = random.Random(4)
+    strings = list({"".join(rnd.choices("ab", k=rnd.randint(1, 76))).encode() for _ in range(80)})
+    strings += [b"ab" * 38, b"ba" * 38, b"b" + b"ab" * 37, b"\xff" * 70]
+    spread, calls = repeats.Collection.spread, []
+    monkeypatch.setattr(repeats.Collection, "spread", staticmethod(lambda *x: calls.append(1) or spread(*x)))
+    c = repeats.Collection(strings)
+    assert len(calls) <= 2 * 11
+    suffixes = sorted((strings[i][len(strings[i]) - n:], i) for i in range(len(strings)) for n in range(len(strings[i]) + 1))
+    assert [(strings[i][len(strings[i]) - n:], i) for i, n in zip(c.owner.tolist(), c.size.tolist())] == suffixes
+    common = [0] + [next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+                    for (a, _), (b, _) in zip(suffixes, suffixes[1:])]
+    assert c.common.tolist() == common
+    rows, cuts = c.equal_windows(50)
+    assert rows.tolist() == [i for i, (s, _) in enumerate(suffixes) if len(s) >= 50]
+    assert cuts.tolist() == [k for k, i in enumerate(rows.tolist()) if common[i] < 50]
+
+
+def test_repeated_anchors_come_back_as_bits(spark):
+    """What a block learns of its anchors is far smaller than the anchors."""
+    text = story(20_000, 7)
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    rows = repeats.blocks(docs, "doc_id", "text", 1 << 30)
+    n = sum(len(repeats.segments(raw, sizes)[2]) for raw, sizes in
+            [(np.frombuffer(text.encode(), np.uint8), np.array([len(text.encode())]))] * 2)
+    found = repeats.repeated(rows, 4, 4096).collect()
+    assert sum(r.n for r in found) >= n - 2
+    assert sum(len(a.shared) + len(a.hot) for r in found for a in r.anchors) < n / 2
+
+
+def test_dealt_segments_travel_compressed():
+    strings = [(story(40, k)[:60] * 2)[:60].encode() for k in range(50)]
+    ids = np.arange(50) * 1000
+    size, packed = repeats.pack_dealt(np.arange(0, 100, 2), np.full(50, 60), np.arange(50), ids, ids + 5, strings)
+    assert len(packed) < size
+    numbers, sizes, deal, least, most, whole = repeats.unpack_dealt(50, size, packed)
+    assert numbers.tolist() == list(range(0, 100, 2)) and sizes.tolist() == [60] * 50 and deal.tolist() == list(range(50))
+    assert least.tolist() == ids.tolist() and most.tolist() == (ids + 5).tolist() and whole == b"".join(strings)
+
+
 def test_segments_need_little_memory():
     """Hashes of a block stay small enough for a processor's cache."""
     raw = np.random.default_rng(1).integers(97, 123, 1 << 19).astype(np.uint8)
