@@ -97,12 +97,14 @@ def test_repeated_anchors_come_back_as_bits(spark):
 
 def test_dealt_segments_travel_compressed():
     strings = [(story(40, k)[:60] * 2)[:60].encode() for k in range(50)]
-    ids = np.arange(50) * 1000
-    size, packed = repeats.pack_dealt(np.arange(0, 100, 2), np.full(50, 60), np.arange(50), ids, ids + 5, strings)
-    assert len(packed) < size
-    numbers, sizes, deal, least, most, whole = repeats.unpack_dealt(50, size, packed)
-    assert numbers.tolist() == list(range(0, 100, 2)) and sizes.tolist() == [60] * 50 and deal.tolist() == list(range(50))
-    assert least.tolist() == ids.tolist() and most.tolist() == (ids + 5).tolist() and whole == b"".join(strings)
+    ids, numbers = np.arange(50) * 1000, np.append(np.arange(0, 60, 2), np.arange(1, 41, 2))
+    packed = repeats.pack_dealt(np.array([0, 30, 50]), numbers, np.full(50, 60), np.arange(50), ids, ids + 5, strings)
+    for (size, raw), x, y in zip(packed, (0, 30), (30, 50)):
+        assert len(raw) < size
+        got = repeats.unpack_dealt(y - x, size, raw)
+        assert [g.tolist() for g in got[:5]] == [numbers[x:y].tolist(), [60] * (y - x), list(range(x, y)),
+                                                 ids[x:y].tolist(), (ids[x:y] + 5).tolist()]
+        assert got[5] == b"".join(strings[x:y])
 
 
 def test_segments_need_little_memory():
